@@ -340,15 +340,16 @@ def required_levels(
     levels: DataFrame, native: float, required: Sequence[float]
 ) -> DataFrame:
     """Whether each required resolution has a level (within 1e-6)."""
-    wanted = F.explode(F.array(*[F.lit(float(r)) for r in required])).alias("resolution")
-    factors = levels.select("factor").distinct().agg(F.collect_set("factor")).scalar()
-    one = levels.sparkSession.range(1).select(wanted)
-    return one.select(
+    wanted = F.array(*[F.lit(float(r)) for r in required])
+    # One row: a pyramid has tens of levels.
+    factors = levels.agg(F.collect_set("factor").alias("factors"))
+    at = lambda f: f * F.lit(float(native))
+    return factors.select(F.explode(wanted).alias("resolution"), "factors").select(
         "resolution",
         F.exists(
-            F.coalesce(factors, F.array().cast("array<int>")),
-            lambda f: F.abs(f * F.lit(native) - F.col("resolution"))
-            <= RATIO_TOLERANCE * F.greatest(f * F.lit(native), F.col("resolution")),
+            "factors",
+            lambda f: F.abs(at(f) - F.col("resolution"))
+            <= RATIO_TOLERANCE * F.greatest(at(f), F.col("resolution")),
         ).alias("present"),
     )
 

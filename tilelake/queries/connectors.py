@@ -1 +1,328 @@
-"""(to come)"""
+"""Sources and sinks: tables are written in the recorded form and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tilelake.functions.projections import rings_to_lonlat
+from tilelake.functions.rings import planar_area, ring_bounds
+from tilelake.operators import catalog, raster
+from tilelake.plans.fixtures import table, view
+from tilelake.queries.catalogs import _RECONCILE_SQL
+from tilelake.queries.logs import request_log as log_rows
+from tilelake.queries.rasters import cells, headers
+from tilelake.queries.registry import query
+from tilelake.queries.scalars import raw_boxes, tile_rings, with_assets
+from tilelake.queries.spatial import _AOI_SQL, _l_shape, lonlat_aoi
+from tilelake.session import scratch_path
+from tilelake.sources import aoi, envelopes, search_pages, sinks, tables
+
+
+def _written(df, label: str, **options) -> str:
+    path = scratch_path(df.sparkSession, label)
+    df.write.options(**options).text(path)
+    return path
+
+
+# -- catalog responses ----------------------------------------------------------------------
+
+
+@query("read_collections", """
+SELECT p_partkey, 'P-' || p_partkey AS id, p_name AS title, 'own terms' AS license, CASE WHEN p_partkey % 3 = 0 THEN 'hide' ELSE 'show' END AS visibility,
+       p_partkey % 180 AS west, epoch_us(timestamp '2024-01-01' + (p_partkey % 300) * INTERVAL 1 DAY) AS since FROM part WHERE p_partkey % 5 < 3""")
+def read_collections(spark, sf):
+    k = F.col("p_partkey")
+    day = F.date_format(F.expr("date_add(date'2024-01-01', cast(p_partkey % 300 as int))"), "yyyy-MM-dd'T'00:00:00'Z'")
+    one = F.struct(
+        F.concat(F.lit("P-"), k.cast("string")).alias("id"), F.col("p_name").alias("title"), F.lit("own terms").alias("license"),
+        F.struct(F.array(F.when(k % 3 == 0, "hide").otherwise("show")).alias("visibility")).alias("summaries"),
+        F.struct(F.struct(F.array(F.array(k % 180, F.lit(0), k % 180 + 1, F.lit(1))).alias("bbox")).alias("spatial"),
+                 F.struct(F.array(F.array(day, F.lit(None).cast("string"))).alias("interval")).alias("temporal")).alias("extent"))
+    body = lambda status, data: F.to_json(F.struct(F.lit(status).alias("status"), F.lit("OK").alias("message"), data.alias("data")))
+    text = (
+        F.when(k % 5 == 0, body(200, F.struct(F.array(one).alias("collections"))))
+        .when(k % 5 == 1, body(200, one)).when(k % 5 == 2, body(200, F.struct(F.array(one).alias("collections"), F.lit(1).alias("models"))))
+        .when(k % 5 == 3, body(500, one)).otherwise(F.lit("{broken")))
+    path = _written(table(spark, sf, "part").select(text.alias("value")), "envelopes")
+    found, _ = envelopes.read_collections(spark, path, lines=True)
+    return found.select(
+        F.substring("id", 3, 99).cast("bigint").alias("p_partkey"), "id", "title", "license", F.array_join("visibility", ",").alias("visibility"),
+        F.col("extent.spatial")[0][0].cast("bigint").alias("west"), F.unix_micros(F.col("extent.temporal")[0]["start"]).alias("since"))
+
+
+@query("collection_violations", "SELECT CASE WHEN p_partkey % 2 = 0 THEN 'status is not 200' ELSE 'not JSON' END AS problem, count(*) AS n FROM part GROUP BY 1")
+def collection_violations(spark, sf):
+    text = F.when(F.col("p_partkey") % 2 == 0, F.lit('{"status": 404, "message": "no", "data": {"collections": []}}')).otherwise(F.lit("<html>"))
+    documents = table(spark, sf, "part").select(text.alias("value"), F.lit("x").alias("source"))
+    _, bad = envelopes.parse_collections(documents)
+    return bad.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _features(spark, sf):
+    """Every catalog row as a search feature; LAZ geometry carries heights, as point clouds do."""
+    items = with_assets(raw_boxes(tile_rings(view(spark, sf, "cat_items_raw"))))
+    flat = F.transform("rings", lambda r: F.transform(r, lambda p: F.when(
+        F.col("collection_id") == "LAZ", F.array(p["x"], p["y"], F.lit(7.5))).otherwise(F.array(p["x"], p["y"]))))
+    stamp = F.date_format("item_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    properties = F.when(F.col("size_bytes").isNull(), F.concat(F.lit('{"datetime": "'), stamp, F.lit('"}'))).otherwise(
+        F.concat(F.lit('{"datetime": "'), stamp, F.lit('", "file:size": '), F.col("size_bytes").cast("string"), F.lit("}")))
+    head = F.to_json(F.struct(
+        F.lit("Feature").alias("type"), F.col("item_id").alias("id"), F.col("collection_id").alias("collection"), "bbox", "assets",
+        F.struct(F.lit("Polygon").alias("type"), flat.alias("coordinates")).alias("geometry")))
+    feature = F.concat(F.expr("substring(h, 1, length(h) - 1)"), F.lit(', "properties": '), F.col("p"), F.lit("}"))
+    return items.withColumn("h", head).withColumn("p", properties).withColumn("feature", feature)
+
+
+_ITEMS_SQL = """
+SELECT search_page, collection_id, item_id, CASE WHEN collection_id = 'MDS-50cm' THEN 'z_visual' ELSE asset_key END AS asset_key,
+       size_bytes, epoch_us(item_ts) AS item_us, (tx - 200) * 1000 AS minx, (ty - 300) * 1000 AS maxy FROM cat_items_raw"""
+
+
+@query("read_item_pages", _ITEMS_SQL)
+def read_item_pages(spark, sf):
+    page = F.concat(F.lit('{"type": "FeatureCollection", "search_page": '), F.col("search_page").cast("string"),
+                    F.lit(', "features": ['), F.col("feature"), F.lit("], \"links\": []}"))
+    documents = _features(spark, sf).select(page.alias("value"))
+    raw = envelopes.read_text(spark, _written(documents, "pages"), lines=True)
+    numbered = raw.withColumn("source", F.get_json_object("value", "$.search_page"))
+    found, _ = envelopes.parse_item_pages(numbered)
+    assets = catalog.to_assets(found.withColumn("item_id", F.concat_ws("|", "item_id", "source")))
+    parts = F.split("item_id", r"\|")
+    b = ring_bounds(F.col("rings"))
+    return assets.select(
+        parts[1].cast("bigint").alias("search_page"), "collection_id", parts[0].alias("item_id"), "asset_key", "size_bytes",
+        F.unix_micros("item_ts").alias("item_us"), b["minx"].cast("bigint").alias("minx"), b["maxy"].cast("bigint").alias("maxy"))
+
+
+@query("stac_pages", """
+SELECT collection_id, item_id, size_bytes, count(*) AS copies FROM cat_items_raw WHERE collection_id IN ('LAZ', 'MDT-2m') AND tx % 2 = 1 GROUP BY 1, 2, 3""")
+def stac_pages(spark, sf):
+    """Recorded searches: two chunks, pages of up to a thousand features linked by name."""
+    from pyspark.sql import Window
+
+    rows = _features(spark, sf).where(F.col("collection_id").isin("LAZ", "MDT-2m", "MDS-2m"))
+    salt = F.col("search_page") % 8
+    order = Window.partitionBy("chunk", "collection_id", "salt").orderBy("search_page", "item_id")
+    placed = rows.select(
+        F.concat(F.lit("chunk-"), (F.col("tx") % 2).cast("string")).alias("chunk"), "collection_id", salt.alias("salt"), "search_page", "item_id", "feature"
+    ).withColumn("page", F.floor((F.row_number().over(order) - 1) / 500))
+    pages = placed.groupBy("chunk", "collection_id", "salt", "page").agg(F.collect_list("feature").alias("features"))
+    follow = Window.partitionBy("chunk", "collection_id").orderBy("salt", "page")
+    name = F.concat(F.lit("page-"), F.lpad(F.row_number().over(follow).cast("string"), 6, "0"), F.lit(".json"))
+    named = pages.withColumn("name", name).withColumn("next", F.lead("name").over(follow))
+    link = F.when(F.col("next").isNull(), F.lit("[]")).otherwise(
+        F.concat(F.lit('[{"rel": "self", "href": "x"}, {"rel": "next", "href": "'), F.col("next"), F.lit('"}]')))
+    text = F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.array_join("features", ","), F.lit('], "links": '), link, F.lit("}"))
+    root = scratch_path(spark, "searches").removeprefix("file:")
+    documents = named.select("chunk", "collection_id", "name", text.alias("text"))
+    documents.foreachPartition(_save_pages(root))
+    raw = search_pages.read_search(spark, root, ["LAZ", "MDT-2m", "MDS-2m"]).where(
+        (F.col("chunk_id") == "chunk-1") & F.col("collection").isin("LAZ", "MDT-2m"))
+    items = search_pages.items_of(raw)
+    from tilelake.functions.assets import asset_size
+
+    return items.withColumn("size_bytes", asset_size(F.col("properties"))).groupBy("collection_id", "item_id", "size_bytes").agg(
+        F.count(F.lit(1)).alias("copies"))
+
+
+def _save_pages(root: str):
+    """Write each page under the name it is linked by."""
+    def save(rows) -> None:
+        import os
+
+        for row in rows:
+            folder = f"{root}/{row['chunk']}/{row['collection_id']}"
+            os.makedirs(folder, exist_ok=True)
+            with open(f"{folder}/{row['name']}", "w", encoding="utf-8") as stream:
+                stream.write(row["text"])
+    return save
+
+
+# -- areas of interest ----------------------------------------------------------------------
+
+
+@query("read_geojson_aoi", f"""
+SELECT cast(floor(w * 1e6 + 0.5) AS bigint) AS west_e6, cast(floor(n * 1e6 + 0.5) AS bigint) AS north_e6, count(*) AS parts
+FROM {_AOI_SQL}, range(2) r(i) WHERE i = 0 OR c_custkey % 3 = 1 GROUP BY 1, 2""")
+def read_geojson_aoi(spark, sf):
+    """Bare geometries, features with an empty companion, and collections in metres."""
+    from tilelake.functions.projections import rings_to_metric
+    from tilelake.functions.rings import to_geojson
+
+    k = F.col("aoi_id").cast("bigint")
+    geometry = to_geojson(F.col("rings"))
+    metric = to_geojson(rings_to_metric(F.col("rings"), F.lit("EPSG:6933")))
+    feature = lambda g: F.concat(F.lit('{"type": "Feature", "properties": {}, "geometry": '), g, F.lit("}"))
+    many = lambda *gs: F.concat(F.lit('"features": ['), F.concat_ws(",", *[feature(g) for g in gs]), F.lit("]}"))
+    text = (
+        F.when(k % 3 == 0, geometry)
+        .when(k % 3 == 1, F.concat(F.lit('{"type": "FeatureCollection", '), many(geometry, F.lit("null"), geometry)))
+        .otherwise(F.concat(F.lit('{"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::6933"}}, '), many(metric))))
+    documents = lonlat_aoi(spark, sf).select(text.alias("value"))
+    parts, _ = aoi.read_geojson_aoi(spark, _written(documents, "geojson"), lines=True)
+    b = ring_bounds(F.col("rings"))
+    e6 = lambda c: F.floor(c * 1e6 + 0.5).cast("bigint")
+    return parts.groupBy(e6(b["minx"]).alias("west_e6"), e6(b["maxy"]).alias("north_e6")).agg(F.count(F.lit(1)).alias("parts"))
+
+
+_L_SQL = "(SELECT s_suppkey, (s_suppkey % 9 + 1) * 100 AS a, (s_suppkey % 37) * 50 AS x, (s_suppkey % 23) * 70 AS y FROM supplier) l"
+
+
+@query("aoi_from_wkt", f"""
+SELECT cast(s_suppkey AS varchar) AS aoi_id, i::int AS part_id, CASE WHEN i = 0 THEN 3 * a * a ELSE 15 END AS area FROM {_L_SQL}, range(2) r(i)
+WHERE s_suppkey % 4 <> 3 AND (i = 0 OR s_suppkey % 4 = 1)""")
+def aoi_from_wkt(spark, sf):
+    text = lambda c: c.cast("string")
+    corner = lambda dx, dy: F.concat(text(F.col("x") + F.col("a") * dx), F.lit(" "), text(F.col("y") + F.col("a") * dy))
+    ring = F.concat(F.lit("("), F.concat_ws(", ", *[corner(*c) for c in ((0, 0), (2, 0), (2, 1), (1, 1), (1, 2), (0, 2), (0, 0))]), F.lit(")"))
+    k = F.col("s_suppkey")
+    wkt = (
+        F.when(k % 4 == 1, F.concat(F.lit("MULTIPOLYGON (("), ring, F.lit("), ((5 5, 9 5, 9 9, 5 9, 5 5), (6 6, 7 6, 7 7, 6 7, 6 6)))")))
+        .when(k % 4 == 3, F.lit("POLYGON ((0 0, 1 1))")).otherwise(F.concat(F.lit("polygon("), ring, F.lit(")"))))
+    parts, _ = aoi.aoi_from_wkt(_l_shape(spark, sf).select(k.cast("string").alias("aoi_id"), wkt.alias("wkt")))
+    return parts.select("aoi_id", "part_id", planar_area(F.col("rings")).cast("bigint").alias("area"))
+
+
+def _bbox_text(spark, sf):
+    k = F.col("o_orderkey")
+    box = F.concat_ws(", ", (k % 90).cast("string"), (k % 45).cast("string"), (k % 90 + k % 3).cast("string"), (k % 45 + 1).cast("string"))
+    return table(spark, sf, "orders").select("o_orderkey", k.cast("string").alias("aoi_id"), F.when(k % 7 == 5, F.lit("1,2,x,4")).when(
+        k % 7 == 6, F.lit("1,2,3")).otherwise(box).alias("bbox"))
+
+
+_BBOX_OK = "o_orderkey % 7 < 5 AND o_orderkey % 3 > 0"
+
+
+@query("parse_bbox", f"""
+SELECT o_orderkey, CASE WHEN {_BBOX_OK} THEN o_orderkey % 90 END AS west, CASE WHEN {_BBOX_OK} THEN o_orderkey % 45 + 1 END AS north FROM orders""")
+def parse_bbox(spark, sf):
+    b = aoi.parse_bbox(F.col("bbox"))
+    return _bbox_text(spark, sf).select("o_orderkey", b["minx"].cast("bigint").alias("west"), b["maxy"].cast("bigint").alias("north"))
+
+
+@query("aoi_from_bbox", f"SELECT cast(o_orderkey AS varchar) AS aoi_id, o_orderkey % 3 AS area FROM orders WHERE {_BBOX_OK}")
+def aoi_from_bbox(spark, sf):
+    parts, _ = aoi.aoi_from_bbox(_bbox_text(spark, sf))
+    return parts.select("aoi_id", planar_area(F.col("rings")).cast("bigint").alias("area"))
+
+
+@query("aoi_bbox_violations", f"SELECT cast(o_orderkey AS varchar) AS aoi_id FROM orders WHERE NOT ({_BBOX_OK})")
+def aoi_bbox_violations(spark, sf):
+    return aoi.aoi_from_bbox(_bbox_text(spark, sf))[1].select("aoi_id")
+
+
+@query("aoi_reprojected", "SELECT s_suppkey, true AS is_back FROM supplier")
+def aoi_reprojected(spark, sf):
+    """Metric rings to lon/lat and back agree to a micrometre."""
+    from tilelake.functions.projections import rings_to_metric
+
+    metric = rings_to_metric(rings_to_lonlat(F.col("rings"), F.lit("EPSG:3763")), F.lit("EPSG:3763"))
+    far = F.aggregate(
+        F.zip_with(F.flatten("rings"), F.flatten(metric), lambda p, q: F.greatest(F.abs(p["x"] - q["x"]), F.abs(p["y"] - q["y"]))),
+        F.lit(0.0), lambda m, d: F.greatest(m, d))
+    return _l_shape(spark, sf).select("s_suppkey", (far < 1e-5).alias("is_back"))
+
+
+# -- plain tables ---------------------------------------------------------------------------
+
+
+@query("read_inventory")
+def read_inventory(spark, sf):
+    """Files of a written pyramid, by folder."""
+    path = scratch_path(spark, "inventory")
+    sinks.write_pyramid(raster.pyramid(cells(spark, sf), [2, 4]), path)
+    found = tables.split_inventory(tables.read_inventory(spark, path, "*.parquet"))
+    return found.groupBy(F.split("path", "/")[0].alias("folder")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+@query("read_raster_headers", "SELECT path, cast(width AS int) AS width, cast(height AS int) AS height, cast(minx * 10 AS bigint) AS minx_dm FROM raster_headers")
+def read_raster_headers(spark, sf):
+    path = scratch_path(spark, "headers")
+    headers(spark, sf).drop("tile_col", "tile_row").write.parquet(path)
+    return tables.read_raster_headers(spark, path).select("path", "width", "height", (F.col("minx") * 10).cast("bigint").alias("minx_dm"))
+
+
+@query("read_request_log", "SELECT req_id, client_id, cast(status AS int) AS status, retry_after, nbytes FROM request_log")
+def read_request_log(spark, sf):
+    path = scratch_path(spark, "log")
+    log_rows(spark, sf).write.parquet(path)
+    return tables.read_request_log(spark, path).select("req_id", "client_id", "status", "retry_after", "nbytes")
+
+
+# -- sinks ----------------------------------------------------------------------------------
+
+
+def _unique_items(spark, sf):
+    return catalog.dedup_items(tile_rings(view(spark, sf, "cat_items_raw").where("collection_id <> 'ORTOS-2021'")))
+
+
+@query("write_feature_lines", "SELECT DISTINCT collection_id, item_id, (tx - 200) * 1000 AS minx FROM cat_items_raw WHERE collection_id <> 'ORTOS-2021'")
+def write_feature_lines(spark, sf):
+    path = scratch_path(spark, "features")
+    sinks.write_feature_json(_unique_items(spark, sf), path)
+    items = envelopes.parse_features(spark.read.text(path).withColumnRenamed("value", "feature"))
+    return items.select("collection_id", "item_id", F.col("bbox")[0].cast("bigint").alias("minx"))
+
+
+@query("write_feature_collection", """
+SELECT 2 AS frame_lines, count(*) - 1 AS commas, count(*) AS features FROM (SELECT DISTINCT collection_id, item_id FROM cat_items_raw WHERE collection_id <> 'ORTOS-2021') t""")
+def write_feature_collection(spark, sf):
+    path = scratch_path(spark, "collection")
+    sinks.write_feature_json(_unique_items(spark, sf), path, "collection")
+    line = F.col("value")
+    is_feature = line.contains('"geometry"')
+    return spark.read.text(path).agg(
+        F.count_if(~is_feature).cast("int").alias("frame_lines"), F.count_if(is_feature & line.startswith(",")).alias("commas"), F.count_if(is_feature).alias("features"))
+
+
+@query("write_manifest", "SELECT collection_id, item_id, asset_key, dest, status, bytes_transferred::bigint AS bytes_transferred FROM outcomes WHERE run_id = 1")
+def write_manifest(spark, sf):
+    from tilelake.schemas import MANIFEST
+
+    outcomes = view(spark, sf, "outcomes").where("run_id = 1").select(
+        "*", F.element_at(F.split("dest", "/"), -1).alias("storage_filename"), F.lit(None).cast("string").alias("error"), F.lit("secret").alias("href"))
+    path = scratch_path(spark, "manifest")
+    sinks.write_manifest(outcomes, path)
+    return spark.read.schema(MANIFEST).json(path).select("collection_id", "item_id", "asset_key", "dest", "status", "bytes_transferred")
+
+
+@query("write_failures", "SELECT dest AS source_path, 'bad, \"quoted\" header' AS error FROM placed_assets WHERE m >= 8")
+def write_failures(spark, sf):
+    from tilelake.schemas import FAILURES
+
+    results = view(spark, sf, "placed_assets").select(
+        F.col("dest").alias("source_path"), F.lit('bad, "quoted" header').alias("error"), F.lit("2024-01-01T00:00:00Z").alias("timestamp"),
+        (F.col("m") < 8).alias("ok"), (F.col("m") < 4).alias("skipped"), F.col("size_bytes").alias("input_bytes"), F.col("size_bytes").alias("output_bytes"))
+    failed, summary = scratch_path(spark, "failed"), scratch_path(spark, "summary")
+    sinks.write_failures(results, failed, summary)
+    return spark.read.schema(FAILURES).option("header", "true").option("escape", "\\").csv(failed).select("source_path", "error")
+
+
+@query("write_pyramid", "SELECT f::int AS factor, count(*) AS cells FROM (SELECT DISTINCT f, px // f, py // f FROM pixels, (VALUES (2), (4), (8)) v(f)) t GROUP BY 1")
+def write_pyramid(spark, sf):
+    path = scratch_path(spark, "pyramid")
+    sinks.write_pyramid(raster.pyramid(cells(spark, sf), [2, 4, 8]), path)
+    return spark.read.parquet(path).groupBy("factor").agg(F.count(F.lit(1)).alias("cells"))
+
+
+@query("write_regions", "SELECT (px // 40)::int AS region_col, (py // 25)::int AS region_row, count(*) AS cells FROM pixels GROUP BY 1, 2")
+def write_regions(spark, sf):
+    path = scratch_path(spark, "regions")
+    keyed = cells(spark, sf).withColumn("region_col", F.floor(F.col("px") / 40).cast("int")).withColumn("region_row", F.floor(F.col("py") / 25).cast("int"))
+    sinks.write_regions(keyed, path)
+    return spark.read.parquet(path).groupBy("region_col", "region_row").agg(F.count(F.lit(1)).alias("cells"))
+
+
+@query("plan_download", f"""
+SELECT count(*) FILTER (WHERE NOT is_complete) AS to_fetch, (SELECT sum(cast(ceil(n / 10.0) AS bigint))::bigint FROM (
+  SELECT collection_id, count(*) AS n FROM ({_RECONCILE_SQL}) q WHERE NOT is_complete GROUP BY 1) b) AS batches,
+  sum(CASE WHEN NOT is_complete THEN size_bytes ELSE 0 END) + 1000000000 <= 30000000000 AS fits FROM ({_RECONCILE_SQL}) r""")
+def plan_download(spark, sf):
+    from tilelake.plans.lifecycle import plan_download as op
+
+    volumes = spark.createDataFrame([("main", 30_000_000_000)], "volume string, free_bytes bigint")
+    planned = op(view(spark, sf, "assets"), view(spark, sf, "inventory"), volumes, "main", batch_size=10)
+    return planned.summary.select(
+        "to_fetch", planned.batches.agg(F.count(F.lit(1))).scalar().alias("batches"), planned.budget.select("fits").scalar().alias("fits"))
+
+
