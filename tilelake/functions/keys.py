@@ -10,24 +10,24 @@ TILE_SIZE_M = 1000.0
 TILE_X_ORIGIN = 200
 TILE_Y_ORIGIN = 300
 
-TILE_ID_PATTERN = r"(?s)^(.+)-(\d{3})(\d{3})-(\d{2})-(\d{4})$"
-
-
-def _part(item_id: Column, group: int) -> Column:
-    return F.regexp_extract(item_id, TILE_ID_PATTERN, group)
+# An id ends in a fixed-width tail, which is cheaper to cut than to match group by group.
+TAIL_PATTERN = r"^-[0-9]{6}-[0-9]{2}-[0-9]{4}$"
+TAIL_WIDTH = 15
 
 
 def decode_tile_key(item_id: Column) -> Column:
     """``prefix-XXXYYY-LL-YYYY`` read from the right; NULL for any other id."""
-    number = lambda group: _part(item_id, group).cast("int")
+    tail = F.substring(item_id, -TAIL_WIDTH, TAIL_WIDTH)
+    number = lambda start, width: F.substring(item_id, start, width).try_cast("int")
+    prefix_width = F.length(item_id) - TAIL_WIDTH
     return F.when(
-        item_id.rlike(TILE_ID_PATTERN),
+        (prefix_width > 0) & tail.rlike(TAIL_PATTERN),
         F.struct(
-            _part(item_id, 1).alias("prefix"),
-            number(2).alias("tile_x"),
-            number(3).alias("tile_y"),
-            number(4).alias("lot"),
-            number(5).alias("year"),
+            F.substring(item_id, F.lit(1), prefix_width).alias("prefix"),
+            number(-14, 3).alias("tile_x"),
+            number(-11, 3).alias("tile_y"),
+            number(-7, 2).alias("lot"),
+            number(-4, 4).alias("year"),
         ),
     )
 

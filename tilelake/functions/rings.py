@@ -29,10 +29,20 @@ def rectangle(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
 
 def ring_bounds(rings: Column) -> Column:
     """Bounds of all vertices; NULL without any."""
-    xs = F.transform(F.flatten(rings), lambda p: p["x"])
-    ys = F.transform(F.flatten(rings), lambda p: p["y"])
-    bounds = box(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
-    return F.when(F.size(F.flatten(rings)) > 0, bounds)
+
+    def of(vertices: Column) -> Column:
+        xs = F.transform(vertices, lambda p: p["x"])
+        ys = F.transform(vertices, lambda p: p["y"])
+        bounds = box(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
+        return F.when(F.size(vertices) > 0, bounds)
+
+    return bind(F.flatten(rings), of)
+
+
+def is_box(rings: Column, bounds: Column) -> Column:
+    """True for a polygon that equals its bounds."""
+    extent = (bounds["maxx"] - bounds["minx"]) * (bounds["maxy"] - bounds["miny"])
+    return (F.size(rings) == 1) & (planar_area(rings) == extent)
 
 
 def _pairs(ring: Column, make) -> Column:
@@ -132,25 +142,27 @@ def _on_segment(p: Column, q: Column, x: Column, y: Column) -> Column:
     )
 
 
-def _edges(rings: Column) -> Column:
+def edges(rings: Column) -> Column:
     edge = lambda p, q: F.struct(p.alias("p"), q.alias("q"))
     return F.flatten(F.transform(rings, lambda r: _pairs(r, edge)))
 
 
-def point_in_polygon(x: Column, y: Column, rings: Column) -> Column:
-    """Even-odd test with the boundary counted as inside; holes follow from the parity."""
+def _on_edges(x: Column, y: Column, border: Column) -> Column:
+    return F.exists(border, lambda e: _on_segment(e["p"], e["q"], x, y))
 
-    def scan(edges: Column) -> Column:
-        on_edge = F.exists(edges, lambda e: _on_segment(e["p"], e["q"], x, y))
 
-        def crosses(e: Column) -> Column:
-            p, q = e["p"], e["q"]
-            at = p["x"] + (y - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0)) * (q["x"] - p["x"])
-            return ((p["y"] > y) != (q["y"] > y)) & F.coalesce(x < at, F.lit(False))
+def _inside_or_on(x: Column, y: Column, border: Column) -> Column:
+    def crosses(e: Column) -> Column:
+        p, q = e["p"], e["q"]
+        at = p["x"] + (y - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0)) * (q["x"] - p["x"])
+        return ((p["y"] > y) != (q["y"] > y)) & F.coalesce(x < at, F.lit(False))
 
-        return on_edge | (F.size(F.filter(edges, crosses)) % 2 == 1)
+    return (F.size(F.filter(border, crosses)) % 2 == 1) | _on_edges(x, y, border)
 
-    return bind(_edges(rings), scan)
+
+def point_in_polygon(x: Column, y: Column, rings: Column) -> Column:
+    """Even-odd test with the boundary counted as inside; holes follow from the parity."""
+    return bind(edges(rings), lambda border: _inside_or_on(x, y, border))
 
 
 def _segments_touch(e: Column, f: Column) -> Column:
@@ -168,16 +180,21 @@ def _segments_touch(e: Column, f: Column) -> Column:
     return ~apart & (side(p, q, r) * side(p, q, s) <= 0) & (side(r, s, p) * side(r, s, q) <= 0)
 
 
-def polygons_intersect(a: Column, b: Column) -> Column:
-    """True when two polygons share at least one point (touching counts)."""
-    crossing = bind(
-        F.struct(_edges(a).alias("a"), _edges(b).alias("b")),
-        lambda e: F.exists(
-            e["a"], lambda ea: F.exists(e["b"], lambda eb: _segments_touch(ea, eb))
-        ),
-    )
+def polygons_intersect(a: Column, b: Column, b_edges: Column | None = None) -> Column:
+    """True when two polygons share at least one point (touching counts).
+
+    ``b_edges`` may hold ``edges(b)``, computed once where ``b`` meets many partners.
+    """
     first = lambda r: (r[0][0]["x"], r[0][0]["y"])
-    return point_in_polygon(*first(a), b) | point_in_polygon(*first(b), a) | crossing
+    border = edges(b) if b_edges is None else b_edges
+
+    def test(e: Column) -> Column:
+        crossing = F.exists(
+            e["a"], lambda ea: F.exists(e["b"], lambda eb: _segments_touch(ea, eb))
+        )
+        return _inside_or_on(*first(a), e["b"]) | _inside_or_on(*first(b), e["a"]) | crossing
+
+    return bind(F.struct(edges(a).alias("a"), border.alias("b")), test)
 
 
 def polygons_overlap(a: Column, b: Column) -> Column:
@@ -188,8 +205,7 @@ def polygons_overlap(a: Column, b: Column) -> Column:
     """
 
     def strictly_inside(x: Column, y: Column, rings: Column) -> Column:
-        on_border = F.exists(_edges(rings), lambda e: _on_segment(e["p"], e["q"], x, y))
-        return point_in_polygon(x, y, rings) & ~on_border
+        return point_in_polygon(x, y, rings) & ~_on_edges(x, y, edges(rings))
 
     def probes(rings: Column) -> Column:
         outer = F.slice(rings[0], F.lit(1), F.size(rings[0]) - 1)
@@ -218,7 +234,7 @@ def polygons_overlap(a: Column, b: Column) -> Column:
         probes(u), lambda p: strictly_inside(p["x"], p["y"], v)
     )
     crossing = bind(
-        F.struct(_edges(a).alias("a"), _edges(b).alias("b")),
+        F.struct(edges(a).alias("a"), edges(b).alias("b")),
         lambda e: F.exists(e["a"], lambda ea: F.exists(e["b"], lambda eb: crosses(ea, eb))),
     )
     return any_inside(a, b) | any_inside(b, a) | crossing

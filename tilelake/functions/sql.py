@@ -14,7 +14,6 @@ from pyspark.sql.functions import udtf
 
 from tilelake.functions import grid, http, keys, naming, projections
 
-_ID = keys.TILE_ID_PATTERN.replace("\\", "\\\\")
 _EXTENSIONS = ", ".join(f"'{k}', '{v}'" for k, v in naming.MEDIA_EXTENSIONS.items())
 _ALPHA_N = " + ".join(
     f"{a!r}D * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(projections._ALPHA, 1)
@@ -26,11 +25,14 @@ _ALPHA_E = " + ".join(
 FUNCTIONS = {
     "tl_decode_tile_key(id STRING)": (
         "STRUCT<prefix: STRING, tile_x: INT, tile_y: INT, lot: INT, year: INT>",
-        f"CASE WHEN id RLIKE '{_ID}' THEN named_struct("
-        f"'prefix', regexp_extract(id, '{_ID}', 1), "
+        f"CASE WHEN length(id) > {keys.TAIL_WIDTH} AND right(id, {keys.TAIL_WIDTH}) "
+        f"RLIKE '{keys.TAIL_PATTERN}' THEN named_struct("
+        f"'prefix', left(id, length(id) - {keys.TAIL_WIDTH}), "
         + ", ".join(
-            f"'{name}', cast(regexp_extract(id, '{_ID}', {g}) AS INT)"
-            for g, name in enumerate(("tile_x", "tile_y", "lot", "year"), 2)
+            f"'{name}', try_cast(substring(id, {start}, {width}) AS INT)"
+            for name, start, width in (
+                ("tile_x", -14, 3), ("tile_y", -11, 3), ("lot", -7, 2), ("year", -4, 4)
+            )
         ) + ") END",
     ),
     "tl_tile_extent(tile_x INT, tile_y INT)": (

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilelake.functions.grid import DEFAULT_NODATA, clamp_bounds, half_even, snap_outward
+from tilelake.functions.let import bind
 from tilelake.operators.slices import row_numbers
 
 # Tolerances and defaults of the tile-set and pyramid rules.
@@ -317,23 +318,34 @@ def overview_factor_list(
 ) -> Column:
     """``overview_factors`` for a table of mosaics; NULL where the ratio is not a whole number."""
     ratio = ensure / native
-    factor = F.coalesce(half_even(ratio), F.lit(1))
-    longest = F.greatest(width, height)
-    powers = F.transform(F.sequence(F.lit(1), F.lit(40)), lambda k: F.pow(F.lit(2.0), k).cast("bigint"))
-    below = F.filter(powers, lambda p: (p < factor) & (factor % p == 0))
-    start = F.when(factor == 1, F.lit(2)).otherwise(factor)
-    doubled = F.transform(
-        F.sequence(F.lit(0), F.lit(39)), lambda k: start * F.pow(F.lit(2.0), k).cast("bigint")
-    )
-    # A doubling is kept while the level before it is still too large.
-    above = F.filter(
-        doubled, lambda f: (f == start) | (F.floor(longest / (f / 2)) > stop)
-    )
-    fine = ensure.isNull() | (
+    whole = ensure.isNull() | (
         (native > 0) & (ensure >= native)
-        & (F.abs(ratio - factor) <= RATIO_TOLERANCE * F.greatest(factor, F.lit(1)))
+        & (F.abs(ratio - F.rint(ratio)) <= RATIO_TOLERANCE * F.greatest(F.rint(ratio), F.lit(1.0)))
+    )
+    bits = lambda n: F.when(n > 0, F.length(F.bin(n))).otherwise(0)
+    none = F.array().cast("array<bigint>")
+    powers = lambda first, base, count: F.when(
+        count > 0,
+        F.transform(F.sequence(first, first + count - 1), lambda k: F.pow(F.lit(2.0), k).cast("bigint") * base),
+    ).otherwise(none)
+
+    def levels(s: Column) -> Column:
+        factor, start = s["factor"], F.when(s["factor"] == 1, F.lit(2)).otherwise(s["factor"])
+        # Powers of two below the factor that divide it: up to its lowest set bit.
+        low = bits(factor.bitwiseAND(-factor)) - 1
+        low = F.when(F.pow(F.lit(2.0), low).cast("bigint") == factor, low - 1).otherwise(low)
+        # Doublings until longest // f <= stop, that is 2**d > longest // ((stop + 1) * start).
+        more = bits(F.floor(s["longest"] / (start * (stop + 1))))
+        return F.concat(
+            powers(F.lit(1), F.lit(1).cast("bigint"), low),
+            powers(F.lit(0), start.cast("bigint"), more + 1),
+        )
+
+    facts = F.struct(
+        F.coalesce(half_even(ratio), F.lit(1).cast("bigint")).alias("factor"),
+        F.greatest(width, height).alias("longest"),
     )
-    return F.when(fine, F.concat(below, above))
+    return F.when(whole, bind(facts, levels))
 
 
 def required_levels(

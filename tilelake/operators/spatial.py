@@ -11,12 +11,15 @@ from tilelake.functions.grid import box
 from tilelake.functions.projections import metric_crs, rings_to_lonlat, rings_to_metric
 from tilelake.functions.rings import (
     clip_to_box,
+    edges,
+    is_box,
     planar_area,
     polygons_intersect,
     polygons_overlap,
     ring_bounds,
 )
 from tilelake.operators.catalog import ITEM_IDENTITY
+from tilelake.session import materialize
 
 # Default chunk area, and the piece size below which a chunk is float noise.
 CHUNK_KM2 = 2000.0
@@ -92,17 +95,18 @@ def chunk_aoi(aoi: DataFrame, max_km2: float = CHUNK_KM2) -> DataFrame:
     if max_km2 <= 0:
         raise ValueError(f"chunk size must be positive (got {max_km2})")
     side = F.lit(math.sqrt(max_km2) * 1000.0)
-    metric = with_metric(aoi).withColumn("b", ring_bounds(F.col("metric_rings")))
+    metric = with_metric(aoi).withColumn("own", ring_bounds(F.col("metric_rings")))
+    metric = materialize(metric.withColumn("part_m2", planar_area(F.col("metric_rings"))), "aoi")
     areas = metric.groupBy("aoi_id").agg(
-        F.sum(planar_area(F.col("metric_rings"))).alias("area_m2"),
-        F.min("b.minx").alias("minx"), F.min("b.miny").alias("miny"),
-        F.max("b.maxx").alias("maxx"), F.max("b.maxy").alias("maxy"),
+        F.sum("part_m2").alias("area_m2"),
+        F.min("own.minx").alias("minx"), F.min("own.miny").alias("miny"),
+        F.max("own.maxx").alias("maxx"), F.max("own.maxy").alias("maxy"),
     )
-    parts = metric.drop("b").join(areas, "aoi_id")
+    parts = metric.join(areas, "aoi_id")
     is_large = F.col("area_m2") > max_km2 * 1_000_000.0
-    whole = parts.where(~is_large).select(
+    uncut = lambda df: df.select(
         "aoi_id", F.lit(0).alias("chunk_col"), F.lit(0).alias("chunk_row"), "part_id", "rings",
-        (planar_area(F.col("metric_rings")) / 1_000_000.0).alias("area_km2"),
+        (F.col("part_m2") / 1_000_000.0).alias("area_km2"),
     )
 
     def steps(low: str, high: str, own_low: Column, own_high: Column) -> Column:
@@ -112,65 +116,68 @@ def chunk_aoi(aoi: DataFrame, max_km2: float = CHUNK_KM2) -> DataFrame:
         last = F.floor((own_high - F.col(low)) / side).cast("int")
         return F.sequence(F.greatest(first, F.lit(0)), F.least(last, count - 1))
 
-    own = ring_bounds(F.col("metric_rings"))
     strips = (
         parts.where(is_large)
-        .withColumn("own", own)
         .withColumn(
-            "chunk_row", F.explode(steps("miny", "maxy", F.col("own.miny"), F.col("own.maxy")))
+            "chunk_row",
+            F.explode_outer(steps("miny", "maxy", F.col("own.miny"), F.col("own.maxy"))),
         )
         .withColumn("lo", F.col("miny") + F.col("chunk_row") * side)
         .withColumn("hi", F.least(F.col("lo") + side, F.col("maxy")))
         .withColumn(
-            "metric_rings",
+            "strip",
             clip_to_box(
                 F.col("metric_rings"), box(F.col("minx"), F.col("lo"), F.col("maxx"), F.col("hi"))
             ),
         )
-        .where(F.size("metric_rings") > 0)
+        .select(
+            "aoi_id", "part_id", "crs", "chunk_row", "minx", "maxx", "lo", "hi", "strip",
+        )
         .repartition("aoi_id", "chunk_row", "part_id")
+        .withColumn("own", ring_bounds(F.col("strip")))
+        .where(F.col("own").isNotNull())
     )
     cells = (
-        strips.withColumn("own", own)
-        .withColumn(
-            "chunk_col", F.explode(steps("minx", "maxx", F.col("own.minx"), F.col("own.maxx")))
+        strips.withColumn(
+            "chunk_col",
+            F.explode_outer(steps("minx", "maxx", F.col("own.minx"), F.col("own.maxx"))),
         )
         .withColumn("left", F.col("minx") + F.col("chunk_col") * side)
         .withColumn("right", F.least(F.col("left") + side, F.col("maxx")))
-        .withColumn(
-            "piece",
+        .select(
+            "aoi_id", "chunk_col", "chunk_row", "part_id", "crs",
             clip_to_box(
-                F.col("metric_rings"), box(F.col("left"), F.col("lo"), F.col("right"), F.col("hi"))
-            ),
+                F.col("strip"), box(F.col("left"), F.col("lo"), F.col("right"), F.col("hi"))
+            ).alias("piece"),
         )
         .withColumn("m2", planar_area(F.col("piece")))
-        .where(F.col("m2") > 0)
     )
+    # Written once: the pieces are read for the chunk totals and for the result.
+    cut = materialize(cells, "chunks").where(F.col("m2") > 0)
+    keys = ["aoi_id", "chunk_col", "chunk_row"]
     # A chunk counts once its pieces together exceed the noise level.
     kept = (
-        cells.groupBy("aoi_id", "chunk_col", "chunk_row")
-        .agg(F.sum("m2").alias("chunk_m2"))
-        .where(F.col("chunk_m2") > MIN_CHUNK_AREA_M2)
-        .drop("chunk_m2")
+        cut.groupBy(*keys).agg(F.sum("m2").alias("chunk_m2"))
+        .where(F.col("chunk_m2") > MIN_CHUNK_AREA_M2).select(*keys)
     )
-    pieces = cells.join(kept, ["aoi_id", "chunk_col", "chunk_row"], "left_semi").select(
-        "aoi_id", "chunk_col", "chunk_row", "part_id",
-        rings_to_lonlat(F.col("piece"), F.col("crs")).alias("rings"),
+    pieces = cut.join(kept, keys, "left_semi").select(
+        *keys, "part_id", rings_to_lonlat(F.col("piece"), F.col("crs")).alias("rings"),
         (F.col("m2") / 1_000_000.0).alias("area_km2"),
     )
     # Never empty: an area of slivers only stays whole.
-    slivers = parts.where(is_large).join(kept, "aoi_id", "left_anti").select(
-        "aoi_id", F.lit(0).alias("chunk_col"), F.lit(0).alias("chunk_row"), "part_id", "rings",
-        (planar_area(F.col("metric_rings")) / 1_000_000.0).alias("area_km2"),
-    )
-    return whole.unionByName(pieces).unionByName(slivers)
+    slivers = parts.where(is_large).join(kept.select("aoi_id"), "aoi_id", "left_anti")
+    return uncut(parts.where(~is_large)).unionByName(pieces).unionByName(uncut(slivers))
+
+
+# Exploding here uses the outer form: the sequences are never empty, and for the inner form
+# Spark would add a filter that evaluates the geometry expressions once more.
 
 
 def _cover(df: DataFrame, bounds: str, cell: float) -> DataFrame:
     """One row per grid cell that the bounds touch."""
     index = lambda side: F.floor(F.col(f"{bounds}.{side}") / cell)
-    return df.withColumn("_cx", F.explode(F.sequence(index("minx"), index("maxx")))).withColumn(
-        "_cy", F.explode(F.sequence(index("miny"), index("maxy")))
+    return df.withColumn("_cx", F.explode_outer(F.sequence(index("minx"), index("maxx")))).withColumn(
+        "_cy", F.explode_outer(F.sequence(index("miny"), index("maxy")))
     )
 
 
@@ -184,7 +191,7 @@ def _fits_broadcast(areas: DataFrame, cell: float) -> bool:
     span = lambda low, high: (
         F.floor(F.col(f"_ab.{high}") / cell) - F.floor(F.col(f"_ab.{low}") / cell) + 1
     )
-    row_bytes = F.size(F.flatten("_area")) * 24 + 200
+    row_bytes = F.size(F.flatten("_area")) * 80 + 200
     total = areas.agg(
         F.sum(span("minx", "maxx").cast("double") * span("miny", "maxy") * row_bytes)
     ).first()[0]
@@ -198,13 +205,13 @@ def _area_cover(areas: DataFrame, cell: float) -> DataFrame:
     """
     index = lambda side: F.floor(F.col(f"_ab.{side}") / cell)
     columns = areas.withColumn(
-        "_cx", F.explode(F.sequence(index("minx"), index("maxx")))
+        "_cx", F.explode_outer(F.sequence(index("minx"), index("maxx")))
     ).withColumn("_strip", clip_to_box(
         F.col("_area"),
         box(F.col("_cx") * cell, F.col("_ab.miny"), (F.col("_cx") + 1) * cell, F.col("_ab.maxy")),
     ))
     spread = columns.repartition("_cx", "_part")
-    cells = spread.withColumn("_cy", F.explode(F.sequence(index("miny"), index("maxy"))))
+    cells = spread.withColumn("_cy", F.explode_outer(F.sequence(index("miny"), index("maxy"))))
     covered = planar_area(clip_to_box(F.col("_strip"), _cell_box(cell)))
     return cells.withColumn("_full", covered >= cell * cell).drop("_strip")
 
@@ -224,29 +231,37 @@ def _in_cell(rings: Column, cell: float) -> Column:
     )
 
 
-def search_chunked(items: DataFrame, chunks: DataFrame, cell: float) -> DataFrame:
+def search_chunked(
+    items: DataFrame, chunks: DataFrame, cell: float, bounds: Column | None = None
+) -> DataFrame:
     """Every item with every chunk part it meets (touching counts).
 
     ``items`` and ``chunks`` carry ``rings`` in the same plane; ``cell`` is the grid size in its
-    units, best a few times the size of an item. Cut large areas with ``chunk_aoi`` first. A
-    tile across a chunk border appears once per chunk.
+    units, best a few times the size of an item. ``bounds`` may give the items' boxes where they
+    are known already. Cut large areas with ``chunk_aoi`` first. A tile across a chunk border
+    appears once per chunk.
 
     Both sides are keyed by grid cell and joined on equality. A pair is kept only in the cell
     that holds the lower-left corner of the common box, so no distinct has to undo the
-    exploding. An item with a corner in a cell that the area fills needs no exact test.
+    exploding. Boxes, and items with a corner in a cell that the area fills, need no exact test.
     """
     ids = [c for c in ("aoi_id", "chunk_col", "chunk_row", "part_id") if c in chunks.columns]
-    areas = chunks.select(
-        *ids, F.xxhash64(*ids).alias("_part"), F.col("rings").alias("_area"),
-        ring_bounds(F.col("rings")).alias("_ab"),
-    ).where(F.col("_ab").isNotNull())
+    areas = (
+        chunks.select(
+            *ids, F.xxhash64(*ids).alias("_part"), F.col("rings").alias("_area"),
+            ring_bounds(F.col("rings")).alias("_ab"),
+        )
+        .where(F.col("_ab").isNotNull())
+        .withColumn("_ae", edges(F.col("_area")))
+        .withColumn("_abox", is_box(F.col("_area"), F.col("_ab")))
+    )
     cover = _area_cover(areas, cell)
     if _fits_broadcast(areas, cell):
         cover = F.broadcast(cover)
     else:
         cover = cover.hint("merge")  # sorted by cell; AQE splits a cell full of items
-    bounded = items.withColumn("_ib", ring_bounds(F.col("rings"))).where(F.col("_ib").isNotNull())
-    joined = _cover(bounded, "_ib", cell).join(cover, ["_cx", "_cy"])
+    boxed = items.withColumn("_ib", ring_bounds(F.col("rings")) if bounds is None else bounds)
+    joined = _cover(boxed.where(F.col("rings").isNotNull()), "_ib", cell).join(cover, ["_cx", "_cy"])
     x0 = F.greatest("_ib.minx", "_ab.minx")
     y0 = F.greatest("_ib.miny", "_ab.miny")
     meet = (
@@ -254,13 +269,20 @@ def search_chunked(items: DataFrame, chunks: DataFrame, cell: float) -> DataFram
         & (F.col("_ib.miny") <= F.col("_ab.maxy")) & (F.col("_ib.maxy") >= F.col("_ab.miny"))
     )
     here = (F.floor(x0 / cell) == F.col("_cx")) & (F.floor(y0 / cell) == F.col("_cy"))
-    exact = F.when(F.col("_full") & _in_cell(F.col("rings"), cell), F.lit(True)).otherwise(
-        polygons_intersect(F.col("rings"), F.col("_area"))
+    # One CASE from cheap to dear: Spark evaluates parts shared by the sides of an AND or OR up
+    # front for every row, but keeps the branches of a CASE lazy.
+    hit = (
+        F.when(~(meet & here), F.lit(False))
+        .when(F.col("_abox") & is_box(F.col("rings"), F.col("_ib")), F.lit(True))
+        .when(F.col("_full") & _in_cell(F.col("rings"), cell), F.lit(True))
+        .otherwise(polygons_intersect(F.col("rings"), F.col("_area"), F.col("_ae")))
     )
-    return joined.where(meet & here).where(exact).select(*items.columns, *ids)
+    return joined.where(hit).select(*items.columns, *ids)
 
 
-def search(items: DataFrame, aoi: DataFrame, cell: float) -> DataFrame:
+def search(
+    items: DataFrame, aoi: DataFrame, cell: float, bounds: Column | None = None
+) -> DataFrame:
     """Items that meet any part of the area, each once."""
-    hits = search_chunked(items, aoi, cell)
+    hits = search_chunked(items, aoi, cell, bounds)
     return hits.select(*items.columns).dropDuplicates(list(ITEM_IDENTITY))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tilelake.functions.grid import estimate_bytes, quantize
 from tilelake.operators import catalog, plan, raster, spatial
+from tilelake.session import materialize
 
 
 def search_assets(
@@ -46,7 +47,8 @@ def plan_download(
     layout: str = "by_collection", overwrite: bool = False, batch_size: int | None = None,
 ) -> DownloadPlan:
     """What to fetch, how much, in which batches, and whether it fits."""
-    rows = plan.reconcile(assets, inventory, layout, overwrite)
+    # Written once: three results read it.
+    rows = materialize(plan.reconcile(assets, inventory, layout, overwrite), "plan")
     summary = plan.plan_summary(rows)
     needed = summary.select(
         F.lit(volume).alias("volume"), F.col("remaining_known_bytes").alias("need_bytes")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tilelake.functions.projections import rings_to_lonlat
 from tilelake.functions.rings import planar_area, ring_bounds
 from tilelake.operators import catalog, raster
-from tilelake.plans.fixtures import table, view
+from tilelake.operators.slices import row_numbers
+from tilelake.plans.fixtures import spread, table, view
 from tilelake.queries.catalogs import _RECONCILE_SQL
 from tilelake.queries.logs import request_log as log_rows
 from tilelake.queries.rasters import cells, headers
@@ -60,7 +61,7 @@ def collection_violations(spark, sf):
 
 def _features(spark, sf):
     """Every catalog row as a search feature; LAZ geometry carries heights, as point clouds do."""
-    items = with_assets(raw_boxes(tile_rings(view(spark, sf, "cat_items_raw"))))
+    items = with_assets(raw_boxes(tile_rings(spread(view(spark, sf, "cat_items_raw")))))
     flat = F.transform("rings", lambda r: F.transform(r, lambda p: F.when(
         F.col("collection_id") == "LAZ", F.array(p["x"], p["y"], F.lit(7.5))).otherwise(F.array(p["x"], p["y"]))))
     stamp = F.date_format("item_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -98,24 +99,18 @@ def read_item_pages(spark, sf):
 SELECT collection_id, item_id, size_bytes, count(*) AS copies FROM cat_items_raw WHERE collection_id IN ('LAZ', 'MDT-2m') AND tx % 2 = 1 GROUP BY 1, 2, 3""")
 def stac_pages(spark, sf):
     """Recorded searches: two chunks, pages of up to a thousand features linked by name."""
-    from pyspark.sql import Window
-
-    rows = _features(spark, sf).where(F.col("collection_id").isin("LAZ", "MDT-2m", "MDS-2m"))
-    salt = F.col("search_page") % 8
-    order = Window.partitionBy("chunk", "collection_id", "salt").orderBy("search_page", "item_id")
-    placed = rows.select(
-        F.concat(F.lit("chunk-"), (F.col("tx") % 2).cast("string")).alias("chunk"), "collection_id", salt.alias("salt"), "search_page", "item_id", "feature"
-    ).withColumn("page", F.floor((F.row_number().over(order) - 1) / 500))
-    pages = placed.groupBy("chunk", "collection_id", "salt", "page").agg(F.collect_list("feature").alias("features"))
-    follow = Window.partitionBy("chunk", "collection_id").orderBy("salt", "page")
-    name = F.concat(F.lit("page-"), F.lpad(F.row_number().over(follow).cast("string"), 6, "0"), F.lit(".json"))
-    named = pages.withColumn("name", name).withColumn("next", F.lead("name").over(follow))
-    link = F.when(F.col("next").isNull(), F.lit("[]")).otherwise(
-        F.concat(F.lit('[{"rel": "self", "href": "x"}, {"rel": "next", "href": "'), F.col("next"), F.lit('"}]')))
-    text = F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.array_join("features", ","), F.lit('], "links": '), link, F.lit("}"))
-    root = scratch_path(spark, "searches").removeprefix("file:")
-    documents = named.select("chunk", "collection_id", "name", text.alias("text"))
-    documents.foreachPartition(_save_pages(root))
+    rows = _features(spark, sf).where(F.col("collection_id").isin("LAZ", "MDT-2m", "MDS-2m")).select(
+        F.concat(F.lit("chunk-"), (F.col("tx") % 2).cast("string")).alias("chunk"), "collection_id", "search_page", "item_id", "feature")
+    search = ["chunk", "collection_id"]
+    numbered = row_numbers(rows, search, ["search_page", "item_id", "feature"], "n").withColumn("page", F.floor((F.col("n") - 1) / 500))
+    pages = numbered.groupBy(*search, "page").agg(F.array_join(F.collect_list("feature"), ",").alias("features"))
+    last = numbered.groupBy(*search).agg(F.max("page").alias("last"))
+    name = lambda n: F.concat(F.lit("page-"), F.lpad(n.cast("string"), 9, "0"), F.lit(".json"))
+    link = F.when(F.col("page") < F.col("last"), F.concat(
+        F.lit('{"rel": "self", "href": "x"}, {"rel": "next", "href": "'), name(F.col("page") + 1), F.lit('"}'))).otherwise("")
+    text = F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.col("features"), F.lit('], "links": ['), link, F.lit("]}"))
+    root = scratch_path(spark, "searches")
+    pages.join(last, search).select(*search, name(F.col("page")).alias("name"), text.alias("text")).foreachPartition(_save_pages(root))
     raw = search_pages.read_search(spark, root, ["LAZ", "MDT-2m", "MDS-2m"]).where(
         (F.col("chunk_id") == "chunk-1") & F.col("collection").isin("LAZ", "MDT-2m"))
     items = search_pages.items_of(raw)
@@ -127,14 +122,15 @@ def stac_pages(spark, sf):
 
 def _save_pages(root: str):
     """Write each page under the name it is linked by."""
-    def save(rows) -> None:
-        import os
 
+    def save(rows) -> None:
+        files, base = search_pages.filesystem(root)
         for row in rows:
-            folder = f"{root}/{row['chunk']}/{row['collection_id']}"
-            os.makedirs(folder, exist_ok=True)
-            with open(f"{folder}/{row['name']}", "w", encoding="utf-8") as stream:
-                stream.write(row["text"])
+            folder = f"{base}/{row['chunk']}/{row['collection_id']}"
+            files.create_dir(folder)
+            with files.open_output_stream(f"{folder}/{row['name']}") as stream:
+                stream.write(row["text"].encode())
+
     return save
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tilelake.functions.grid import quantize
 from tilelake.operators import blocks, raster
 from tilelake.plans import lifecycle
-from tilelake.plans.fixtures import table, view
+from tilelake.plans.fixtures import spread, table, view
 from tilelake.queries.registry import query
 
 
@@ -141,7 +141,7 @@ def overview_factors(spark, sf):
     k = F.col("o_orderkey")
     ensure = 0.5 * (k % 40 + 1) + F.when(k % 11 == 0, F.lit(0.1)).otherwise(F.lit(0.0))
     factors = raster.overview_factor_list(F.lit(0.5), ensure, F.col("o_custkey") * 20 + 1, k + 1)
-    return table(spark, sf, "orders").select("o_orderkey", F.array_join(factors.cast("array<string>"), ",").alias("factors"))
+    return spread(table(spark, sf, "orders")).select("o_orderkey", F.array_join(factors.cast("array<string>"), ",").alias("factors"))
 
 
 @query("required_levels", """

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tilelake.functions import grid
 from tilelake.functions import projections as pj
 from tilelake.functions import rings as rg
 from tilelake.operators import spatial
+from tilelake.operators.slices import row_numbers
 from tilelake.plans import lifecycle
-from tilelake.plans.fixtures import table, view
+from tilelake.plans.fixtures import spread, table, view
 from tilelake.queries.registry import query
 from tilelake.queries.scalars import int_columns, tile_rings
 
@@ -104,7 +104,7 @@ def lonlat_aoi(spark, sf):
     k = F.col("c_custkey")
     west = F.when(k % 4 == 0, F.lit(-28.5)).otherwise(F.lit(-9.0)) + (k % 250) / 100.0
     south = F.lit(37.013) + (k % 480) / 100.0
-    boxes = table(spark, sf, "customer").select("c_custkey", west.alias("w"), south.alias("s")).select(
+    boxes = spread(table(spark, sf, "customer")).select("c_custkey", west.alias("w"), south.alias("s")).select(
         "c_custkey", "w", "s", (F.col("w") + 0.02 + (k % 7) / 100.0).alias("e"), (F.col("s") + 0.02 + (k % 5) / 100.0).alias("n"))
     return boxes.select(
         F.col("c_custkey").cast("string").alias("aoi_id"), F.lit(0).alias("part_id"),
@@ -194,8 +194,7 @@ def area_km2(spark, sf):
 def overlapping_parts(spark, sf):
     # Parts side by side for even areas; each shifted by half its width for odd ones.
     k, n = F.col("s_suppkey"), F.col("s_nationkey")
-    rank = table(spark, sf, "supplier").select("s_nationkey", "s_suppkey").withColumn(
-        "i", F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey")))
+    rank = row_numbers(table(spark, sf, "supplier").select("s_nationkey", "s_suppkey"), ["s_nationkey"], ["s_suppkey"], "i")
     width = F.when(n % 2 == 1, F.lit(0.005)).otherwise(F.lit(0.01))
     west = F.lit(-9.0) + F.col("i") * width
     parts = rank.select(
@@ -242,7 +241,7 @@ def tile_boxes(spark, sf, shape: str = "box"):
 
 
 def search_items(spark, sf):
-    return tile_rings(view(spark, sf, "cat_items_raw")).select("collection_id", "item_id", "size_bytes", "item_ts", "tx", "ty", "rings")
+    return tile_rings(spread(view(spark, sf, "cat_items_raw"))).select("collection_id", "item_id", "size_bytes", "item_ts", "tx", "ty", "rings")
 
 
 _EXTENT_SQL = "(SELECT *, (tx - 200) * 1000 AS x0, (ty - 301) * 1000 AS y0 FROM cat_items_raw) i"

@@ -41,7 +41,7 @@ def _flatten_geometry(g: Column) -> Column:
 
 def _split(judged: DataFrame, parts: str) -> tuple[DataFrame, DataFrame]:
     ok = judged.where(F.col("problem").isNull()).select(
-        "aoi_id", F.posexplode(parts).alias("part_id", "rings")
+        "aoi_id", F.posexplode_outer(parts).alias("part_id", "rings")
     )
     return ok, judged.where(F.col("problem").isNotNull()).select("aoi_id", "problem")
 

@@ -29,8 +29,10 @@ DEFAULT_PAGE_SIZE, MAX_PAGE_SIZE = 1000, 10_000
 _SCHEMA = "chunk_id string, collection string, page int, pos int, feature string"
 
 
-def _filesystem(path: str) -> tuple[arrow_fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
+def filesystem(path: str) -> tuple[arrow_fs.FileSystem, str]:
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
         return arrow_fs.FileSystem.from_uri(path)
     return arrow_fs.LocalFileSystem(), path
 
@@ -61,7 +63,7 @@ class SearchReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[SearchPartition]:
-        files, root = _filesystem(self.path)
+        files, root = filesystem(self.path)
         chunks = [
             posixpath.basename(info.path)
             for info in files.get_file_info(arrow_fs.FileSelector(root))
@@ -74,7 +76,7 @@ class SearchReader(DataSourceReader):
         ]
 
     def read(self, partition: SearchPartition) -> Iterator[tuple]:
-        files, root = _filesystem(self.path)
+        files, root = filesystem(self.path)
         folder = posixpath.join(root, partition.chunk, partition.collection)
         listed = files.get_file_info(arrow_fs.FileSelector(folder, allow_not_found=True))
         names = sorted(i.path for i in listed if i.path.endswith(".json"))
