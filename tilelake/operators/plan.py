@@ -100,14 +100,29 @@ def budget_check(
     A volume with nothing to write is always fine; an unknown volume never is.
     """
     needed = required.groupBy("volume").agg(F.sum("need_bytes").cast("bigint").alias("need_bytes"))
-    return needed.join(volumes.select("volume", "free_bytes"), "volume", "left").select(
-        "volume", "need_bytes", "free_bytes",
-        (F.col("need_bytes") + margin_bytes).alias("required_bytes"),
-        F.coalesce(
-            (F.col("need_bytes") <= 0) | (F.col("free_bytes") >= F.col("need_bytes") + margin_bytes),
-            F.lit(False),
-        ).alias("fits"),
+    joined = needed.join(volumes.select("volume", "free_bytes"), "volume", "left")
+    return _with_verdict(joined, margin_bytes)
+
+
+def _with_verdict(needs: DataFrame, margin_bytes: int) -> DataFrame:
+    required = F.col("need_bytes") + margin_bytes
+    fits = (F.col("need_bytes") <= 0) | (F.col("free_bytes") >= required)
+    return needs.select(
+        "volume", "need_bytes", "free_bytes", required.alias("required_bytes"),
+        F.coalesce(fits, F.lit(False)).alias("fits"),
+    )
+
+
+def volume_check(
+    summary: DataFrame, volumes: DataFrame, volume: str, margin_bytes: int = DISK_MARGIN_BYTES
+) -> DataFrame:
+    """The budget of one plan on one volume, from its one-row summary."""
+    free = volumes.agg(F.max(F.when(F.col("volume") == volume, F.col("free_bytes")))).scalar()
+    needs = summary.select(
+        F.lit(volume).alias("volume"), F.col("remaining_known_bytes").alias("need_bytes"),
+        free.alias("free_bytes"),
     )
+    return _with_verdict(needs, margin_bytes)
 
 
 def default_batch_size(concurrency: int = 2) -> int:

@@ -50,12 +50,9 @@ def plan_download(
     # Written once: three results read it.
     rows = materialize(plan.reconcile(assets, inventory, layout, overwrite), "plan")
     summary = plan.plan_summary(rows)
-    needed = summary.select(
-        F.lit(volume).alias("volume"), F.col("remaining_known_bytes").alias("need_bytes")
-    )
     return DownloadPlan(
         rows, summary, plan.batch_assets(rows.where(~F.col("is_complete")), batch_size),
-        plan.budget_check(needed, volumes),
+        plan.volume_check(summary, volumes, volume),
     )
 
 

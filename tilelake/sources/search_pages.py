@@ -12,6 +12,7 @@ import posixpath
 from collections.abc import Iterable, Iterator
 
 from pyarrow import fs as arrow_fs
+from pyarrow.dataset import dataset
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
@@ -43,9 +44,11 @@ class SearchPartition(InputPartition):
 
 
 class SearchReader(DataSourceReader):
-    def __init__(self, path: str, collections: list[str], page_size: int) -> None:
+    def __init__(
+        self, path: str, collections: list[str], page_size: int, chunks: set[str] | None = None
+    ) -> None:
         self.path, self.collections, self.page_size = path, collections, page_size
-        self.chunk: set[str] | None = None
+        self.chunk = chunks
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         """Equality on chunk and collection decides which searches run at all."""
@@ -110,7 +113,12 @@ class SearchPages(DataSource):
         page_size = int(self.options.get("page_size", DEFAULT_PAGE_SIZE))
         if not 1 <= page_size <= MAX_PAGE_SIZE:
             raise ValueError(f"page_size must be between 1 and {MAX_PAGE_SIZE} (got {page_size})")
-        return SearchReader(self.options["path"], collections, page_size)
+        chunks = None
+        if self.options.get("chunk_table"):
+            files, path = filesystem(self.options["chunk_table"])
+            listed = dataset(path, filesystem=files, exclude_invalid_files=True)
+            chunks = set(listed.to_table(columns=["chunk_id"])["chunk_id"].to_pylist())
+        return SearchReader(self.options["path"], collections, page_size, chunks)
 
 
 def register_source(spark: SparkSession) -> None:
@@ -119,14 +127,16 @@ def register_source(spark: SparkSession) -> None:
 
 
 def read_search(
-    spark: SparkSession, path: str, collections: list[str], page_size: int = DEFAULT_PAGE_SIZE
+    spark: SparkSession, path: str, collections: list[str], page_size: int = DEFAULT_PAGE_SIZE,
+    chunk_table: str | None = None,
 ) -> DataFrame:
-    """Raw search rows; turn them into items with ``items_of``."""
+    """Raw search rows; turn them into items with ``items_of``. ``chunk_table`` (Parquet with
+    ``chunk_id``) limits the chunks that are searched."""
     register_source(spark)
-    return (
-        spark.read.format("stac_pages")
-        .options(path=path, collections=",".join(collections), page_size=str(page_size)).load()
-    )
+    options = {"path": path, "collections": ",".join(collections), "page_size": str(page_size)}
+    if chunk_table:
+        options["chunk_table"] = chunk_table
+    return spark.read.format("stac_pages").options(**options).load()
 
 
 def items_of(rows: DataFrame) -> DataFrame:
