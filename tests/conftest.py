@@ -16,6 +16,8 @@ def spark():
         "tests", "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+            # Small test data must still spread over several slices.
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -35,12 +35,15 @@ def slice_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None
 ) -> DataFrame:
     """Rows with ``_slice`` and ``_row`` (position in the slice), globally ordered by
-    (keys, order). ``order`` must end in a unique column, else equal rows cannot be split."""
-    count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (keys, order). ``order`` must end in a unique column, else equal rows cannot be split.
+
+    Without ``slices`` there are ``spark.sql.shuffle.partitions`` of them, which AQE merges (in
+    order) where they are small.
+    """
     by = [F.col(c) for c in (*keys, *order)]
+    spread = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
     ranged = (
-        df.repartitionByRange(count, *by)
-        .sortWithinPartitions(*by)
+        spread.sortWithinPartitions(*by)
         .withColumn(SLICE, F.spark_partition_id())
         .withColumn(ROW, F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK)))
     )

@@ -98,16 +98,26 @@ def compact_outcomes(
 
 def run_to_table(
     source: DataFrame, build: Callable[[DataFrame], DataFrame], label: str = "stream",
-    output_mode: str = "append",
+    output_mode: str = "append", state_partitions: int | None = None,
 ) -> DataFrame:
-    """Process everything a stream has now, into a table in the shared folder."""
+    """Process everything a stream has now, into a table in the shared folder.
+
+    The number of state partitions is fixed for the life of a checkpoint; one per core unless
+    given.
+    """
     spark = source.sparkSession
     out, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-state")
     result = build(source)
-    query = (
-        result.writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", checkpoint).outputMode(output_mode)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    count = state_partitions or spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    try:
+        query = (
+            result.writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", checkpoint).outputMode(output_mode)
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     return spark.read.schema(result.schema).parquet(out)
