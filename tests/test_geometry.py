@@ -184,3 +184,11 @@ def test_holes(spark):
     got = df.select(rg.planar_area(r), inside(1.0), inside(5.0), inside(4.0), rg.planar_area(rg.clip_to_box(r, box(F.lit(0), F.lit(0), F.lit(5), F.lit(5)))),
                     rg.polygons_intersect(r, rg.rectangle(F.lit(4.5), F.lit(4.5), F.lit(5.5), F.lit(5.5)))).first()
     assert tuple(got) == (96.0, True, False, True, 24.0, False)
+
+
+def test_any_part_of_an_item_counts(spark):
+    ring = lambda lo, hi: [(lo, lo), (hi, lo), (hi, hi), (lo, hi), (lo, lo)]
+    schema = "array<array<struct<x:double,y:double>>>"
+    item = spark.createDataFrame([("c", "i", [ring(0.0, 1.0), ring(50.0, 51.0)])], f"collection_id string, item_id string, rings {schema}")
+    areas = spark.createDataFrame([("a", 0, [ring(40.0, 60.0)]), ("a", 1, [ring(10.0, 20.0)])], f"aoi_id string, part_id int, rings {schema}")
+    assert [r.part_id for r in spatial.search_chunked(item, areas, 7.0).collect()] == [0]

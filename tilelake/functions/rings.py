@@ -185,14 +185,18 @@ def polygons_intersect(a: Column, b: Column, b_edges: Column | None = None) -> C
 
     ``b_edges`` may hold ``edges(b)``, computed once where ``b`` meets many partners.
     """
-    first = lambda r: (r[0][0]["x"], r[0][0]["y"])
+    # Without a crossing, either a ring of one lies in the other or nothing is shared. Looking at
+    # a vertex of every ring covers geometries of several parts.
+    starts_in = lambda rings, border: F.exists(
+        rings, lambda r: _inside_or_on(r[0]["x"], r[0]["y"], border)
+    )
     border = edges(b) if b_edges is None else b_edges
 
     def test(e: Column) -> Column:
         crossing = F.exists(
             e["a"], lambda ea: F.exists(e["b"], lambda eb: _segments_touch(ea, eb))
         )
-        return _inside_or_on(*first(a), e["b"]) | _inside_or_on(*first(b), e["a"]) | crossing
+        return starts_in(a, e["b"]) | starts_in(b, e["a"]) | crossing
 
     return bind(F.struct(edges(a).alias("a"), border.alias("b")), test)
 

@@ -95,6 +95,8 @@ def chunk_aoi(aoi: DataFrame, max_km2: float = CHUNK_KM2) -> DataFrame:
     if max_km2 <= 0:
         raise ValueError(f"chunk size must be positive (got {max_km2})")
     side = F.lit(math.sqrt(max_km2) * 1000.0)
+    # Strips are few bytes but much work, so AQE must not merge them by size.
+    tasks = 4 * aoi.sparkSession.sparkContext.defaultParallelism
     metric = with_metric(aoi).withColumn("own", ring_bounds(F.col("metric_rings")))
     metric = materialize(metric.withColumn("part_m2", planar_area(F.col("metric_rings"))), "aoi")
     areas = metric.groupBy("aoi_id").agg(
@@ -133,7 +135,7 @@ def chunk_aoi(aoi: DataFrame, max_km2: float = CHUNK_KM2) -> DataFrame:
         .select(
             "aoi_id", "part_id", "crs", "chunk_row", "minx", "maxx", "lo", "hi", "strip",
         )
-        .repartition("aoi_id", "chunk_row", "part_id")
+        .repartition(tasks, "aoi_id", "chunk_row", "part_id")
         .withColumn("own", ring_bounds(F.col("strip")))
         .where(F.col("own").isNotNull())
     )

@@ -59,9 +59,9 @@ def collection_violations(spark, sf):
     return bad.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _features(spark, sf):
-    """Every catalog row as a search feature; LAZ geometry carries heights, as point clouds do."""
-    items = with_assets(raw_boxes(tile_rings(spread(view(spark, sf, "cat_items_raw")))))
+def _features(rows):
+    """Catalog rows as search features; LAZ geometry carries heights, as point clouds do."""
+    items = with_assets(raw_boxes(tile_rings(rows)))
     flat = F.transform("rings", lambda r: F.transform(r, lambda p: F.when(
         F.col("collection_id") == "LAZ", F.array(p["x"], p["y"], F.lit(7.5))).otherwise(F.array(p["x"], p["y"]))))
     stamp = F.date_format("item_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -83,7 +83,7 @@ SELECT search_page, collection_id, item_id, CASE WHEN collection_id = 'MDS-50cm'
 def read_item_pages(spark, sf):
     page = F.concat(F.lit('{"type": "FeatureCollection", "search_page": '), F.col("search_page").cast("string"),
                     F.lit(', "features": ['), F.col("feature"), F.lit("], \"links\": []}"))
-    documents = _features(spark, sf).select(page.alias("value"))
+    documents = _features(spread(view(spark, sf, "cat_items_raw"))).select(page.alias("value"))
     raw = envelopes.read_text(spark, _written(documents, "pages"), lines=True)
     numbered = raw.withColumn("source", F.get_json_object("value", "$.search_page"))
     found, _ = envelopes.parse_item_pages(numbered)
@@ -99,11 +99,11 @@ def read_item_pages(spark, sf):
 SELECT collection_id, item_id, size_bytes, count(*) AS copies FROM cat_items_raw WHERE collection_id IN ('LAZ', 'MDT-2m') AND tx % 2 = 1 GROUP BY 1, 2, 3""")
 def stac_pages(spark, sf):
     """Recorded searches: two chunks, pages of up to a thousand features linked by name."""
-    rows = _features(spark, sf).where(F.col("collection_id").isin("LAZ", "MDT-2m", "MDS-2m")).select(
-        F.concat(F.lit("chunk-"), (F.col("tx") % 2).cast("string")).alias("chunk"), "collection_id", "search_page", "item_id", "feature")
+    rows = view(spark, sf, "cat_items_raw").where(F.col("collection_id").isin("LAZ", "MDT-2m", "MDS-2m")).withColumn(
+        "chunk", F.concat(F.lit("chunk-"), (F.col("tx") % 2).cast("string")))
     search = ["chunk", "collection_id"]
-    numbered = row_numbers(rows, search, ["search_page", "item_id", "feature"], "n").withColumn("page", F.floor((F.col("n") - 1) / 500))
-    pages = numbered.groupBy(*search, "page").agg(F.array_join(F.collect_list("feature"), ",").alias("features"))
+    numbered = row_numbers(rows, search, ["search_page", "item_id", "item_ts", "tx", "ty"], "n").withColumn("page", F.floor((F.col("n") - 1) / 500))
+    pages = _features(numbered).groupBy(*search, "page").agg(F.array_join(F.collect_list("feature"), ",").alias("features"))
     last = numbered.groupBy(*search).agg(F.max("page").alias("last"))
     name = lambda n: F.concat(F.lit("page-"), F.lpad(n.cast("string"), 9, "0"), F.lit(".json"))
     link = F.when(F.col("page") < F.col("last"), F.concat(

@@ -22,7 +22,7 @@ _FEATURE = (
     "geometry:struct<type:string,coordinates:string>,"
     f"assets:map<string,{ASSET_ENTRY}>,properties:variant>"
 )
-_PAGE = "type string, features array<string>, links array<struct<rel:string,href:string>>, _corrupt string"
+_PAGE = f"type string, features array<{_FEATURE}>, _corrupt string"
 _LENIENT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 
@@ -106,34 +106,34 @@ def geometry_parts(geometry: Column) -> Column:
     )
 
 
-def parse_features(features: DataFrame, column: str = "feature") -> DataFrame:
-    """Item rows from feature text; every other column is kept.
-
-    ``rings`` is the first polygon of the geometry, ``bbox`` what the item declared.
-    """
-    kept = [c for c in features.columns if c != column]
-    parsed = features.select(*kept, F.from_json(column, _FEATURE).alias("f"))
-    return parsed.select(
-        *kept,
-        F.col("f.id").alias("item_id"), F.col("f.collection").alias("collection_id"),
-        geometry_parts(F.col("f.geometry"))[0].alias("rings"),
-        F.col("f.bbox").alias("bbox"), F.col("f.assets").alias("assets"),
-        F.col("f.properties").alias("properties"),
+def _item_columns(f: str) -> list[Column]:
+    """Item columns of a parsed feature. ``rings`` holds the rings of all polygons of the
+    geometry, ``bbox`` what the item declared."""
+    return [
+        F.col(f"{f}.id").alias("item_id"), F.col(f"{f}.collection").alias("collection_id"),
+        F.flatten(geometry_parts(F.col(f"{f}.geometry"))).alias("rings"),
+        F.col(f"{f}.bbox").alias("bbox"), F.col(f"{f}.assets").alias("assets"),
+        F.col(f"{f}.properties").alias("properties"),
         F.try_to_timestamp(
-            F.try_variant_get("f.properties", "$.datetime", "string")
+            F.try_variant_get(f"{f}.properties", "$.datetime", "string")
         ).alias("item_ts"),
-    )
+    ]
+
+
+def parse_features(features: DataFrame, column: str = "feature") -> DataFrame:
+    """Item rows from feature text; every other column is kept."""
+    kept = [c for c in features.columns if c != column]
+    parsed = features.select(*kept, F.from_json(column, _FEATURE).alias("_f"))
+    return parsed.select(*kept, *_item_columns("_f"))
 
 
 def parse_item_pages(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(items, violations)`` from search pages: one row per feature with its position."""
     opened = documents.select("source", "value", F.from_json("value", _PAGE, _LENIENT).alias("p"))
     bad = F.col("p").isNull() | F.col("p._corrupt").isNotNull() | F.col("p.features").isNull()
-    features = opened.where(~bad).select(
-        "source", F.posexplode("p.features").alias("pos", "feature")
-    )
+    features = opened.where(~bad).select("source", F.posexplode("p.features").alias("pos", "_f"))
     violations = opened.where(bad).select("source", F.lit("not a page").alias("problem"), "value")
-    return parse_features(features), violations
+    return features.select("source", "pos", *_item_columns("_f")), violations
 
 
 def read_item_pages(
