@@ -10,7 +10,7 @@ QUERIES, ORACLES = queries(), oracle_sql()
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_duckdb(spark, name):
-    assert difference(spark, name, "sf0.001", QUERIES, ORACLES) is None
+    assert difference(spark, name, "sf0.01", QUERIES, ORACLES) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))

@@ -145,7 +145,7 @@ def progress_windows(spark, sf):
 
 
 @query("progress_sliding", """
-SELECT s AS start_us, sum(nbytes)::bigint AS nbytes, count(*) AS events, cast(floor(sum(nbytes) / 7.2 + 0.5) AS bigint) AS millibytes_per_s FROM (
+SELECT s AS start_us, sum(nbytes)::bigint AS nbytes, count(*) AS events, cast(floor(sum(nbytes)::double / 7200.0::double * 1000 + 0.5) AS bigint) AS millibytes_per_s FROM (
   SELECT nbytes, epoch_us(time_bucket(INTERVAL 30 MINUTE, ts)) - k * 1800000000 AS s FROM progress, range(4) r(k)) t GROUP BY s""")
 def progress_sliding(spark, sf):
     out = logs.progress_windows(progress(spark, sf), "2 hours", "30 minutes")
