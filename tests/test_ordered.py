@@ -67,6 +67,15 @@ def test_chain_of_a_strictly_regular_key(spark):
     assert [h[0] for h in heads] == list(range(0, 40_000, 1010))
 
 
+def test_chain_keeps_large_keys(spark):
+    """Keys beyond 2**53 next to a NULL key must not be rounded on their way through Python."""
+    big = 2**62
+    rows = [(k, p, p) for k in (None, big, big + 1) for p in range(40)]
+    df = spark.createDataFrame(rows, "k bigint, p bigint, i bigint")
+    got = {(r.k, r.p): r._head for r in greedy_chain(df, ["k"], "p", 7, ["i"]).collect()}
+    assert got == {(k, p): p // 7 * 7 for k, p, _ in rows}
+
+
 # -- logs -----------------------------------------------------------------------------------
 
 

@@ -22,8 +22,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilelake.operators.slices import ROW, SLICE, continuing_keys, match_keys, slice_rows
 
@@ -41,12 +43,14 @@ def _exits(positions: np.ndarray, step: int) -> np.ndarray:
         jump = further
 
 
-def _runs(keys: list[str], pos: str, step: int):
-    columns = [SLICE, *keys, "entry_hi", "exit"]
+# Keys travel through Python as one text column: it is never NULL and never rounded.
+KEY = "_key"
 
+
+def _runs(pos: str, step: int):
     def one_slice(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = []
-        for _, part in pdf.sort_values(ROW).groupby(keys, sort=False, dropna=False):
+        for key, part in pdf.sort_values(ROW).groupby(KEY, sort=False):
             positions = part[pos].to_numpy(np.int64)
             exits = positions[_exits(positions, step)]
             if part["_continues"].iloc[0]:
@@ -56,44 +60,42 @@ def _runs(keys: list[str], pos: str, step: int):
                 ends = np.append(np.nonzero(np.diff(exits))[0], len(exits) - 1)
             else:
                 entries, ends = positions[:1], np.array([0])
-            rows = part.iloc[[0] * len(ends)][[SLICE, *keys]].copy()
-            rows["entry_hi"], rows["exit"] = entries[ends], exits[ends]
-            parts.append(rows)
-        return pd.concat(parts)[columns]
+            parts.append(pd.DataFrame({
+                SLICE: part[SLICE].iloc[0], KEY: key, "entry_hi": entries[ends], "exit": exits[ends],
+            }))
+        return pd.concat(parts)
 
     return one_slice
 
 
-def _entries(keys: list[str], step: int):
+def _entries(step: int):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, at_slice, head, entered = None, None, None, False
         for pdf in batches:
             found = []
-            for at, *values, entry_hi, exit_at in pdf.itertuples(index=False, name=None):
-                values = [None if pd.isna(v) else v for v in values]
-                if key != values:  # the slice where the key starts: its chain is known
-                    key, at_slice, head, entered = values, at, exit_at, True
+            for at, row_key, entry_hi, exit_at in pdf.itertuples(index=False, name=None):
+                if key != row_key:  # the slice where the key starts: its chain is known
+                    key, at_slice, head, entered = row_key, at, exit_at, True
                     continue
                 if at != at_slice:
                     at_slice, entered = at, False
-                    found.append((at, *values, head))
+                    found.append((at, row_key, head))
                 if not entered and entry_hi >= head + step:
                     head, entered = exit_at, True
-            yield pd.DataFrame(found, columns=[SLICE, *keys, "_head_in"])
+            yield pd.DataFrame(found, columns=[SLICE, KEY, "_head_in"])
 
     return read
 
 
-def _marks(keys: list[str], pos: str, step: int, columns: list[str]):
-    def one_slice(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ROW)
-        positions = pdf[pos].tolist()
-        heads_in = pdf["_head_in"].tolist()
-        codes = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
-        cuts = np.flatnonzero(np.diff(codes)) + 1
-        heads = np.empty(len(pdf), np.int64)
-        for lo, hi in zip([0, *cuts], [*cuts, len(pdf)], strict=True):
-            head = positions[lo] if pd.isna(heads_in[lo]) else int(heads_in[lo])
+def _marks(pos: str, step: int, columns: list[str]):
+    def one_slice(table: pa.Table) -> pa.Table:
+        table = table.sort_by(ROW)
+        positions, heads_in = table[pos].to_pylist(), table["_head_in"].to_pylist()
+        keys = np.asarray(table[KEY].to_pylist(), dtype=object)
+        cuts = (np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()
+        heads = np.empty(len(positions), np.int64)
+        for lo, hi in zip([0, *cuts], [*cuts, len(positions)], strict=True):
+            head = positions[lo] if heads_in[lo] is None else heads_in[lo]
             start = lo
             while start < hi:
                 following = bisect_left(positions, head + step, start, hi)
@@ -101,7 +103,7 @@ def _marks(keys: list[str], pos: str, step: int, columns: list[str]):
                 start = following
                 if start < hi:
                     head = positions[start]
-        return pdf.assign(_head=heads)[columns]
+        return table.select(columns).append_column("_head", pa.array(heads))
 
     return one_slice
 
@@ -111,36 +113,32 @@ def greedy_chain(
 ) -> DataFrame:
     """Add ``_head``: the position of the chain element in force at each row.
 
-    A row is itself selected when its position equals ``_head``. ``pos`` is a bigint column;
-    ``order`` breaks ties so that equal positions can be split.
+    A row is itself selected when its position equals ``_head``. ``pos`` is a bigint column
+    without NULL; ``order`` breaks ties so that equal positions can be split.
     """
     if step <= 0:
         raise ValueError("step must be positive")
-    keys = list(keys)
-    sliced = slice_rows(df, keys, [pos, *order])
-    continued = continuing_keys(sliced, keys)
-    cont = continued.withColumn("_continues", F.lit(True))
+    named = df.withColumn(KEY, F.to_json(F.struct(*keys)))
+    sliced = slice_rows(named, [KEY], [pos, *order])
+    continued = continuing_keys(sliced, [KEY])
 
-    of = {f.name: f.dataType.simpleString() for f in sliced.schema.fields}
-    key_ddl = "".join(f"{k} {of[k]}, " for k in keys)
     rows = match_keys(
-        sliced.select(SLICE, ROW, *keys, pos), continued.select(*keys).distinct(), keys, "left_semi"
-    )
-    flagged = match_keys(rows, cont, [SLICE, *keys], "left").withColumn(
-        "_continues", F.coalesce("_continues", F.lit(False))
+        sliced.select(SLICE, ROW, KEY, pos), continued.select(KEY).distinct(), [KEY], "left_semi"
     )
+    flagged = match_keys(
+        rows, continued.withColumn("_continues", F.lit(True)), [SLICE, KEY], "left"
+    ).withColumn("_continues", F.coalesce("_continues", F.lit(False)))
     runs = flagged.groupBy(SLICE).applyInPandas(
-        _runs(keys, pos, step), f"{SLICE} int, {key_ddl}entry_hi bigint, exit bigint"
+        _runs(pos, step), f"{SLICE} int, {KEY} string, entry_hi bigint, exit bigint"
     )
     entries = (
-        runs.repartition(*keys)
-        .sortWithinPartitions(*keys, SLICE, "entry_hi")
-        .mapInPandas(_entries(keys, step), f"{SLICE} int, {key_ddl}_head_in bigint")
+        runs.repartition(KEY)
+        .sortWithinPartitions(KEY, SLICE, "entry_hi")
+        .mapInPandas(_entries(step), f"{SLICE} int, {KEY} string, _head_in bigint")
     )
-    columns = [c for c in df.columns] + ["_head"]
-    ddl = ", ".join(f"`{c}` {of[c]}" for c in df.columns) + ", _head bigint"
+    schema = T.StructType([*df.schema.fields, T.StructField("_head", T.LongType())])
     return (
-        match_keys(sliced, entries, [SLICE, *keys], "left")
+        match_keys(sliced, entries, [SLICE, KEY], "left")
         .groupBy(SLICE)
-        .applyInPandas(_marks(keys, pos, step, columns), ddl)
+        .applyInArrow(_marks(pos, step, df.columns), schema)
     )

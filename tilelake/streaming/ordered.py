@@ -59,9 +59,8 @@ class OrderedProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = [part.split()[0] for part in self.buffer_schema.split(", ")]
         for pdf in rows:
-            self._buffer.appendList(
-                [tuple(r) for r in pdf[names].astype(object).itertuples(index=False, name=None)]
-            )
+            plain = pdf[names].astype(object).where(pdf[names].notna(), None)
+            self._buffer.appendList(list(plain.itertuples(index=False, name=None)))
         yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
