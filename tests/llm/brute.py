@@ -123,3 +123,40 @@ def bpe(path: str, text: str | None) -> tuple:
     t = _tokenizer(path)
     ids = t.encode(text or "", add_special_tokens=False).ids
     return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def normal_line(line: str) -> str:
+    return re.sub(r"[\x20\x09\x0B-\x0D]+", " ", line.lower()).strip(" ")
+
+
+def shingles(line: str) -> set:
+    return {line[i:i + 5] for i in range(len(line) - 4)} or {line}
+
+
+def fuzzy_lines(rows: list[tuple[int, str | None]], similar: float = 0.8) -> dict[int, list[int]]:
+    """Removed line numbers by document, from all pairs of different lines."""
+    places = defaultdict(list)
+    for i, text in rows:
+        for pos, line in enumerate((text or "").split("\n") if text else []):
+            if normal_line(line):
+                places[normal_line(line)].append((i, pos))
+    lines = sorted(places, key=len)
+    sets = [shingles(x) for x in lines]
+    by = Sets()
+    for a in range(len(lines)):
+        for b in range(a + 1, len(lines)):
+            if len(sets[a]) < similar * len(sets[b]):
+                if len(lines[a]) < similar * len(lines[b]) * 0.5:
+                    break
+                continue
+            both = len(sets[a] & sets[b])
+            if both >= similar * (len(sets[a]) + len(sets[b]) - both):
+                by.join(lines[a], lines[b])
+    classes = defaultdict(list)
+    for line, at in places.items():
+        classes[by.find(line)] += at
+    gone = defaultdict(list)
+    for at in classes.values():
+        for i, pos in sorted(at)[1:]:
+            gone[i].append(pos)
+    return {i: sorted(gone.get(i, [])) for i, _ in rows}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tilelake.llm import entropy_mix, line_frequency, pu_toxicity, segment_bpe, simhash_tiles, stream_dedup
+from tilelake.llm import entropy_mix, fuzzy_lines, line_frequency, pu_toxicity, segment_bpe, simhash_tiles, stream_dedup
 from tilelake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,8 @@ def op9(spark, sf):
 @query("op10_segment_bpe")
 def op10(spark, sf):
     return segment_bpe.digests(read(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op5_fuzzy_lines")
+def op5(spark, sf):
+    return fuzzy_lines.report(read(spark, sf, "documents"))
