@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tilelake.llm import entropy_mix, fuzzy_lines, line_frequency, pu_toxicity, segment_bpe, simhash_tiles, stream_dedup
+from tilelake.llm import entropy_mix, fuzzy_lines, line_frequency, pu_toxicity, secret_grammar, segment_bpe, simhash_tiles, stream_dedup, url_intervals, warc_merge
 from tilelake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +63,54 @@ def op10(spark, sf):
 @query("op5_fuzzy_lines")
 def op5(spark, sf):
     return fuzzy_lines.report(read(spark, sf, "documents"))
+
+
+@query("op1_warc_merge", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+g AS (SELECT body, max(page_id) AS stays FROM p WHERE octet_length(encode(body)) >= 1000 GROUP BY body)
+SELECT page_id, octet_length(encode(p.body))::BIGINT AS payload_bytes, sha1(p.body) AS payload_digest,
+  CASE WHEN g.stays <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN g.stays <> page_id THEN g.stays END AS refers_to
+FROM p LEFT JOIN g ON g.body = p.body""")
+def op1(spark, sf):
+    return warc_merge.round_trip(read(spark, sf, "pages")).select(
+        F.col("id").cast("long").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@query("op2_secret_grammar")
+def op2(spark, sf):
+    return secret_grammar.report(read(spark, sf, "documents"))
+
+
+# The pages' own hosts make the dated list: every host and every pair of last labels has up to four
+# entries in 2024, dated and signed by digits of an MD5; page n was fetched n * 977 seconds into it.
+_HOST = "regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#:@]+)', 1)"
+_LIST = """
+hosts AS (SELECT DISTINCT {host} AS host FROM pages),
+keys AS (SELECT DISTINCT key FROM (SELECT host AS key FROM hosts UNION ALL SELECT regexp_extract(host, '([^.]+[.][^.]+)$', 1) AS key FROM hosts) k WHERE key <> ''),
+dated AS (SELECT key, n, md5(concat(key, '/', CAST(n AS VARCHAR(1)))) AS m FROM keys CROSS JOIN (VALUES (1), (2), (3), (4)) AS v(n)),
+entries AS (SELECT key, CASE WHEN substring(m, 1, 1) < '8' THEN 'block' ELSE 'allow' END AS action, {listed} AS listed_at
+  FROM dated WHERE substring(m, 2, 1) < 'c')"""
+
+
+@query("op6_url_intervals", f"""
+WITH {_LIST.format(host=_HOST, listed="TIMESTAMP '2024-01-01' + to_hours(((strpos('0123456789abcdef', substring(m, 3, 1)) - 1) * 256 + (strpos('0123456789abcdef', substring(m, 4, 1)) - 1) * 16 + strpos('0123456789abcdef', substring(m, 5, 1)) - 1) * 2)")},
+once AS (SELECT key, listed_at, max(action) AS action FROM entries GROUP BY key, listed_at),
+spans AS (SELECT key, action, listed_at AS valid_from, lead(listed_at) OVER (PARTITION BY key ORDER BY listed_at) AS valid_to FROM once),
+c AS (SELECT page_id, {_HOST} AS host, TIMESTAMP '2024-01-01' + to_seconds(page_id * 977 % 31622400) AS fetched_at FROM pages),
+m AS (SELECT c.*, s.key AS entry, s.valid_from, s.action, row_number() OVER (PARTITION BY page_id ORDER BY length(s.key) DESC NULLS LAST) AS r
+  FROM c LEFT JOIN spans s ON (s.key = c.host OR s.key = regexp_extract(c.host, '([^.]+[.][^.]+)$', 1)) AND c.fetched_at >= s.valid_from AND (s.valid_to IS NULL OR c.fetched_at < s.valid_to))
+SELECT page_id, host, epoch_us(fetched_at) AS fetched_us, entry, epoch_us(valid_from) AS valid_from_us, coalesce(action = 'block', false) AS blocked FROM m WHERE r = 1""")
+def op6(spark, sf):
+    pages = read(spark, sf, "pages")
+    digit = lambda i: F.conv(F.substring("m", i, 1), 16, 10).cast("int")
+    hosts = pages.select(url_intervals.host_of(F.col("url")).alias("host")).distinct()
+    keys = hosts.select(F.explode(F.array("host", F.regexp_extract("host", r"([^.]+[.][^.]+)$", 1))).alias("key")).where("key <> ''").distinct()
+    dated = keys.select("key", F.explode(F.array(*map(F.lit, range(1, 5)))).alias("n")).withColumn("m", F.md5(F.concat("key", F.lit("/"), F.col("n").cast("string"))))
+    listed = F.timestamp_seconds(F.lit(1_704_067_200) + (digit(3) * 256 + digit(4) * 16 + digit(5)) * 7200)
+    entries = dated.where(F.substring("m", 2, 1) < "c").select(
+        "key", F.when(F.substring("m", 1, 1) < "8", "block").otherwise("allow").alias("action"), listed.alias("listed_at"))
+    captures = pages.select("page_id", "url", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id") * 977 % 31_622_400).alias("at"))
+    return url_intervals.judge(captures, entries, "page_id", "url", "at").select(
+        "page_id", "host", F.unix_micros("fetched_at").alias("fetched_us"), "entry", F.unix_micros("valid_from").alias("valid_from_us"), "blocked")
