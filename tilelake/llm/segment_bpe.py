@@ -3,16 +3,19 @@
 ``encode`` gives token ids for whole texts as the ``tokenizers`` library does for a BPE file with
 word ends; ``decode`` gives the text back. The tree's root names the leftmost pair of the lowest
 rank; a merge changes at most three leaves, so a text of n symbols costs O(n log n) however long
-its words are. Pieces between white space never influence each other, so a bounded table per task
+its words are. Pieces between white space never influence each other, so a bounded table per worker
 remembers the pieces it has met.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+import sys
 import unicodedata
 from array import array
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,8 @@ from pyspark.sql import functions as F
 
 from tilelake.llm.common import map_columns, narrow
 
-REMEMBERED = 300_000  # pieces a task remembers before it starts afresh; results don't depend on it
+REMEMBERED = 400_000  # pieces, and words, a worker remembers before it starts afresh; results don't depend on it
+ABSENT = 1 << 62  # the key of a pair that doesn't merge
 
 # The characters that the normaliser's \s stands for.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -36,60 +40,63 @@ def byte_letters() -> list[str]:
 
 
 class PairTree:
-    """Minimum tree over the ranks of adjacent pairs; a key is ``rank * width + position``."""
-
-    def __init__(self, keys: list[int], absent: int):
-        self.width = 1
-        while self.width < len(keys):
-            self.width *= 2
-        self.absent = absent
-        tree = [absent] * self.width + keys + [absent] * (self.width - len(keys))
-        for i in range(self.width - 1, 0, -1):
-            tree[i] = min(tree[2 * i], tree[2 * i + 1])
-        self.tree = tree
-
-    def lowest(self) -> int:
-        return self.tree[1]
+    """Minimum tree over the ranks of adjacent pairs; a key is ``rank * n + position``."""
+
+    def __init__(self, keys: list[int]):
+        width = 1
+        while width < len(keys):
+            width *= 2
+        self.width = width
+        tree = [ABSENT] * width + keys + [ABSENT] * (width - len(keys))
+        for i in range(width - 1, 0, -1):
+            a, b = tree[2 * i], tree[2 * i + 1]
+            tree[i] = a if a < b else b
+        self.tree = tree  # tree[1] is the root
 
     def put(self, position: int, key: int) -> None:
         tree, i = self.tree, position + self.width
         tree[i] = key
         while i > 1:
-            i //= 2
-            best = min(tree[2 * i], tree[2 * i + 1])
-            if tree[i] == best:
+            other = tree[i ^ 1]
+            if other < key:
+                key = other
+            i >>= 1
+            if tree[i] == key:
                 return
-            tree[i] = best
+            tree[i] = key
 
 
-def merge(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+def merge(symbols: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
     """Merge the leftmost pair of the lowest rank until none is left."""
     n = len(symbols)
     if n < 2:
         return symbols
-    absent = 1 << 62
-
-    def key(i: int, j: int) -> int:
-        found = pairs.get((symbols[i], symbols[j]))
-        return absent if found is None else found[0] * n + i
-
-    tree = PairTree([key(i, i + 1) for i in range(n - 1)], absent)
+    find = pairs.get
+    keys = []
+    for i in range(n - 1):
+        found = find(symbols[i] << 20 | symbols[i + 1])
+        keys.append(ABSENT if found is None else found[0] * n + i)
+    tree = PairTree(keys)
+    ranks, put = tree.tree, tree.put
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    while (low := tree.lowest()) != absent:
+    while (low := ranks[1]) != ABSENT:
         i = low % n
         j = after[i]
-        symbols[i] = pairs[symbols[i], symbols[j]][1]
+        symbols[i] = made = pairs[symbols[i] << 20 | symbols[j]][1]
         symbols[j] = -1
         after[i] = k = after[j]
-        if j < n - 1:
-            tree.put(j, absent)
+        found = None
         if k < n:
             before[k] = i
-            tree.put(i, key(i, k))
-        else:
-            tree.put(i, absent)
+            if ranks[tree.width + j] != ABSENT:
+                put(j, ABSENT)
+            found = find(made << 20 | symbols[k])
+        put(i, ABSENT if found is None else found[0] * n + i)
         if (h := before[i]) >= 0:
-            tree.put(h, key(h, i))
+            found = find(symbols[h] << 20 | made)
+            key = ABSENT if found is None else found[0] * n + h
+            if ranks[tree.width + h] != key:
+                put(h, key)
     return [s for s in symbols if s >= 0]
 
 
@@ -104,28 +111,35 @@ class Encoder:
         self.pairs = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.pairs[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+            self.pairs[self.vocab[a] << 20 | self.vocab[b]] = (rank, self.vocab[a + b])
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.cut = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self.words = regex.compile(data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.white = re.compile(f"[{WHITE}]+")
         self.letters = byte_letters()
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, list[int]] = {}
 
     def piece(self, piece: str) -> tuple[int, ...]:
         """Ids of a piece without white space: composed, lower-cased letter by letter, cut, merged."""
-        flat = "".join(c.lower() for c in unicodedata.normalize("NFC", piece))
-        out: list[int] = []
-        for word in self.words.findall(flat):
+        flat = piece.lower() if piece.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", piece)))
+        words = self.words.findall(flat)
+        return tuple(self.word(words[0])) if len(words) == 1 else tuple(i for w in words for i in self.word(w))
+
+    def word(self, word: str) -> list[int]:
+        ids = self.known.get(word)
+        if ids is None:
             letters = [self.letters[b] for b in word.encode()]
             letters[-1] += self.end
-            out += merge([self.vocab[c] for c in letters if c in self.vocab], self.pairs)
-        return tuple(out)
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            ids = self.known[word] = merge([self.vocab[c] for c in letters if c in self.vocab], self.pairs)
+        return ids
 
     def plain(self, text: str, out: array) -> None:
         # str.split also cuts at the four separators below, which the normaliser keeps.
         odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-        known = self.known
+        known = self.pieces
         for p in self.white.split(text) if odd else text.split():
             ids = known.get(p)
             if ids is None:
@@ -145,6 +159,15 @@ class Encoder:
         return out
 
 
+def encoder_of(spec: str) -> Encoder:
+    """One encoder per Python worker, whose memory of words later tasks of the worker take up."""
+    kept = sys.modules.setdefault("_tilelake_encoders", ModuleType("_tilelake_encoders")).__dict__
+    name = hashlib.sha256(spec.encode()).hexdigest()
+    if name not in kept:
+        kept[name] = Encoder(spec)
+    return kept[name]
+
+
 def read_spec(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -162,7 +185,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
 
     def work():
-        encoder = Encoder(spec.value)
+        encoder = encoder_of(spec.value)
 
         def step(batch):
             flat, offsets = array("i"), [0]
