@@ -38,6 +38,8 @@ def _session(spark: SparkSession) -> SparkSession:
             own.conf.set(key, value)
     own.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # No space is set aside ahead of time, which small states of many partitions would leave empty.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     return own
 
 
