@@ -104,9 +104,10 @@ def dedup(
     state = state.groupBy("digest").agg(F.max_by(F.struct("best", "held"), "batch").alias("s"))
     hits = materialize(state.where("s.held > 1").select("digest", "s.best", "s.held"), "hits")
 
+    # Copies grow with the table, so their digests are never broadcast: the same plan at every size.
     # Full bytes of every row of a digest that is held more than once, next to those of the row that stays.
     docs = _located(spark.read.parquet(path), id_col, text_col, normal).withColumn("digest", digest(F.col("text")))
-    members = materialize(docs.join(hits, "digest").select("doc_id", "at", "digest", "text", (F.col("at") == F.col("best.at")).alias("stays")), "members")
+    members = materialize(docs.join(hits.hint("merge"), "digest").select("doc_id", "at", "digest", "text", (F.col("at") == F.col("best.at")).alias("stays")), "members")
     stay = members.where("stays").select("digest", F.col("text").alias("stay_text"))
     differ = materialize(members.join(stay, "digest").where("text <> stay_text").select("doc_id", "at", "digest", "text"), "differ")
     apart = differ.groupBy("digest", "text").agg(F.max(F.struct("doc_id", "at")).alias("best"), F.count("*").alias("held"))
