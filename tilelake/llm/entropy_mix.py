@@ -135,7 +135,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     rated = rows.join(of, "key").withColumn("rate", rate).withColumn(
         "bucket", F.pmod(dice, F.ceil(F.col("docs") / BUCKET)))
     item = F.struct((-F.col("size")).alias("a"), dice.alias("b"), F.col("doc_id").alias("c"), F.col("rate").alias("d"), F.col("body").alias("e"))
-    settled = (rated.groupBy("key", "bucket").agg(
+    settled = (rated.repartition("key", "bucket").groupBy("key", "bucket").agg(
         F.sort_array(F.collect_list(item)).alias("items"), F.first("source").alias("source"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
         .withColumn("copies", _settle(F.col("items"), cap))
         .select("source", "source_size", "target", F.explode(F.arrays_zip("items", "copies")).alias("x")))
