@@ -1,6 +1,6 @@
 """WARC archives and their capture index, merged externally.
 
-Captures are written as WARC 1.1 files: responses, and revisits of the response with the same
+Captures are written as gzipped WARC 1.1 files: responses, and revisits of the response with the same
 payload. The archives are read back record by record, by their content lengths. Each archive gives
 a run of index entries sorted by URL key and time. The runs are dealt to ranges of the global order
 by (URL key, time, id), so a URL with a third of all captures spans several ranges, and each range
@@ -9,6 +9,7 @@ merges its pieces of the k runs with a loser tree. Ranges in order are the globa
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -82,7 +83,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str, url_col: str, paylo
     rows = records(pages, id_col, url_col, payload_col, captured)
     # Two line ends close a record, which is what the text writer puts after each row.
     (rows.repartition(max(1, -(-total // archive_bytes)), F.xxhash64("id", "sha256")).select("record")
-     .write.option("lineSep", _END).text(path))
+     .write.option("lineSep", _END).option("compression", "gzip").text(path))
 
 
 _LINE = re.compile(rb"([A-Za-z-]+): *([^\r\n]*)\r\n")
@@ -179,7 +180,7 @@ class LoserTree:
 
 
 def read_runs(spark, path: str) -> DataFrame:
-    """Index entries of all archives under ``path``, sorted within each archive."""
+    """Index entries of all (gzipped) archives under ``path``, sorted within each archive."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     schema = ("run string, seq long, key string, date string, id string, url string, type string, digest string, bytes long, "
               "refers_to string, offset long, length long")
@@ -187,7 +188,7 @@ def read_runs(spark, path: str) -> DataFrame:
     def index(batches):
         for batch in batches:
             for name, data in zip(batch.column("path"), batch.column("content"), strict=True):
-                yield _run_of(name.as_py(), data.as_py())
+                yield _run_of(name.as_py(), gzip.decompress(data.as_py()))
 
     return files.mapInArrow(index, schema)
 
