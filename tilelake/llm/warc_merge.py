@@ -52,27 +52,30 @@ def classify(pages: DataFrame, id_col: str, payload_col: str) -> DataFrame:
     return rows.join(kept, "sha256").where("NOT (id <=> stays)").select("id", "sha256", F.col("stays").alias("refers_to")).distinct()
 
 
-def records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, captured: Column) -> DataFrame:
-    """``id, sha256, record``: the text of each page's WARC record, without the blank lines that end it."""
+def records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, captured: Column, archives: int) -> DataFrame:
+    """The text of each page's WARC record, without the blank lines that end it, dealt to ``archives`` partitions.
+
+    The deal by id and payload is also the one the join with the revisits needs, so payloads move once.
+    """
     payload = F.coalesce(F.col(f"`{payload_col}`"), F.lit(""))
     rows = pages.select(
         F.col(f"`{id_col}`").alias("id"), _header_value(F.col(f"`{url_col}`").cast("string")).alias("url"), payload.alias("payload"),
         F.sha2(payload, 256).alias("sha256"), F.date_format(captured, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"))
-    other = classify(pages, id_col, payload_col).select(F.col("id").alias("o_id"), F.col("sha256").alias("o_sha256"), "refers_to")
-    rows = rows.join(other, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("sha256") == F.col("o_sha256")), "left")
-    name = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    named = F.coalesce(F.col("id").cast("string"), F.lit("")).alias("name")
+    other = classify(pages, id_col, payload_col).select(named, "sha256", "refers_to").repartition(archives, "name", "sha256")
+    rows = rows.withColumn("name", named).repartition(archives, "name", "sha256").join(other, ["name", "sha256"], "left")
     revisit = F.col("refers_to").isNotNull()
     http = F.concat(F.lit(_HTTP), F.octet_length("payload").cast("string"), F.lit(_END))
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("payload")))
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(revisit, "revisit").otherwise("response"),
-        F.lit("\r\nWARC-Record-ID: <urn:capture:"), name, F.lit(">"),
+        F.lit("\r\nWARC-Record-ID: <urn:capture:"), F.col("name"), F.lit(">"),
         F.coalesce(F.concat(F.lit("\r\nWARC-Date: "), F.col("date")), F.lit("")),
         F.coalesce(F.concat(F.lit("\r\nWARC-Target-URI: "), F.col("url")), F.lit("")),
         F.lit("\r\nWARC-Payload-Digest: sha1:"), F.sha1(F.encode("payload", "UTF-8")),
         F.when(revisit, F.concat(F.lit(f"\r\nWARC-Profile: {_PROFILE}\r\nWARC-Refers-To: <urn:capture:"), F.col("refers_to").cast("string"), F.lit(">"))).otherwise(""),
         F.lit("\r\nContent-Type: application/http;msgtype=response\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit(_END))
-    return rows.select("id", "sha256", F.concat(head, block).alias("record"))
+    return rows.select(F.concat(head, block).alias("record"))
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str, url_col: str, payload_col: str, captured: Column, archive_bytes: int = ARCHIVE_BYTES) -> None:
@@ -80,10 +83,9 @@ def write_archives(pages: DataFrame, path: str, id_col: str, url_col: str, paylo
     archives as the payloads' bytes ask for; a payload larger than that has its archive to itself."""
     size = F.octet_length(F.coalesce(F.col(f"`{payload_col}`"), F.lit("")))
     total = pages.agg(F.sum(size + 400)).first()[0] or 0
-    rows = records(pages, id_col, url_col, payload_col, captured)
+    rows = records(pages, id_col, url_col, payload_col, captured, max(1, -(-total // archive_bytes)))
     # Two line ends close a record, which is what the text writer puts after each row.
-    (rows.repartition(max(1, -(-total // archive_bytes)), F.xxhash64("id", "sha256")).select("record")
-     .write.option("lineSep", _END).option("compression", "gzip").text(path))
+    rows.write.option("lineSep", _END).option("compression", "gzip").text(path)
 
 
 _LINE = re.compile(rb"([A-Za-z-]+): *([^\r\n]*)\r\n")
