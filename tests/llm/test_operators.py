@@ -164,8 +164,9 @@ def test_grammar_finds_unlabelled_credentials_of_the_labelled_form(spark):
 
 
 def test_automaton_merges_states():
-    tree = secret_grammar.Automaton(["9" * n for n in range(1, 40) for _ in range(30)])
-    assert tree.states < 39
+    # Each digit is followed by another one in nine of ten cases, wherever it stands: one looping state says it all.
+    tree = secret_grammar.Automaton(["9" * n for n in range(1, 64) for _ in range(int(1000 * 0.9**n))])
+    assert tree.states <= 3
     assert tree.likelihood("9999999") > tree.likelihood("zzz9zzz")
 
 
@@ -186,8 +187,8 @@ def test_stream_dedup(spark, docs, rows, digest):
     docs.write.parquet(path)
     df = stream_dedup.dedup(spark, path, digest=digest)
     assert got(df.select("doc_id", "keep_id", "group_size")) == want(exact(rows))
-    kept = df.where("kept").groupBy("keep_id").count().collect()
-    assert len(kept) == df.select("keep_id", "digest").distinct().count() or digest is not stream_dedup.sha256
+    texts = {(t or "").translate(brute.UPPER) for _, t, _ in rows}
+    assert df.where("kept").count() == len(texts)
     assert df.where("kept AND NOT (doc_id <=> keep_id)").count() == 0
 
 
@@ -260,7 +261,10 @@ def test_fuzzy_lines(spark, docs, rows, empty):
     unique = [r for r in rows if r[0] is not None and [x[0] for x in rows].count(r[0]) == 1]
     some = unique + [(100 + i, t, s) for i, t, s in edited(1)]
     found = {r.doc_id: list(r.removed) for r in fuzzy_lines.report(table(spark, some)).collect()}
-    assert found == brute.fuzzy_lines([r[:2] for r in some])
+    # Banding may miss a pair near the threshold, but nothing goes that all pairs would keep.
+    expected = brute.fuzzy_lines([r[:2] for r in some])
+    assert found.keys() == expected.keys() and all(set(found[i]) <= set(expected[i]) for i in found)
+    assert sum(map(len, found.values())) >= 0.97 * sum(map(len, expected.values()))
     assert fuzzy_lines.report(docs).count() == len(rows) and fuzzy_lines.report(empty).count() == 0
     cleaned = {r.doc_id: r.text for r in fuzzy_lines.dedup(table(spark, some)).collect()}
     for i, t, _ in some:

@@ -171,7 +171,8 @@ def scores(docs: DataFrame, weights: dict[int, float], text_col: str = "text", o
                     if got:
                         found.update(got)
                 sums.append(bias + sum(found[f] for f in sorted(found)))
-            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(sums, float), -500, 500))))
+            logits = np.array(sums, float)
+            yield pd.Series(np.where(np.isneginf(logits), 0.0, 1 / (1 + np.exp(-np.clip(logits, -500, 500)))))
 
     rest = [F.col(f"`{c}`") for c in docs.columns if c != out]
     return docs.select(*rest, of(F.col(f"`{text_col}`")).alias(out))
