@@ -192,3 +192,12 @@ def test_any_part_of_an_item_counts(spark):
     item = spark.createDataFrame([("c", "i", [ring(0.0, 1.0), ring(50.0, 51.0)])], f"collection_id string, item_id string, rings {schema}")
     areas = spark.createDataFrame([("a", 0, [ring(40.0, 60.0)]), ("a", 1, [ring(10.0, 20.0)])], f"aoi_id string, part_id int, rings {schema}")
     assert [r.part_id for r in spatial.search_chunked(item, areas, 7.0).collect()] == [0]
+
+
+def test_wkt_with_many_vertices(spark):
+    from tilelake.functions.rings import wkt_polygons
+
+    ring = [f"{i % 700} {i * 0.5}" for i in range(20_000)]
+    text = f"POLYGON (({', '.join([*ring, ring[0]])}))"
+    df = spark.createDataFrame([(text,), (text.replace("))", ", 1 1))"),), (text[:-1],), ("POLYGON ((0 0, 1 0, 1 1, 0 0)), ((0 0, 1 0, 1 1, 0 0))",)], "t string")
+    assert [p and (len(p), len(p[0][0])) for (p,) in df.select(wkt_polygons(F.col("t"))).collect()] == [(1, 20_001), None, None, None]

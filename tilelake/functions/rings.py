@@ -285,27 +285,30 @@ def to_geojson(rings: Column) -> Column:
     return F.to_json(F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")))
 
 
-_NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
-_VERTEX = rf"\s*{_NUMBER}(?:\s+{_NUMBER}){{1,3}}\s*"
-_RING_TEXT = rf"\(({_VERTEX}(?:,{_VERTEX})*)\)"
-_POLYGON_TEXT = rf"\(\s*{_RING_TEXT}(?:\s*,\s*{_RING_TEXT})*\s*\)"
-_WKT = (
-    rf"(?is)^\s*(?:POLYGON(?:\s+(?:Z|M|ZM))?\s*{_POLYGON_TEXT}"
-    rf"|MULTIPOLYGON(?:\s+(?:Z|M|ZM))?\s*\(\s*{_POLYGON_TEXT}(?:\s*,\s*{_POLYGON_TEXT})*\s*\))\s*$"
-)
+_FRAME = r"(?is)^\s*(MULTI|)POLYGON(?:\s+(?:ZM|Z|M))?\s*(\(.*\))\s*$"
+_NUMBER = r"^[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?$"
 
 
 def wkt_polygons(text: Column) -> Column:
-    """Array of polygons from POLYGON or MULTIPOLYGON text; NULL when it is neither."""
-    def vertex(v: Column) -> Column:
-        parts = F.split(F.trim(v), r"\s+")
-        return point(parts[0].try_cast("double"), parts[1].try_cast("double"))
-
-    ring = lambda t: F.transform(F.split(t, ","), vertex)
-    rings = lambda t: F.transform(
-        F.regexp_extract_all(t, F.lit(_RING_TEXT), F.lit(1)), ring
+    """Array of polygons from POLYGON or MULTIPOLYGON text; NULL when it is neither.
+
+    Only short patterns are matched: brackets and commas cut the text, and each number is tested by
+    itself, so a ring may have any number of vertices.
+    """
+    many = F.regexp_extract(text, _FRAME, 1) != ""
+    tight = F.regexp_replace(F.regexp_extract(text, _FRAME, 2), r"\s*([(),])\s*", "$1")
+    body = F.when(many, tight).otherwise(F.concat(F.lit("("), tight, F.lit(")")))
+    inner = F.substring(body, F.lit(4), F.greatest(F.char_length(body) - 6, F.lit(0)))
+    parts = F.transform(F.split(inner, r"\)\),\(\(", -1), lambda p: F.transform(F.split(p, r"\),\(", -1), lambda r: F.transform(
+        F.split(r, ",", -1), lambda v: F.split(v, r"\s+", -1))))
+    vertices = F.flatten(F.flatten(parts))
+    sound = (
+        text.rlike(_FRAME) & F.startswith(body, F.lit("(((")) & F.endswith(body, F.lit(")))"))
+        & (many | (F.size(parts) == 1))
+        & F.forall(vertices, lambda v: F.size(v).between(2, 4) & F.forall(v, lambda n: n.rlike(_NUMBER)))
     )
-    polygons = F.transform(F.regexp_extract_all(text, F.lit(_POLYGON_TEXT), F.lit(0)), rings)
+    at = lambda v, i: F.get(v, F.lit(i)).try_cast("double")
+    polygons = F.transform(parts, lambda p: F.transform(p, lambda r: F.transform(r, lambda v: point(at(v, 0), at(v, 1)))))
     # A ring has to close, as the text format requires.
     closed = F.forall(
         polygons,
@@ -315,4 +318,4 @@ def wkt_polygons(text: Column) -> Column:
             & (F.size(r) >= 4),
         ),
     )
-    return F.when(text.rlike(_WKT), F.when(closed, polygons))
+    return F.when(sound, F.when(closed, polygons))

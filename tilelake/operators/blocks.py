@@ -20,27 +20,25 @@ BLOCK = 512
 
 
 def pack_blocks(cells: DataFrame, block: int = BLOCK, nodata: float = DEFAULT_NODATA) -> DataFrame:
-    """``(bx, by, vals)`` with absent cells as nodata. A block is one group of bounded size."""
+    """``(bx, by, vals)`` with absent cells as NaN, and NULL as nodata. A block is one group of bounded size."""
     at = lambda c: F.floor(F.col(c) / block).cast("bigint")
     inner = lambda c: F.col(c) - at(c) * block
     keyed = cells.select(
         at("px").alias("bx"), at("py").alias("by"),
-        (inner("py") * block + inner("px")).cast("int").alias("i"), F.col("z").cast("float").alias("z"),
+        (inner("py") * block + inner("px")).cast("int").alias("i"), F.coalesce(F.col("z"), F.lit(nodata)).cast("float").alias("z"),
     )
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        values = np.full(block * block, nodata, np.float32)
+        values = np.full(block * block, np.nan, np.float32)
         values[pdf["i"].to_numpy()] = pdf["z"].to_numpy(np.float32)
         return pd.DataFrame({"bx": pdf["bx"][:1], "by": pdf["by"][:1], "vals": [values]})
 
     return keyed.groupBy("bx", "by").applyInPandas(fill, "bx bigint, by bigint, vals array<float>")
 
 
-def unpack_blocks(blocks: DataFrame, block: int = BLOCK, nodata: float = DEFAULT_NODATA) -> DataFrame:
-    """Long-form cells of packed blocks, without the nodata filling."""
-    return blocks.select("bx", "by", F.posexplode("vals").alias("i", "z")).where(
-        F.col("z") != F.lit(nodata).cast("float")
-    ).select(
+def unpack_blocks(blocks: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Long-form cells of packed blocks, nodata cells too, without the filling of absent ones."""
+    return blocks.select("bx", "by", F.posexplode("vals").alias("i", "z")).where(~F.isnan("z")).select(
         (F.col("bx") * block + F.col("i") % block).alias("px"),
         (F.col("by") * block + F.floor(F.col("i") / block)).alias("py"),
         F.col("z").cast("double").alias("z"),
@@ -50,7 +48,8 @@ def unpack_blocks(blocks: DataFrame, block: int = BLOCK, nodata: float = DEFAULT
 def overview_blocks(
     blocks: DataFrame, factor: int, block: int = BLOCK, nodata: float = DEFAULT_NODATA
 ) -> DataFrame:
-    """Overview cells of each block (sum and count), for a factor that divides the block."""
+    """Overview cells of each block (sum and count), for a factor that divides the block. A cell with
+    nodata only has nodata; one without any cell below it doesn't exist."""
     if block % factor:
         raise ValueError(f"factor {factor} does not divide the block size {block}")
     side = block // factor
@@ -60,10 +59,11 @@ def overview_blocks(
         for pdf in batches:
             for bx, by, vals in zip(pdf["bx"], pdf["by"], pdf["vals"], strict=True):
                 grid = np.asarray(vals, np.float64).reshape(side, factor, side, factor)
-                valid = grid != np.float32(nodata)
+                there = ~np.isnan(grid)
+                valid = there & (grid != np.float32(nodata))
                 count = valid.sum(axis=(1, 3)).ravel()
                 total = np.where(valid, grid, 0.0).sum(axis=(1, 3)).ravel()
-                some = count > 0
+                some = there.any(axis=(1, 3)).ravel()
                 yield pd.DataFrame({
                     "ox": bx * side + ox[some], "oy": by * side + oy[some],
                     "sum_z": total[some], "n_valid": count[some],
@@ -74,5 +74,5 @@ def overview_blocks(
     )
     return levels.select(
         F.lit(factor).alias("factor"), "ox", "oy", "sum_z", "n_valid",
-        (F.col("sum_z") / F.col("n_valid")).alias("z"),
+        F.when(F.col("n_valid") > 0, F.col("sum_z") / F.col("n_valid")).otherwise(F.lit(nodata)).alias("z"),
     )

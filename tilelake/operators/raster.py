@@ -285,16 +285,11 @@ def _doublings(start: int, longest: int, stop: int) -> list[int]:
 
 
 def integer_ratio(native: float, ensure: float) -> int:
-    """Whole number of native cells per guaranteed overview cell."""
-    if native <= 0 or ensure <= 0:
-        raise ValueError("resolutions must be positive")
-    if ensure < native:
-        raise ValueError(f"overview resolution {ensure} is finer than the native {native}")
-    ratio = ensure / native
-    factor = round(ratio)
-    if abs(ratio - factor) > RATIO_TOLERANCE * max(1.0, factor):
-        raise ValueError(f"{ensure} is not a whole multiple of {native} (ratio {ratio:.6f})")
-    return factor
+    """Whole number of native cells along a guaranteed overview cell, within the tolerance."""
+    cells = int(ensure / native + 0.5) if native > 0 else 0
+    if cells < 1 or abs(ensure - cells * native) > RATIO_TOLERANCE * ensure:
+        raise ValueError(f"no whole number of cells of size {native} makes one of size {ensure}")
+    return cells
 
 
 def overview_factors(
@@ -396,14 +391,16 @@ def assign_region(
     df: DataFrame, bounds: Sequence[float], region_size: float, grid_res: float,
     x: Column, y: Column,
 ) -> DataFrame:
-    """Region of each point by arithmetic on the grid of ``region_grid``; no join."""
+    """Region of each point by arithmetic on the grid of ``region_grid``; no join. Points beyond the
+    bounds have none; the far edges belong to the last regions."""
     minx, miny = (math.floor(v / grid_res) * grid_res for v in bounds[:2])
     maxx, maxy = (math.ceil(v / grid_res) * grid_res for v in bounds[2:])
     step = math.ceil(region_size / grid_res) * grid_res
-    index = lambda v, low, high: F.least(
+    inside = x.between(minx, maxx) & y.between(miny, maxy)
+    index = lambda v, low, high: F.when(inside, F.least(
         F.floor((v - F.lit(low)) / F.lit(step)),
         F.lit(max(1, math.ceil((high - low) / step)) - 1),
-    ).cast("int")
+    )).cast("int")
     return df.withColumn("region_col", index(x, minx, maxx)).withColumn(
         "region_row", index(y, miny, maxy)
     )

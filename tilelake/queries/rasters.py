@@ -116,13 +116,13 @@ def pyramid(spark, sf):
     return _level_ints(raster.pyramid(cells(spark, sf), [2, 4, 20, 40, 80]))
 
 
-@query("overview_blocks", f"SELECT * FROM ({_LEVEL_SQL.format(f=4)}) t WHERE n_valid > 0")
+@query("overview_blocks", _LEVEL_SQL.format(f=4))
 def overview_blocks(spark, sf):
     packed = blocks.pack_blocks(cells(spark, sf), 32)
     return _level_ints(blocks.overview_blocks(packed, 4, 32))
 
 
-@query("unpack_blocks", "SELECT px, cast(py AS bigint) AS py, cast(floor(z * 10 + 0.5) AS bigint) AS dz FROM pixels WHERE z <> -999.0")
+@query("unpack_blocks", "SELECT px, cast(py AS bigint) AS py, cast(floor(z * 10 + 0.5) AS bigint) AS dz FROM pixels")
 def unpack_blocks(spark, sf):
     out = blocks.unpack_blocks(blocks.pack_blocks(cells(spark, sf), 32), 32)
     return out.select("px", "py", F.floor(F.col("z") * 10 + 0.5).cast("bigint").alias("dz"))
@@ -228,7 +228,8 @@ def region_grid(spark, sf):
 
 
 @query("assign_region", """
-SELECT px, cast(py AS bigint) AS py, least(floor((px * 0.5 + 0.25 - 0) / 12.5), 5)::int AS region_col, least(floor((-py * 0.5 - 0.25 + 5000) / 12.5), 399)::int AS region_row FROM pixels""")
+SELECT px, cast(py AS bigint) AS py, CASE WHEN ok THEN least(floor((px * 0.5 + 0.25 - 0) / 12.5), 5)::int END AS region_col, CASE WHEN ok THEN least(floor((-py * 0.5 - 0.25 + 5000) / 12.5), 399)::int END AS region_row
+FROM (SELECT *, px * 0.5 + 0.25 BETWEEN 0 AND 65 AND -py * 0.5 - 0.25 BETWEEN -5000 AND 0 AS ok FROM pixels) p""")
 def assign_region(spark, sf):
     x, y = F.col("px") * 0.5 + 0.25, -F.col("py") * 0.5 - 0.25
     return raster.assign_region(cells(spark, sf), (0.0, -5000.0, 64.0, 0.0), 11.0, 2.5, x, y).select("px", "py", "region_col", "region_row")

@@ -84,7 +84,9 @@ class SearchReader(DataSourceReader):
         listed = files.get_file_info(arrow_fs.FileSelector(folder, allow_not_found=True))
         names = sorted(i.path for i in listed if i.path.endswith(".json"))
         current, page, seen = (names[0] if names else None), 0, set()
-        while current is not None and current not in seen:
+        while current is not None:
+            if current in seen:
+                raise ValueError(f"{current}: its link comes round again after {page} pages")
             seen.add(current)
             with files.open_input_stream(current) as stream:
                 body = json.loads(stream.read())
