@@ -15,6 +15,7 @@ import re
 import sys
 import unicodedata
 from array import array
+from itertools import pairwise
 from types import ModuleType
 
 import numpy as np
@@ -26,7 +27,6 @@ from pyspark.sql import functions as F
 from tilelake.llm.common import map_columns, narrow
 
 REMEMBERED = 400_000  # pieces, and words, a worker remembers before it starts afresh; results don't depend on it
-ABSENT = 1 << 62  # the key of a pair that doesn't merge
 
 # The characters that the normaliser's \s stands for.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -39,64 +39,63 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-class PairTree:
-    """Minimum tree over the ranks of adjacent pairs; a key is ``rank * n + position``."""
-
-    def __init__(self, keys: list[int]):
-        width = 1
-        while width < len(keys):
-            width *= 2
-        self.width = width
-        tree = [ABSENT] * width + keys + [ABSENT] * (width - len(keys))
-        for i in range(width - 1, 0, -1):
-            a, b = tree[2 * i], tree[2 * i + 1]
-            tree[i] = a if a < b else b
-        self.tree = tree  # tree[1] is the root
-
-    def put(self, position: int, key: int) -> None:
-        tree, i = self.tree, position + self.width
-        tree[i] = key
-        while i > 1:
-            other = tree[i ^ 1]
-            if other < key:
-                key = other
-            i >>= 1
-            if tree[i] == key:
-                return
-            tree[i] = key
-
-
-def merge(symbols: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
-    """Merge the leftmost pair of the lowest rank until none is left."""
+def tree_of(keys: list[int], absent: int) -> tuple[list[int], int]:
+    """Minimum tree over ``keys``: its nodes, the root at 1, and the place of the first leaf."""
+    width = 1
+    while width < len(keys):
+        width *= 2
+    tree = [absent] * width + keys + [absent] * (width - len(keys))
+    for i in range(width - 1, 0, -1):
+        a, b = tree[2 * i], tree[2 * i + 1]
+        tree[i] = a if a < b else b
+    return tree, width
+
+
+def put(tree: list[int], at: int, key: int) -> None:
+    """Give a leaf a key; the walk to the root ends where nothing changes."""
+    tree[at] = key
+    while at > 1:
+        other = tree[at ^ 1]
+        if other < key:
+            key = other
+        at >>= 1
+        if tree[at] == key:
+            return
+        tree[at] = key
+
+
+def merge(symbols: list[int], ranks: dict[int, int], made_by: list[int]) -> list[int]:
+    """Merge the leftmost pair of the lowest rank until none is left.
+
+    ``ranks`` is by ``left << 20 | right``, ``made_by`` names the symbol by rank; the last rank is
+    that of pairs which don't merge. A leaf is the rank before the pair's position.
+    """
     n = len(symbols)
-    if n < 2:
+    find, bits, never = ranks.get, n.bit_length(), len(made_by)
+    absent = never << bits
+    keys = [find(a << 20 | b, never) << bits | i for i, (a, b) in enumerate(pairwise(symbols))]
+    if n < 2 or min(keys) >= absent:
         return symbols
-    find = pairs.get
-    keys = []
-    for i in range(n - 1):
-        found = find(symbols[i] << 20 | symbols[i + 1])
-        keys.append(ABSENT if found is None else found[0] * n + i)
-    tree = PairTree(keys)
-    ranks, put = tree.tree, tree.put
+    tree, width = tree_of(keys, absent)
+    places = (1 << bits) - 1
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    while (low := ranks[1]) != ABSENT:
-        i = low % n
+    while (low := tree[1]) < absent:
+        i = low & places
+        symbols[i] = made = made_by[low >> bits]
         j = after[i]
-        symbols[i] = made = pairs[symbols[i] << 20 | symbols[j]][1]
         symbols[j] = -1
         after[i] = k = after[j]
-        found = None
         if k < n:
             before[k] = i
-            if ranks[tree.width + j] != ABSENT:
-                put(j, ABSENT)
-            found = find(made << 20 | symbols[k])
-        put(i, ABSENT if found is None else found[0] * n + i)
+            if tree[width + j] < absent:
+                put(tree, width + j, absent)
+            put(tree, width + i, find(made << 20 | symbols[k], never) << bits | i)
+        else:
+            put(tree, width + i, absent)
         if (h := before[i]) >= 0:
-            found = find(symbols[h] << 20 | made)
-            key = ABSENT if found is None else found[0] * n + h
-            if ranks[tree.width + h] != key:
-                put(h, key)
+            key = find(symbols[h] << 20 | made, never) << bits | h
+            if tree[width + h] != key:
+                put(tree, width + h, key)
     return [s for s in symbols if s >= 0]
 
 
@@ -106,57 +105,64 @@ class Encoder:
     def __init__(self, spec: str):
         data = json.loads(spec)
         model = data["model"]
-        self.vocab: dict[str, int] = model["vocab"]
-        self.end: str = model["end_of_word_suffix"] or ""
-        self.pairs = {}
-        for rank, pair in enumerate(model["merges"]):
+        vocab, end = model["vocab"], model["end_of_word_suffix"] or ""
+        self.ranks, self.made_by = {}, []
+        for pair in model["merges"]:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.pairs[self.vocab[a] << 20 | self.vocab[b]] = (rank, self.vocab[a + b])
+            self.ranks[vocab[a] << 20 | vocab[b]] = len(self.made_by)
+            self.made_by.append(vocab[a + b])
+        letters = byte_letters()
+        self.inner = [vocab.get(c, -1) for c in letters]
+        self.last = [vocab.get(c + end, -1) for c in letters]
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.cut = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self.words = regex.compile(data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.white = re.compile(f"[{WHITE}]+")
-        self.letters = byte_letters()
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.known: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
-    def piece(self, piece: str) -> tuple[int, ...]:
-        """Ids of a piece without white space: composed, lower-cased letter by letter, cut, merged."""
+    def piece(self, piece: str) -> bytes:
+        """Ids, as 32-bit integers, of a piece without white space: composed, lower-cased letter by letter, cut, merged."""
         flat = piece.lower() if piece.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", piece)))
-        words = self.words.findall(flat)
-        return tuple(self.word(words[0])) if len(words) == 1 else tuple(i for w in words for i in self.word(w))
+        return b"".join(map(self.word, self.words.findall(flat)))
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes:
         ids = self.known.get(word)
         if ids is None:
-            letters = [self.letters[b] for b in word.encode()]
-            letters[-1] += self.end
+            raw = word.encode()
+            symbols = [self.inner[b] for b in raw]
+            symbols[-1] = self.last[raw[-1]]
+            if -1 in symbols:
+                symbols = [s for s in symbols if s >= 0]
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            ids = self.known[word] = merge([self.vocab[c] for c in letters if c in self.vocab], self.pairs)
+            ids = self.known[word] = array("i", merge(symbols, self.ranks, self.made_by)).tobytes()
         return ids
 
-    def plain(self, text: str, out: array) -> None:
+    def plain(self, text: str) -> bytes:
         # str.split also cuts at the four separators below, which the normaliser keeps.
         odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-        known = self.pieces
-        for p in self.white.split(text) if odd else text.split():
-            ids = known.get(p)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = known[p] = self.piece(p)
-            out.extend(ids)
-
-    def encode(self, text: str) -> array:
-        out = array("i")
-        at = 0
+        pieces = self.white.split(text) if odd else text.split()
+        ids = list(map(self.pieces.get, pieces))
+        if None in ids:
+            for i, found in enumerate(ids):
+                if found is None:
+                    ids[i] = self.pieces.get(pieces[i]) or self.learn(pieces[i])
+        return b"".join(ids)
+
+    def learn(self, piece: str) -> bytes:
+        if len(self.pieces) >= REMEMBERED:
+            self.pieces.clear()
+        ids = self.pieces[piece] = self.piece(piece)
+        return ids
+
+    def encode(self, text: str) -> np.ndarray:
+        parts, at = [], 0
         for m in self.cut.finditer(text) if self.cut else ():
-            self.plain(text[at:m.start()], out)
-            out.append(self.special[m.group()])
+            parts += self.plain(text[at:m.start()]), array("i", [self.special[m.group()]]).tobytes()
             at = m.end()
-        self.plain(text[at:] if at else text, out)
-        return out
+        parts.append(self.plain(text[at:] if at else text))
+        return np.frombuffer(b"".join(parts), np.int32)
 
 
 def encoder_of(spec: str) -> Encoder:
@@ -188,11 +194,11 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         encoder = encoder_of(spec.value)
 
         def step(batch):
-            flat, offsets = array("i"), [0]
+            rows, offsets = [], [0]
             for text in batch["text"]:
-                flat.extend(encoder.encode(text.as_py() or ""))
-                offsets.append(len(flat))
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
+                rows.append(encoder.encode(text.as_py() or ""))
+                offsets.append(offsets[-1] + len(rows[-1]))
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(rows) if rows else np.array([], np.int32)))
             return {n: c for n, c in batch.items() if n != "text"} | {"ids": ids}
 
         return step
