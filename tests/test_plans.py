@@ -27,8 +27,6 @@ def test_stays_in_the_jvm(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join(spark, name):
-    if name.startswith(("stream_", "outcome_", "write_", "read_", "stac_")):
-        pytest.skip("runs a job of its own")
     text = plan_of(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tilelake.functions.grid import box
 from tilelake.functions.projections import metric_crs, rings_to_lonlat, rings_to_metric
@@ -18,7 +20,7 @@ from tilelake.functions.rings import (
     polygons_overlap,
     ring_bounds,
 )
-from tilelake.operators.catalog import ITEM_IDENTITY
+from tilelake.operators.catalog import ITEM_IDENTITY, first_seen
 from tilelake.session import materialize
 
 # Default chunk area, and the piece size below which a chunk is float noise.
@@ -183,23 +185,6 @@ def _cover(df: DataFrame, bounds: str, cell: float) -> DataFrame:
     )
 
 
-# Cell rows of the areas, rings included, up to this many bytes may be broadcast.
-BROADCAST_AREA_BYTES = 64 * 1024 * 1024
-
-
-def _fits_broadcast(areas: DataFrame, cell: float) -> bool:
-    """Whether the exploded areas are small: one aggregate over the area table, since Spark's
-    own estimate does not foresee how far a row explodes."""
-    span = lambda low, high: (
-        F.floor(F.col(f"_ab.{high}") / cell) - F.floor(F.col(f"_ab.{low}") / cell) + 1
-    )
-    row_bytes = F.size(F.flatten("_area")) * 80 + 200
-    total = areas.agg(
-        F.sum(span("minx", "maxx").cast("double") * span("miny", "maxy") * row_bytes)
-    ).first()[0]
-    return total is None or total <= BROADCAST_AREA_BYTES
-
-
 def _area_cover(areas: DataFrame, cell: float) -> DataFrame:
     """Cells of the bounds of each area part; cells that lie inside the polygon are marked.
 
@@ -257,11 +242,9 @@ def search_chunked(
         .withColumn("_ae", edges(F.col("_area")))
         .withColumn("_abox", is_box(F.col("_area"), F.col("_ab")))
     )
-    cover = _area_cover(areas, cell)
-    if _fits_broadcast(areas, cell):
-        cover = F.broadcast(cover)
-    else:
-        cover = cover.hint("merge")  # sorted by cell; AQE splits a cell full of items
+    # Dealt by cell, as a merge join needs it. Spark knows the cover's true size after this
+    # exchange, and only then may choose a broadcast; AQE splits a cell full of items.
+    cover = _area_cover(areas, cell).repartition("_cx", "_cy")
     boxed = items.withColumn("_ib", ring_bounds(F.col("rings")) if bounds is None else bounds)
     joined = _cover(boxed.where(F.col("rings").isNotNull()), "_ib", cell).join(cover, ["_cx", "_cy"])
     x0 = F.greatest("_ib.minx", "_ab.minx")
@@ -283,8 +266,15 @@ def search_chunked(
 
 
 def search(
-    items: DataFrame, aoi: DataFrame, cell: float, bounds: Column | None = None
+    items: DataFrame, aoi: DataFrame, cell: float, bounds: Column | None = None,
+    order: Sequence[str] = ("chunk", "page", "pos"),
 ) -> DataFrame:
-    """Items that meet any part of the area, each once."""
-    hits = search_chunked(items, aoi, cell, bounds)
-    return hits.select(*items.columns).dropDuplicates(list(ITEM_IDENTITY))
+    """Items that meet any part of the area, each once: the first of its copies that meet it.
+
+    Copies are ordered by the columns of ``order`` that the items have, then by all other columns
+    of a simple type, so the choice doesn't depend on partitioning.
+    """
+    hits = search_chunked(items, aoi, cell, bounds).select(*items.columns)
+    simple = [f.name for f in items.schema if isinstance(f.dataType, AtomicType) and f.dataType.typeName() != "variant"]
+    keys = [c for c in order if c in items.columns]
+    return first_seen(hits, keys + [c for c in simple if c not in (*keys, *ITEM_IDENTITY)])

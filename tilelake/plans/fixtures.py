@@ -115,12 +115,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The test files hold one row group each, which one task reads. Work that is heavy per row
-    is handed to all cores; tables of many files need no such step."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a DataFrame over the Parquet files."""
     text = f"{with_clause(name)}\nSELECT * FROM {name}"

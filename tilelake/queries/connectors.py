@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tilelake.functions.projections import rings_to_lonlat
 from tilelake.functions.rings import planar_area, ring_bounds
 from tilelake.operators import catalog, raster
 from tilelake.operators.slices import row_numbers
-from tilelake.plans.fixtures import spread, table, view
+from tilelake.plans.fixtures import table, view
 from tilelake.queries.catalogs import _RECONCILE_SQL
 from tilelake.queries.logs import request_log as log_rows
 from tilelake.queries.rasters import cells, headers
@@ -83,7 +85,7 @@ SELECT search_page, collection_id, item_id, CASE WHEN collection_id = 'MDS-50cm'
 def read_item_pages(spark, sf):
     page = F.concat(F.lit('{"type": "FeatureCollection", "search_page": '), F.col("search_page").cast("string"),
                     F.lit(', "features": ['), F.col("feature"), F.lit("], \"links\": []}"))
-    documents = _features(spread(view(spark, sf, "cat_items_raw"))).select(page.alias("value"))
+    documents = _features(view(spark, sf, "cat_items_raw")).select(page.alias("value"))
     raw = envelopes.read_text(spark, _written(documents, "pages"), lines=True)
     numbered = raw.withColumn("source", F.get_json_object("value", "$.search_page"))
     found, _ = envelopes.parse_item_pages(numbered)
@@ -222,13 +224,17 @@ def aoi_reprojected(spark, sf):
 # -- plain tables ---------------------------------------------------------------------------
 
 
-@query("read_inventory")
+@query("read_inventory", """
+SELECT CASE WHEN c_nationkey % 4 = 0 THEN concat('n', c_nationkey, '.part') ELSE concat('n', c_nationkey) END AS path, concat('n', c_nationkey) AS dest,
+       c_nationkey % 4 = 0 AS is_part, 1 AS files, sum(length(c_name) + 1)::bigint AS bytes FROM customer GROUP BY c_nationkey""")
 def read_inventory(spark, sf):
-    """Files of a written pyramid, by folder."""
+    """A folder of names per nation, one file each, listed with sizes; some folders are named as partial ones."""
     path = scratch_path(spark, "inventory")
-    sinks.write_pyramid(raster.pyramid(cells(spark, sf), [2, 4]), path)
-    found = tables.split_inventory(tables.read_inventory(spark, path, "*.parquet"))
-    return found.groupBy(F.split("path", "/")[0].alias("folder")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    key = F.col("c_nationkey").cast("string")
+    names = table(spark, sf, "customer").select(F.concat(F.lit("n"), key, F.when(F.col("c_nationkey") % 4 == 0, ".part").otherwise("")).alias("folder"), "c_name")
+    names.repartition("folder").write.partitionBy("folder").text(path)
+    found = tables.read_inventory(spark, path, "*.txt").withColumn("path", F.regexp_extract("path", "^folder=([^/]+)/[^/]+$", 1))
+    return tables.split_inventory(found).groupBy("path", "dest", "is_part").agg(F.count(F.lit(1)).cast("int").alias("files"), F.sum("length").alias("bytes"))
 
 
 @query("read_raster_headers", "SELECT path, cast(width AS int) AS width, cast(height AS int) AS height, cast(minx * 10 AS bigint) AS minx_dm FROM raster_headers")
@@ -249,10 +255,10 @@ def read_request_log(spark, sf):
 
 
 def _unique_items(spark, sf):
-    return catalog.dedup_items(tile_rings(view(spark, sf, "cat_items_raw").where("collection_id <> 'ORTOS-2021'")))
+    return catalog.dedup_items(tile_rings(view(spark, sf, "cat_items_raw")))
 
 
-@query("write_feature_lines", "SELECT DISTINCT collection_id, item_id, (tx - 200) * 1000 AS minx FROM cat_items_raw WHERE collection_id <> 'ORTOS-2021'")
+@query("write_feature_lines", "SELECT DISTINCT collection_id, item_id, (tx - 200) * 1000 AS minx FROM cat_items_raw")
 def write_feature_lines(spark, sf):
     path = scratch_path(spark, "features")
     sinks.write_feature_json(_unique_items(spark, sf), path)
@@ -260,8 +266,36 @@ def write_feature_lines(spark, sf):
     return items.select("collection_id", "item_id", F.col("bbox")[0].cast("bigint").alias("minx"))
 
 
+_RING_SQL = "concat('[[', x, ',', y, '],[', x + 1000, ',', y, '],[', x + 1000, ',', y + 1000, '],[', x, ',', y, ']]')"
+_SHAPES_SQL = f"""
+SELECT collection_id, item_id, CASE x % 3 WHEN 0 THEN 'Polygon' WHEN 1 THEN 'MultiPolygon' ELSE 'Point' END AS geometry_type,
+       CASE x % 3 WHEN 0 THEN concat('[', ring, ']') WHEN 1 THEN concat('[[', ring, '],[', ring, ',', ring, ']]') ELSE concat('[', x, ',', y, ']') END AS coordinates
+FROM (SELECT *, {_RING_SQL} AS ring FROM (SELECT collection_id, item_id, 100000 + min(tx) AS x, min(ty) AS y FROM cat_items_raw GROUP BY 1, 2) a) b"""
+
+
+@query("write_feature_geometry", _SHAPES_SQL)
+def write_feature_geometry(spark, sf):
+    """Features of three geometry types, read, written and read again."""
+    path = scratch_path(spark, "geometry")
+    rows = view(spark, sf, "cat_items_raw").groupBy("collection_id", "item_id").agg((F.min("tx") + 100000).alias("x"), F.min("ty").alias("y"))
+    shapes = rows.withColumn("ring", F.expr(_RING_SQL)).selectExpr("collection_id", "item_id", *_shape_columns())
+    text = F.concat(
+        F.lit('{"type": "Feature", "id": "'), "item_id", F.lit('", "collection": "'), "collection_id", F.lit('", "geometry": {"type": "'), "geometry_type",
+        F.lit('", "coordinates": '), "coordinates", F.lit('}, "properties": {}}'))
+    sinks.write_feature_json(envelopes.parse_features(shapes.select(text.alias("feature"))), path)
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return spark.read.text(path).select(
+        field("collection").alias("collection_id"), field("id").alias("item_id"), field("geometry.type").alias("geometry_type"),
+        F.regexp_replace(field("geometry.coordinates"), r"\.0(?=[,\]])", "").alias("coordinates"))
+
+
+def _shape_columns():
+    """The two CASE expressions of the SQL above, which both engines read."""
+    return re.findall(r"CASE x % 3 .*? END AS \w+", _SHAPES_SQL)
+
+
 @query("write_feature_collection", """
-SELECT 2 AS frame_lines, count(*) - 1 AS commas, count(*) AS features FROM (SELECT DISTINCT collection_id, item_id FROM cat_items_raw WHERE collection_id <> 'ORTOS-2021') t""")
+SELECT 2 AS frame_lines, count(*) - 1 AS commas, count(*) AS features FROM (SELECT DISTINCT collection_id, item_id FROM cat_items_raw) t""")
 def write_feature_collection(spark, sf):
     path = scratch_path(spark, "collection")
     sinks.write_feature_json(_unique_items(spark, sf), path, "collection")

@@ -10,7 +10,7 @@ from tilelake.functions import rings as rg
 from tilelake.operators import spatial
 from tilelake.operators.slices import row_numbers
 from tilelake.plans import lifecycle
-from tilelake.plans.fixtures import spread, table, view
+from tilelake.plans.fixtures import table, view
 from tilelake.queries.registry import query
 from tilelake.queries.scalars import int_columns, tile_rings
 
@@ -104,7 +104,7 @@ def lonlat_aoi(spark, sf):
     k = F.col("c_custkey")
     west = F.when(k % 4 == 0, F.lit(-28.5)).otherwise(F.lit(-9.0)) + (k % 250) / 100.0
     south = F.lit(37.013) + (k % 480) / 100.0
-    boxes = spread(table(spark, sf, "customer")).select("c_custkey", west.alias("w"), south.alias("s")).select(
+    boxes = table(spark, sf, "customer").select("c_custkey", west.alias("w"), south.alias("s")).select(
         "c_custkey", "w", "s", (F.col("w") + 0.02 + (k % 7) / 100.0).alias("e"), (F.col("s") + 0.02 + (k % 5) / 100.0).alias("n"))
     return boxes.select(
         F.col("c_custkey").cast("string").alias("aoi_id"), F.lit(0).alias("part_id"),
@@ -241,7 +241,7 @@ def tile_boxes(spark, sf, shape: str = "box"):
 
 
 def search_items(spark, sf):
-    return tile_rings(spread(view(spark, sf, "cat_items_raw"))).select("collection_id", "item_id", "size_bytes", "item_ts", "tx", "ty", "rings")
+    return tile_rings(view(spark, sf, "cat_items_raw")).select("collection_id", "item_id", "size_bytes", "item_ts", "tx", "ty", "search_page", "rings")
 
 
 _EXTENT_SQL = "(SELECT *, (tx - 200) * 1000 AS x0, (ty - 301) * 1000 AS y0 FROM cat_items_raw) i"
@@ -254,10 +254,14 @@ def search_bbox(spark, sf):
 
 
 @query("search_polygon", f"""
-SELECT DISTINCT collection_id, item_id FROM {_EXTENT_SQL} JOIN {_BOXES_SQL}
-ON x0 <= minx + 3 * side AND x0 + 1000 >= minx AND y0 <= miny + 3 * side AND y0 + 1000 >= miny AND x0 + y0 <= minx + miny + 3 * side""")
+SELECT collection_id, item_id, search_page, epoch_us(item_ts) AS item_us, ty FROM (
+  SELECT *, row_number() OVER (PARTITION BY collection_id, item_id ORDER BY search_page, item_ts, size_bytes, tx, ty) AS place
+  FROM {_EXTENT_SQL} JOIN {_BOXES_SQL}
+  ON x0 <= minx + 3 * side AND x0 + 1000 >= minx AND y0 <= miny + 3 * side AND y0 + 1000 >= miny AND x0 + y0 <= minx + miny + 3 * side) h
+WHERE place = 1""")
 def search_polygon(spark, sf):
-    return spatial.search(search_items(spark, sf), tile_boxes(spark, sf, "triangle"), 2000.0).select("collection_id", "item_id")
+    found = spatial.search(search_items(spark, sf), tile_boxes(spark, sf, "triangle"), 2000.0, order=("search_page", "item_ts", "size_bytes", "tx", "ty"))
+    return found.select("collection_id", "item_id", "search_page", F.unix_micros(F.col("item_ts").cast("timestamp")).alias("item_us"), "ty")
 
 
 @query("search_chunked", f"""
@@ -284,7 +288,8 @@ def search_estimate(spark, sf):
 
 @query("sql_functions", f"""
 SELECT c_custkey, cast(floor(x * 100 + 0.5) AS bigint) AS x_cm, cast(floor(y * 100 + 0.5) AS bigint) AS y_cm,
-       cast(c_custkey % 997 // 60 AS varchar) || ':' || lpad(cast(c_custkey % 997 % 60 AS varchar), 2, '0') AS shown FROM {tm06_sql(_POINTS_SQL)} t WHERE c_custkey % 997 >= 60""")
+       CASE WHEN c_custkey % 997 < 60 THEN (c_custkey % 997) || ' s'
+            ELSE cast(c_custkey % 997 // 60 AS varchar) || ':' || lpad(cast(c_custkey % 997 % 60 AS varchar), 2, '0') END AS shown FROM {tm06_sql(_POINTS_SQL)} t""")
 def sql_functions(spark, sf):
     from tilelake.functions.sql import register
 
@@ -292,7 +297,7 @@ def sql_functions(spark, sf):
     return spark.sql("""
         SELECT c_custkey, cast(floor(p.x * 100 + 0.5) AS bigint) AS x_cm, cast(floor(p.y * 100 + 0.5) AS bigint) AS y_cm,
                tl_human_duration(c_custkey % 997) AS shown
-        FROM (SELECT c_custkey, tl_to_tm06(lon, lat) AS p FROM {pts}) t WHERE c_custkey % 997 >= 60""", pts=_points(spark, sf))
+        FROM (SELECT c_custkey, tl_to_tm06(lon, lat) AS p FROM {pts}) t""", pts=_points(spark, sf))
 
 
 @query("sql_chunk_grid", """

@@ -108,10 +108,12 @@ def geometry_parts(geometry: Column) -> Column:
 
 def _item_columns(f: str) -> list[Column]:
     """Item columns of a parsed feature. ``rings`` holds the rings of all polygons of the
-    geometry, ``bbox`` what the item declared."""
+    geometry, ``part_rings`` how many each polygon has, ``bbox`` what the item declared."""
+    parts = geometry_parts(F.col(f"{f}.geometry"))
     return [
         F.col(f"{f}.id").alias("item_id"), F.col(f"{f}.collection").alias("collection_id"),
-        F.flatten(geometry_parts(F.col(f"{f}.geometry"))).alias("rings"),
+        F.flatten(parts).alias("rings"), F.transform(parts, F.size).alias("part_rings"),
+        F.col(f"{f}.geometry.type").alias("geometry_type"),
         F.col(f"{f}.bbox").alias("bbox"), F.col(f"{f}.assets").alias("assets"),
         F.col(f"{f}.properties").alias("properties"),
         F.try_to_timestamp(

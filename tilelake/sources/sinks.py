@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilelake.functions.rings import ring_bounds
@@ -13,19 +13,37 @@ from tilelake.operators.plan import convert_summary
 from tilelake.schemas import MANIFEST_FIELDS
 
 
+def _geometry(items: DataFrame) -> Column:
+    """The geometry as a variant. Items that carry ``geometry_type`` and ``part_rings``, as read
+    features do, keep their type and parts; all others are one polygon."""
+    pair = lambda p: F.array(p["x"], p["y"])
+    polygon = lambda rings: F.transform(rings, lambda r: F.transform(r, pair))
+    shape = lambda kind, coordinates: F.to_variant_object(
+        F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")))
+    rings = F.col("rings")
+    single = shape("Polygon", polygon(rings))
+    if not {"geometry_type", "part_rings"} <= set(items.columns):
+        return F.when(rings.isNotNull(), single)
+    sizes = F.col("part_rings")
+    first = lambda i: F.aggregate(F.slice(sizes, 1, i), F.lit(1), lambda n, m: n + m)
+    parts = F.transform(sizes, lambda n, i: polygon(F.slice(rings, first(i), n)))
+    return (
+        F.when(rings.isNull(), F.lit(None))
+        .when(F.col("geometry_type") == "MultiPolygon", shape("MultiPolygon", parts))
+        .when(F.col("geometry_type") == "Point", shape("Point", pair(rings[0][0])))
+        .otherwise(single)
+    )
+
+
 def features(items: DataFrame) -> DataFrame:
     """Items as feature text. Properties stay as they are; the box is that of the geometry."""
     b = ring_bounds(F.col("rings"))
-    coordinates = F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
     optional = [F.col(c) for c in ("assets", "properties") if c in items.columns]
     feature = F.struct(
         F.lit("Feature").alias("type"), F.col("item_id").alias("id"),
         F.col("collection_id").alias("collection"),
         F.array(b["minx"], b["miny"], b["maxx"], b["maxy"]).alias("bbox"),
-        F.when(
-            F.col("rings").isNotNull(),
-            F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")),
-        ).alias("geometry"),
+        _geometry(items).alias("geometry"),
         *optional,
     )
     return items.select(*ITEM_IDENTITY, F.to_json(feature).alias("value"))
