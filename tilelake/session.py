@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,16 +47,37 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+_inner: ContextVar[str | None] = ContextVar("_inner", default=None)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[None]:
+    """Tables that ``materialize`` writes inside the block are removed at its end.
+
+    What is needed afterwards must be written within the block with ``keep=True``.
+    """
+    path = scratch_path(spark, label)
+    token = _inner.set(path)
+    try:
+        yield
+    finally:
+        _inner.reset(token)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    folder = None if keep else _inner.get()
+    return f"{folder or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The written table survives lost executors, fixes values that depend on partitioning, and
-    lets later passes read only the columns they need.
+    lets later passes read only the columns they need. ``keep`` puts it beside, not into, the
+    folder of an enclosing ``scratch_folder``.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = scratch_path(df.sparkSession, label, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
