@@ -284,6 +284,18 @@ def test_fuzzy_lines_recall_and_large_groups(spark):
     assert 0.97 * expected <= found <= expected
 
 
+def test_fuzzy_lines_of_a_phrase_repeated_more_or_less_often(spark):
+    rows, n = [], 0
+    for seed, size, few, many in [(s, 8, 5, 100) for s in range(20)] + [(s, 8, 10, 40) for s in range(20, 40)] + [(s, 2, 3, 60) for s in range(40, 60)]:
+        for times in (few, many):
+            rows.append((n, " ".join([words(5000 + seed, size)] * times), "a"))
+            n += 1
+    sets = [brute.shingles(t) for _, t, _ in rows]
+    assert all(sets[i] == sets[i + 1] for i in range(0, n, 2))
+    found = {r.doc_id: list(r.removed) for r in fuzzy_lines.report(table(spark, rows)).collect()}
+    assert found == {i: [0] if i % 2 else [] for i in range(n)}
+
+
 def test_line_frequency(spark, docs, rows, empty):
     common = [(200 + i, f"shared footer of the host\n{words(300 + i, 80)}", "h") for i in range(40)]
     spam = [(300 + i, f"{words(77, 70)}\n{words(400 + i, 20)}", "h") for i in range(40)]
