@@ -296,6 +296,25 @@ def test_fuzzy_lines_of_a_phrase_repeated_more_or_less_often(spark):
     assert found == {i: [0] if i % 2 else [] for i in range(n)}
 
 
+def test_fuzzy_lines_recall_of_pairs_near_the_threshold(spark):
+    pick = random.Random(12)
+    rows = []
+    for i in range(300):
+        line = words(9000 + i, pick.choice([6, 14, 25, 60]))
+        near, whole = line, brute.shingles(line)
+        while True:
+            at = pick.randrange(len(near))
+            changed = near[:at] + pick.choice("ijklmnop") + near[at + 1:]
+            other = brute.shingles(changed)
+            if len(whole & other) < 0.8 * len(whole | other):
+                break
+            near = changed
+        if near != line:
+            rows += [(2 * i, line, "a"), (2 * i + 1, near, "a")]
+    found = fuzzy_lines.report(table(spark, rows)).where("n_removed = 1").count()
+    assert 0.99 * len(rows) / 2 <= found <= len(rows) / 2
+
+
 def test_line_frequency(spark, docs, rows, empty):
     common = [(200 + i, f"shared footer of the host\n{words(300 + i, 80)}", "h") for i in range(40)]
     spam = [(300 + i, f"{words(77, 70)}\n{words(400 + i, 20)}", "h") for i in range(40)]
