@@ -347,6 +347,19 @@ def test_url_intervals(spark):
     assert url_intervals.judge(c.limit(0), e, "id", "url", "at").count() == 0
 
 
+def test_url_intervals_of_a_host_with_many_labels(spark):
+    host = "a.b.c.d.e.f.g.h.example.com"
+    below = host.split(".", 1)[1]
+    deep = ".".join(["x"] * 125 + ["example", "org"])
+    entries = [("example.com", "allow", "2024-01-01 00:00:00"), (below, "block", "2024-01-02 00:00:00"), (deep.split(".", 2)[2], "block", "2024-01-02 00:00:00")]
+    captures = [(1, f"http://{host}/", "2024-01-03 00:00:00"), (2, f"http://{below}/", "2024-01-03 00:00:00"), (3, f"http://{deep}/", "2024-01-03 00:00:00"),
+                (4, f"http://{below.split('.', 1)[1]}/", "2024-01-03 00:00:00")]
+    c = spark.createDataFrame(captures, "id long, url string, at string").withColumn("at", F.col("at").cast("timestamp"))
+    e = spark.createDataFrame(entries, "key string, action string, listed_at string").withColumn("listed_at", F.col("listed_at").cast("timestamp"))
+    found = {r.id: (r.entry, r.blocked) for r in url_intervals.judge(c, e, "id", "url", "at").collect()}
+    assert found == {1: (below, True), 2: (below, True), 3: (entries[2][0], True), 4: ("example.com", False)}
+
+
 # -- toxicity ---------------------------------------------------------------------------------------------
 
 

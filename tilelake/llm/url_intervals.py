@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 SLOT_S = 30 * 86400  # seconds of a time slot
 FOREVER = "9999-12-31 00:00:00"
-PARTS = 8  # host labels that are looked up, from the right
 
 
 def host_of(url: Column) -> Column:
@@ -24,13 +23,11 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def suffixes(host: Column, parts: int = PARTS) -> Column:
+def suffixes(host: Column) -> Column:
     """All endings of a host at label borders, the host itself included: pairs of depth and key."""
     labels = F.split(host, r"\.")
-    depth = F.least(F.size(labels), F.lit(parts))
-    whole = F.array(F.struct(F.size(labels).alias("depth"), host.alias("key")))
-    return F.array_distinct(F.concat(whole, F.transform(F.sequence(F.lit(1), depth), lambda n: F.struct(
-        n.alias("depth"), F.array_join(F.slice(labels, F.size(labels) - n + 1, n), ".").alias("key")))))
+    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.struct(
+        n.alias("depth"), F.array_join(F.slice(labels, F.size(labels) - n + 1, n), ".").alias("key")))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
