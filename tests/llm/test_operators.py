@@ -465,3 +465,14 @@ def test_pipeline_stages_follow_each_other(spark):
         assert docs.columns == columns or name == "tokens"
     assert kept[0] == kept[1] >= kept[2] and kept[3] == kept[4] > 0
     assert docs.where("size(ids) = 0 AND decoded <> ''").count() == 0
+
+
+def test_pipeline_drops_what_the_classifier_predicts(spark, monkeypatch):
+    import corpus_pipeline
+
+    docs = table(spark, [(i, str(i), "a") for i in range(10)])
+    monkeypatch.setattr(corpus_pipeline, "read", lambda *_: None)
+    monkeypatch.setattr(pu_toxicity, "train", lambda *_, **__: {})
+    monkeypatch.setattr(pu_toxicity, "scores", lambda df, weights, text, out: df.withColumn(out, F.col("doc_id") / 10))
+    kept = corpus_pipeline.toxicity(spark, docs, "").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == [0, 1, 2]

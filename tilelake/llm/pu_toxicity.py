@@ -185,7 +185,7 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """Documents whose score is below ``threshold``, with all their columns."""
     (mark,) = fresh(docs, "_score")
     weights = train(docs, labels, text_col=text_col)
