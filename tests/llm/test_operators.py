@@ -328,6 +328,16 @@ def test_line_frequency(spark, docs, rows, empty):
     assert cleaned == {i: t.split("\n")[1] for i, t, _ in common}
 
 
+def test_line_frequency_limit_does_not_grow_with_the_host(spark):
+    def held(n: int, common: int) -> int:
+        rows = [(i, f"own line {i}" + ("\nthe footer" if i < common else ""), "h") for i in range(n)]
+        return line_frequency.verdicts(table(spark, rows)).where("size(removed) > 0").count()
+
+    assert held(5_000, 250) == 250
+    assert held(15_000, 250) == 250
+    assert held(15_000, 150) == 0
+
+
 # -- URL lists ------------------------------------------------------------------------------------------
 
 

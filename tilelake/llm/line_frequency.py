@@ -20,7 +20,8 @@ from tilelake.session import materialize
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words in repeated three-word windows
 MIN_DOCS = 20  # a line in no more documents of a host than this always stays
-MAX_SHARE = 0.02  # ... nor one in no more than this share of the host's documents
+MAX_SHARE = 0.02  # ... as does one in no more than this share of the host's documents
+MAX_DOCS = 200  # ... but one in more documents than this goes, whatever the size of the host
 MIN_LEFT = 0.5  # share of its words that a document must keep
 SYMBOLS = "#*$%&|<>"
 
@@ -78,8 +79,9 @@ def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
                        "n_repeat_words long, body string, lines array<struct<pos: int, h: long, w: int>>")
 
 
-def common_lines(profiles: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """``host, h`` of lines in more different documents of a host than the limits allow.
+def common_lines(profiles: DataFrame, min_docs: int, max_share: float, max_docs: int = MAX_DOCS) -> DataFrame:
+    """``host, h`` of lines in more different documents of a host than the limits allow: in more than
+    ``max_docs``, or in more than ``min_docs`` and the share.
 
     The first shuffle is by host, line and document, so no line lies in one task; the second has
     counts only.
@@ -87,14 +89,14 @@ def common_lines(profiles: DataFrame, min_docs: int, max_share: float) -> DataFr
     total = profiles.groupBy("host").agg(F.count_distinct("body").alias("docs"))
     lines = profiles.select("host", "body", F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
     found = lines.groupBy("host", "h").agg(F.count_distinct("body").alias("held"))
-    found = found.where(F.col("held") > min_docs)
+    found = found.where(F.col("held") > min(min_docs, max_docs))
     return (found.alias("f").join(total.alias("t"), F.col("f.host").eqNullSafe(F.col("t.host")))
-            .where(F.col("held") > F.col("docs") * max_share).select("f.host", "f.h"))
+            .where((F.col("held") > max_docs) | ((F.col("held") > min_docs) & (F.col("held") > F.col("docs") * max_share))).select("f.host", "f.h"))
 
 
 def verdicts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-    min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT,
+    min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, max_docs: int = MAX_DOCS,
 ) -> DataFrame:
     """One row per document: base figures, ``removed`` line positions, words left, and ``kept``.
 
@@ -104,7 +106,7 @@ def verdicts(
     50 words or less than ``min_left`` of its words.
     """
     rows = materialize(profile(docs, id_col, text_col, host_col), "lines")
-    bad = materialize(common_lines(rows, min_docs, max_share), "common-lines")
+    bad = materialize(common_lines(rows, min_docs, max_share, max_docs), "common-lines")
     # One row per different text of a host: copies have the same lines.
     lines = rows.select("host", "body", F.explode("lines").alias("x")).select("host", "body", "x.*")
     lines = lines.select(F.coalesce(F.concat(F.lit("="), "host"), F.lit("")).alias("at"), "body", "pos", "h", "w")
