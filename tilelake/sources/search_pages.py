@@ -48,7 +48,7 @@ class SearchReader(DataSourceReader):
         self, path: str, collections: list[str], page_size: int, chunks: set[str] | None = None
     ) -> None:
         self.path, self.collections, self.page_size = path, collections, page_size
-        self.chunk = chunks
+        self.chunk, self.listed = chunks, chunks or set()
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         """Equality on chunk and collection decides which searches run at all."""
@@ -72,6 +72,8 @@ class SearchReader(DataSourceReader):
             for info in files.get_file_info(arrow_fs.FileSelector(root))
             if info.type == arrow_fs.FileType.Directory
         ]
+        if missing := (self.listed & (self.chunk or set())) - {None, *chunks}:
+            raise FileNotFoundError(f"{self.path}: no search recorded for chunks {sorted(missing)[:5]}")
         return [
             SearchPartition(chunk, collection)
             for chunk in sorted(chunks) if self.chunk is None or chunk in self.chunk
@@ -81,9 +83,11 @@ class SearchReader(DataSourceReader):
     def read(self, partition: SearchPartition) -> Iterator[tuple]:
         files, root = filesystem(self.path)
         folder = posixpath.join(root, partition.chunk, partition.collection)
-        listed = files.get_file_info(arrow_fs.FileSelector(folder, allow_not_found=True))
+        listed = files.get_file_info(arrow_fs.FileSelector(folder))
         names = sorted(i.path for i in listed if i.path.endswith(".json"))
-        current, page, seen = (names[0] if names else None), 0, set()
+        if not names:
+            raise FileNotFoundError(f"{folder}: no page of this search")
+        current, page, seen = names[0], 0, set()
         while current is not None:
             if current in seen:
                 raise ValueError(f"{current}: its link comes round again after {page} pages")
