@@ -160,3 +160,60 @@ def fuzzy_lines(rows: list[tuple[int, str | None]], similar: float = 0.8) -> dic
         for i, pos in sorted(at)[1:]:
             gone[i].append(pos)
     return {i: sorted(gone.get(i, [])) for i, _ in rows}
+
+
+def order_minhash(text: str, factors: list[int], k: int, chosen: int) -> list[int]:
+    """16-bit tuple hashes: per order the numbered k-mers that come first, hashed in text order."""
+    wide, base, step = 2**64, 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+
+    def mixed(x: int) -> int:
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % wide
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % wide
+        return x ^ x >> 31
+
+    parts = [text[i:i + k] for i in range(len(text) - k + 1)] or ([text] if text else [])
+    if not parts:
+        return [0] * len(factors)
+    hashed, numbered, seen = {}, [], {}
+    for p in parts:
+        if p not in hashed:
+            h = 0
+            for c in p:
+                h = (h * base + ord(c) + 1) % wide
+            hashed[p] = mixed(h)
+        numbered.append(mixed((hashed[p] + seen.get(p, 0) * step) % wide) >> 32)
+        seen[p] = seen.get(p, 0) + 1
+    out = []
+    for f in factors:
+        first = sorted(range(len(parts)), key=lambda i: (numbered[i] * f % 2**32, i))[:chosen]
+        h = 0
+        for i in sorted(first):
+            h = mixed((h * base + hashed[parts[i]]) % wide)
+        out.append(h >> 48)
+    return out
+
+
+def ranked(rows: list, items: list, term: str, count: int = 10) -> list[tuple]:
+    """item, rank, doc, score by adding up every document's score."""
+    import math
+    import re
+
+    split = lambda t: re.findall(term, (t or "").translate({c: c + 32 for c in range(65, 91)}))
+    docs = [(i, split(t)) for i, t in rows]
+    docs = [(i, ts) for i, ts in docs if ts]
+    n_docs, all_terms = len(docs), sum(len(ts) for _, ts in docs)
+    held: dict = {}
+    for _, ts in docs:
+        for t in set(ts):
+            held[t] = held.get(t, 0) + 1
+    out = []
+    for item, text in set(items):
+        found = []
+        for i, ts in docs:
+            m, score = 10 + 90 * len(ts) * n_docs // all_terms, 0
+            for t in set(split(text)) & set(ts):
+                score += math.floor(1000 * math.log((2 * n_docs + 2) / (2 * held[t] + 1))) * (10**9 * ts.count(t) // (1000 * ts.count(t) + 8 * m))
+            if score > 0:
+                found.append((-score, i is None, i or 0, i))
+        out += [(item, n + 1, f[3], -f[0]) for n, f in enumerate(sorted(found)[:count])]
+    return out

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilelake.llm import entropy_mix, fuzzy_lines, line_frequency, pu_toxicity, secret_grammar, segment_bpe, simhash_tiles, stream_dedup, url_intervals, warc_merge
+from tilelake.llm import (
+    entropy_mix,
+    fuzzy_lines,
+    k2_treap,
+    line_frequency,
+    order_minhash,
+    pu_toxicity,
+    qdwh_whiten,
+    secret_grammar,
+    segment_bpe,
+    simhash_tiles,
+    stream_dedup,
+    url_intervals,
+    warc_merge,
+)
 from tilelake.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +128,27 @@ def op6(spark, sf):
     captures = pages.select("page_id", "url", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id") * 977 % 31_622_400).alias("at"))
     return url_intervals.judge(captures, entries, "page_id", "url", "at").select(
         "page_id", "host", F.unix_micros("fetched_at").alias("fetched_us"), "entry", F.unix_micros("valid_from").alias("valid_from_us"), "blocked")
+
+
+@query("op11_order_minhash")
+def op11(spark, sf):
+    return order_minhash.report(read(spark, sf, "documents"))
+
+
+@query("op12_qdwh_whiten")
+def op12(spark, sf):
+    return qdwh_whiten.report(read(spark, sf, "embeddings"))
+
+
+@query("op13_k2_treap", r"""
+WITH t AS (SELECT doc_id AS d, row_number() OVER () AS r, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+p AS (SELECT d, r, term, count(*) AS tf FROM t GROUP BY ALL),
+len AS (SELECT r, sum(tf)::BIGINT AS n FROM p GROUP BY r),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM len),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+f AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, s WHERE term IN (SELECT term FROM i) GROUP BY term),
+x AS (SELECT item_id, d, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score FROM i JOIN f USING (term) JOIN p USING (term) JOIN len USING (r), s GROUP BY ALL),
+o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, d) AS rank, d AS doc_id, score FROM x WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM o WHERE rank <= 10""")
+def op13(spark, sf):
+    return k2_treap.report(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
