@@ -36,8 +36,8 @@ BEST = 10
 ONE = 1_000_000_000
 SHARE = 90  # percent of the length norm that follows the document's length
 
-CELLS = 1 << 20  # filled cells of a range, after which the next one starts
-COLUMNS = 1 << 13  # documents of a range
+CELLS = 1 << 18  # filled cells of a range, after which the next one starts
+COLUMNS = 1 << 12  # documents of a range
 BATCH = 256  # open ranges of columns that are halved together
 ITEM_TERMS = 100_000  # terms of the items that are searched together
 
@@ -165,9 +165,16 @@ class Treap:
 
 def totals(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
     """Documents with a term, and the number of their terms with repeats."""
-    count = F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(TERM)), F.lit(0)).cast("long")
-    got = docs.select(count.alias("n")).agg(F.count_if(F.col("n") > 0).alias("docs"), F.sum("n").alias("all")).first()
-    return int(got.docs), int(got["all"] or 0)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = 0, 0
+        for batch in batches:
+            lengths = [len(terms(t.as_py() or "")) for t in batch.column(0)]
+            found = found[0] + sum(map(bool, lengths)), found[1] + sum(lengths)
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in found], names=["docs", "terms"])
+
+    got = docs.select(F.col(f"`{text_col}`")).mapInArrow(count, "docs long, terms long").agg(F.sum("docs"), F.sum("terms")).first()
+    return int(got[0] or 0), int(got[1] or 0)
 
 
 def impact(tf: np.ndarray, length: np.ndarray, docs: int, all_terms: int) -> np.ndarray:
