@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -47,36 +48,47 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-_inner: ContextVar[str | None] = ContextVar("_inner", default=None)
+def _folders() -> ContextVar:
+    """The scratch folders that are open here, outermost first.
+
+    Made when first asked for: a module-level ContextVar would go with task code, and can't be pickled.
+    """
+    module = sys.modules[__name__]
+    if not hasattr(module, "_open_folders"):
+        module._open_folders = ContextVar("_open_folders", default=())
+    return module._open_folders
 
 
 @contextmanager
 def scratch_folder(spark: SparkSession, label: str) -> Iterator[None]:
     """Tables that ``materialize`` writes inside the block are removed at its end.
 
-    What is needed afterwards must be written within the block with ``keep=True``.
+    What is needed afterwards must be written within the block with ``keep=True``; it goes to the
+    folder of the block around, or stays where there is none. Blocks may be nested.
     """
     path = scratch_path(spark, label)
-    token = _inner.set(path)
+    token = _folders().set((*_folders().get(), path))
     try:
         yield
     finally:
-        _inner.reset(token)
+        _folders().reset(token)
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
-    folder = None if keep else _inner.get()
-    return f"{folder or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    folders = _folders().get()
+    if keep:
+        folders = folders[:-1]
+    return f"{folders[-1] if folders else shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The written table survives lost executors, fixes values that depend on partitioning, and
-    lets later passes read only the columns they need. ``keep`` puts it beside, not into, the
-    folder of an enclosing ``scratch_folder``.
+    lets later passes read only the columns they need. ``keep`` lets it outlast the innermost
+    enclosing ``scratch_folder``.
     """
     path = scratch_path(df.sparkSession, label, keep)
     df.write.parquet(path)
