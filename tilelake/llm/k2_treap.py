@@ -36,9 +36,9 @@ BEST = 10
 ONE = 1_000_000_000
 SHARE = 90  # percent of the length norm that follows the document's length
 
-CELLS = 1 << 18  # filled cells of a range, after which the next one starts
+CELLS = 1 << 19  # filled cells of a range, after which the next one starts
 COLUMNS = 1 << 12  # documents of a range
-BATCH = 256  # open ranges of columns that are halved together
+BATCH = 128  # open ranges of columns that are halved together
 ITEM_TERMS = 100_000  # terms of the items that are searched together
 
 
@@ -95,19 +95,24 @@ def plant(rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray) -> tuple[i
     return height, np.concatenate(masks[::-1]).tobytes(), np.concatenate(drops[::-1]).tobytes()
 
 
-_QUADRANTS = np.array([[(m & ((1 << q) - 1)).bit_count() for q in range(4)] for m in range(16)], np.int64)
+# By mask and quadrant: whether that child is there, and how many come before it.
+_THERE = np.array([m >> q & 1 for m in range(16) for q in range(4)], bool)
+_BEFORE = np.array([(m & ((1 << q) - 1)).bit_count() for m in range(16) for q in range(4)], np.int32)
 _SIZES = np.array([m.bit_count() for m in range(16)], np.int64)
 
 
 class Treap:
-    """A planted tree, opened: per cell its children's mask, its first child and its maximum."""
+    """A planted tree, opened: per cell its children's mask, its first child and its maximum.
+
+    Each list ends with an empty cell, which -1 stands for.
+    """
 
     def __init__(self, height: int, masks: bytes, drops: bytes) -> None:
         self.height = height
         inner = np.frombuffer(masks, np.uint8)
-        self.mask = inner
-        self.first = 1 + np.concatenate(([0], np.cumsum(_SIZES[inner])))[:-1]
-        most = np.frombuffer(drops, np.uint32).astype(np.int64)
+        self.mask = np.append(inner, np.uint8(0)).astype(np.int32) * 4
+        self.first = (1 + np.concatenate(([0], np.cumsum(_SIZES[inner])))).astype(np.int32)
+        most = np.append(np.frombuffer(drops, np.uint32), np.uint32(0)).astype(np.int64)
         at, cells = 0, 1
         for _ in range(height):  # each level's maxima follow from those above
             children = _SIZES[inner[at:at + cells]]
@@ -120,29 +125,27 @@ class Treap:
         """``columns, scores`` of the documents that score ``least`` or more and are among the ``count`` best,
         with all that tie with the last of them; and the score that is needed for that.
         """
-        columns, scores = [], []
+        columns, scores = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         reached = np.empty(0, np.int64)
-        cells = np.zeros((1, len(rows)), np.int64)
+        # The row's half at each level, as the quadrants' upper bit.
+        halves = (rows[None, :] >> np.arange(self.height - 1, -1, -1)[:, None] & 1).astype(np.int32) * 2
+        cells = np.zeros((1, len(rows)), np.int32)
         level, block, bound = np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([int(self.most[0]) * int(weights.sum())])
-        while len(bound) and bound.max() >= least:
+        while len(bound):
+            now, rest = slice(None), slice(0, 0)
             if len(bound) > BATCH:
-                by = np.argpartition(-bound, BATCH)
-                now, rest = by[:BATCH], by[BATCH:]
+                by = np.argpartition(bound, len(bound) - BATCH)
+                now, rest = by[-BATCH:], by[:-BATCH]
                 rest = rest[bound[rest] >= least]
-            else:
-                now, rest = np.arange(len(bound)), np.empty(0, np.int64)
-            quadrant = (rows[None, :] >> (self.height - 1 - level[now])[:, None]) & 1
-            parts = []
-            for half in (0, 1):
-                q = 2 * quadrant + half
-                at = cells[now]
-                mask = np.where(at >= 0, self.mask[at], 0)
-                there = (mask >> q) & 1 == 1
-                child = np.where(there, self.first[at] + _QUADRANTS[mask, q], -1)
-                score = (np.where(there, self.most[child], 0) * weights).sum(axis=1)
-                keep = np.flatnonzero(score >= least)
-                parts.append((child[keep], level[now][keep] + 1, 2 * block[now][keep] + half, score[keep]))
-            child, deeper, place, score = (np.concatenate(x) for x in zip(*parts, strict=True))
+            here, deeper, place = cells[now], level[now] + 1, block[now] * 2
+            child = self.mask[here] + halves[deeper - 1]
+            base = self.first[here]
+            child = np.concatenate((child, child + 1))
+            child = np.where(_THERE[child], np.concatenate((base, base)) + _BEFORE[child], -1)
+            score = self.most[child] @ weights
+            keep = np.flatnonzero(score >= least)
+            score = score[keep]
+            deeper, place = np.concatenate((deeper, deeper))[keep], np.concatenate((place, place + 1))[keep]
             leaf = deeper == self.height
             if leaf.any():
                 columns.append(place[leaf])
@@ -150,11 +153,9 @@ class Treap:
                 reached = np.sort(np.concatenate((reached, score[leaf])))[-count:]
                 if len(reached) == count:
                     least = max(least, int(reached[0]))
-            wide = ~leaf
-            cells = np.concatenate((cells[rest], child[wide]))
+            wide = ~leaf & (score >= least)
+            cells = np.concatenate((cells[rest], child[keep[wide]]))
             level, block, bound = (np.concatenate((x[rest], y[wide])) for x, y in ((level, deeper), (block, place), (bound, score)))
-        if not columns:
-            return np.empty(0, np.int64), np.empty(0, np.int64), least
         columns, scores = np.concatenate(columns), np.concatenate(scores)
         keep = scores >= least
         return columns[keep], scores[keep], least
