@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import uuid
@@ -74,6 +75,13 @@ def scratch_folder(spark: SparkSession, label: str) -> Iterator[None]:
         _folders().reset(token)
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished queries now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
