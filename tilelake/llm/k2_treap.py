@@ -13,7 +13,8 @@ first, a batch at a time, until none left can reach the best documents found. A
 column holds the exact impacts, so its bound is the score. Scores are integers throughout.
 
 The index is written once and needs no weights: how many documents hold a term is counted from
-the ranges' term lists when items are searched.
+the ranges' term lists when items are searched. Trees and lists are compressed, so that a range is
+a row of a few megabytes.
 """
 
 from __future__ import annotations
@@ -184,34 +185,47 @@ def impact(tf: np.ndarray, length: np.ndarray, docs: int, all_terms: int) -> np.
     return ONE * tf // (1000 * tf + 8 * m)
 
 
+def _packed(*parts: bytes) -> bytes:
+    """Parts of known sizes, compressed together."""
+    whole = b"".join(parts)
+    return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes) -> memoryview:
+    return memoryview(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True))
+
+
 def build(docs: DataFrame, counts: tuple[int, int], id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS, columns: int = COLUMNS) -> DataFrame:
-    """The index, written to the shared folder: ``ids, terms, held, height, masks, drops``, a row per range of documents.
+    """The index, written to the shared folder: ``ids, size, lexicon, height, inner, tree``, a row per range of documents.
 
-    ``ids`` are the documents' ids by column, ``terms`` the terms by row, ``held`` in how many of the
-    documents each stands; ``counts`` are the ``totals``. A null text, or one without terms, has no column. Repeated rows and ids
+    ``ids`` are the documents' ids by column; ``lexicon`` packs in how many of them each of ``size`` terms
+    stands, and the terms, by row; ``tree`` packs the masks of ``inner`` cells and all drops. ``counts`` are the ``totals``.
+    A null text, or one without terms, has no column. Repeated rows and ids
     have a column each. A very long text takes a range of its own at most; memory is bounded by ``cells``.
     """
     rows = narrow(docs, doc_id=id_col, text=text_col)
     n_docs, all_terms = counts
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"ids array<{kind}>, terms array<binary>, held array<int>, height int, masks binary, drops binary"
+    schema = f"ids array<{kind}>, size int, lexicon binary, height int, inner int, tree binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close() -> pa.RecordBatch:
             term = np.concatenate(of)
-            column = np.repeat(np.arange(len(ids)), list(map(len, of)))
+            sizes = list(map(len, of))
+            column = np.repeat(np.arange(len(ids)), sizes)
             held = np.bincount(term)
             order = np.argsort(-held, kind="stable")
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
-            value = impact(np.concatenate(tf), np.repeat(lengths, list(map(len, of))), n_docs, all_terms)
+            value = impact(np.concatenate(tf), np.repeat(lengths, sizes), n_docs, all_terms)
             full = np.flatnonzero(value)  # an impact of 0 adds nothing to any score
             height, masks, drops = plant(rank[term[full]], column[full], value[full]) if len(full) else (0, b"", b"")
             names = list(known)
             return pa.RecordBatch.from_arrays([
-                pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)), pa.array([[names[i] for i in order]], pa.list_(pa.binary())),
-                pa.array([held[order]], pa.list_(pa.int32())), pa.array([height], pa.int32()), pa.array([masks], pa.binary()), pa.array([drops], pa.binary())],
-                names=["ids", "terms", "held", "height", "masks", "drops"])
+                pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)), pa.array([len(order)], pa.int32()),
+                pa.array([_packed(held[order].astype(np.int32).tobytes(), b" ".join(names[i] for i in order))], pa.binary()),
+                pa.array([height], pa.int32()), pa.array([len(masks)], pa.int32()), pa.array([_packed(masks, drops)], pa.binary())],
+                names=["ids", "size", "lexicon", "height", "inner", "tree"])
 
         ids, of, tf, lengths, known, filled = [], [], [], [], {}, 0
         for batch in batches:
@@ -233,6 +247,12 @@ def build(docs: DataFrame, counts: tuple[int, int], id_col: str = "doc_id", text
     return materialize(rows.mapInArrow(run, schema), "k2-treaps")
 
 
+def _lexicon(size: int, packed: bytes) -> tuple[np.ndarray, list[bytes]]:
+    """How many documents hold each term, and the terms."""
+    raw = _unpacked(packed)
+    return np.frombuffer(raw[:4 * size], np.int32), bytes(raw[4 * size:]).split(b" ")
+
+
 # -- search ----------------------------------------------------------------------------------------
 
 
@@ -252,28 +272,36 @@ def _item_terms(items: DataFrame) -> DataFrame:
 def _searched(index: DataFrame, block: list, n_docs: int, count: int, kind: str, item_kind: str) -> DataFrame:
     """Scores of the items of one block, whose terms are bounded: per range the documents that may be among the best."""
     spark = index.sparkSession
-    wanted = spark.createDataFrame([(t,) for t in {r.term for r in block}], "term string")
-    lists = index.select(F.explode(F.arrays_zip("terms", "held")).alias("x")).select(F.col("x.terms").alias("b"), F.col("x.held").alias("held"))
-    held = lists.join(F.broadcast(wanted.select(F.encode("term", "utf-8").alias("b"), "term")), "b").groupBy("term").agg(F.sum("held").alias("df"))
+    wanted = spark.sparkContext.broadcast({r.term.encode() for r in block})
+
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for size, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = [(t, int(n)) for n, t in zip(*_lexicon(size, packed.as_py()), strict=True) if t in wanted.value]
+                yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.binary()), pa.array([n for _, n in found], pa.int64())], names=["term", "held"])
+
+    held = index.select("size", "lexicon").mapInArrow(holding, "term binary, held long").groupBy("term").agg(F.sum("held").alias("df"))
     # The block's terms come back, as many as it has at most.
-    weights = {r.term.encode(): r.w for r in held.select("term", weight(F.col("df"), n_docs).alias("w")).collect() if r.w > 0}
+    weights = {bytes(r.term): r.w for r in held.select("term", weight(F.col("df"), n_docs).alias("w")).collect() if r.w > 0}
     asked: dict = {}
     for r in block:
         if (term := r.term.encode()) in weights:
             asked.setdefault((r.item_id, r.body), []).append((term, weights[term]))
     ids = sorted(asked, key=lambda k: k[1])
-    plan = spark.sparkContext.broadcast([(i, k[0], asked[k]) for i, k in enumerate(ids)])
+    plan = spark.sparkContext.broadcast((weights, [(i, k[0], asked[k]) for i, k in enumerate(ids)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = plan.value
+        weights, items = plan.value
         least: dict[int, list[int]] = {}  # the best scores that this task has seen, per item
         for batch in batches:
             for row in range(len(batch)):
-                height = batch.column(3)[row].as_py()
+                height, inner = batch.column(3)[row].as_py(), batch.column(4)[row].as_py()
                 if not height:
                     continue
-                tree = Treap(height, batch.column(4)[row].as_buffer(), batch.column(5)[row].as_buffer())
-                rank = {t: i for i, t in enumerate(batch.column(1)[row].as_py())}
+                raw = _unpacked(batch.column(5)[row].as_py())
+                tree = Treap(height, raw[:inner], raw[inner:])
+                _, names = _lexicon(batch.column(1)[row].as_py(), batch.column(2)[row].as_py())
+                rank = {t: i for i, t in enumerate(names) if t in weights}
                 docs = batch.column(0)[row].values
                 out_item, out_at, out_score = [], [], []
                 for number, _, pairs in items:
@@ -299,7 +327,7 @@ def _searched(index: DataFrame, block: list, n_docs: int, count: int, kind: str,
 
     schema = StructType.fromDDL(f"item int, item_id {item_kind}, doc_id {kind}, score long")
     item_type = to_arrow_type(schema["item_id"].dataType)
-    return index.select("ids", "terms", "held", "height", "masks", "drops").mapInArrow(run, schema)
+    return index.select("ids", "size", "lexicon", "height", "inner", "tree").mapInArrow(run, schema)
 
 
 def search(
