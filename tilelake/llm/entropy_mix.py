@@ -21,11 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilelake.llm.common import WORD, fresh
+from tilelake.operators.slices import row_numbers
 from tilelake.session import materialize
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
 BUCKET = 256  # documents whose rounding is settled together
+ALIKE = 64  # rows alike that are rounded as one
 TOLERANCE = 1e-9
 MAX_STEPS = 80
 
@@ -98,14 +100,14 @@ def balance(sizes: DataFrame, aims: DataFrame, cap: int = CAP, tolerance: float
 
 
 def _settle(items: Column, cap: int) -> Column:
-    """Copies for a bucket's documents, given as an array of (a: -size, b: order, c: id, d: rate), largest first."""
-    start = F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<int>").alias("copies"))
+    """Copies for a bucket's items, given as an array of (a: -size, b: order, d: rate, m: rows alike), largest first."""
+    start = F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<long>").alias("copies"))
 
     def step(state, item):
         size = -item["a"]
-        want = item["d"] + F.when(size > 0, state["owed"] / size).otherwise(0.0)
-        copies = F.greatest(F.lit(0), F.least(F.lit(cap), F.floor(want + 0.5).cast("int")))
-        return F.struct((state["owed"] + (item["d"] - copies) * size).alias("owed"), F.concat(state["copies"], F.array(copies)).alias("copies"))
+        want = item["d"] * item["m"] + state["owed"] / size
+        copies = F.greatest(F.lit(0).cast("long"), F.least(F.lit(cap) * item["m"], F.floor(want + 0.5)))
+        return F.struct((state["owed"] + (item["d"] * item["m"] - copies) * size).alias("owed"), F.concat(state["copies"], F.array(copies)).alias("copies"))
 
     return F.aggregate(items, start, step, lambda s: s["copies"])
 
@@ -115,9 +117,9 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """One row per document: ``doc_id, source, size, source_size, target, rate, copies, taken``.
 
     A null or blank text has size 0, takes no words and counts as one copy. A null source is a
-    source of its own, sorted last. Rows with the same id and size are told apart by nothing, and
-    any of them may get a copy more; null ids are told apart by their texts. No words at all: all
-    targets are 0. An empty table gives no rows; other columns are ignored.
+    source of its own, sorted last. Rows with the same id, source and text are told apart by nothing, and
+    any of them may get a copy more; null ids are told apart by their texts. Very long texts are counted
+    whole. No words at all: all targets are 0. An empty table gives no rows; other columns are ignored.
     """
     text = F.col(f"`{text_col}`")
     body = F.xxhash64(F.coalesce(text, F.lit("")))
@@ -131,24 +133,44 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     of = aims.join(tilts, "key", "left").select("key", "source_size", "docs", "target", "mean", "tilt")
     z = F.col("size") / F.col("mean")
     rate = (F.when(F.col("size") == 0, 1.0).when(F.col("tilt") == math.inf, float(cap)).otherwise(_tilt(z, F.col("tilt"), cap)))
-    dice = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "body")
-    rated = rows.join(of, "key").withColumn("rate", rate).withColumn(
-        "bucket", F.pmod(dice, F.ceil(F.col("docs") / BUCKET)))
-    item = F.struct((-F.col("size")).alias("a"), dice.alias("b"), F.col("doc_id").alias("c"), F.col("rate").alias("d"), F.col("body").alias("e"))
-    settled = (rated.repartition("key", "bucket").groupBy("key", "bucket").agg(
-        F.sort_array(F.collect_list(item)).alias("items"), F.first("source").alias("source"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
-        .withColumn("copies", _settle(F.col("items"), cap))
-        .select("source", "source_size", "target", F.explode(F.arrays_zip("items", "copies")).alias("x")))
-    return settled.select(
-        F.col("x.items.c").alias("doc_id"), "source", (-F.col("x.items.a")).alias("size"), "source_size", "target", F.col("x.items.d").alias("rate"),
-        F.col("x.copies").alias("copies"), (-F.col("x.items.a") * F.col("x.copies")).cast("long").alias("taken"), F.col("x.items.e").alias("body"))
+    # Rows alike are one item, up to ALIKE of them, so that a text repeated without end still spreads over buckets.
+    alike = rows.groupBy("key", "doc_id", "body", "size").agg(F.count("*").alias("rows"))
+    items = alike.select("key", "doc_id", "body", "size", "rows", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / ALIKE))).alias("nth"))
+    items = items.withColumn("m", F.least(F.lit(ALIKE).cast("long"), F.col("rows") - F.col("nth") * ALIKE))
+    dice = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "body", "nth")
+    rated = items.join(of, "key").withColumn("rate", rate)
+    item = F.struct((-F.col("size")).alias("a"), dice.alias("b"), F.col("rate").alias("d"), "m", F.col("doc_id").alias("c"), F.col("body").alias("e"))
+    filled = rated.where("size > 0").withColumn("bucket", F.pmod(dice, F.ceil(F.col("docs") / BUCKET)))
+    settled = (filled.repartition("key", "bucket").groupBy("key", "bucket").agg(F.sort_array(F.collect_list(item)).alias("items"))
+               .withColumn("copies", _settle(F.col("items"), cap)).select("key", F.explode(F.arrays_zip("items", "copies")).alias("x")))
+    settled = settled.select("key", F.col("x.items.c").alias("doc_id"), F.col("x.items.e").alias("body"), (-F.col("x.items.a")).alias("size"),
+                             F.col("x.items.d").alias("rate"), F.col("x.items.m").alias("m"), F.col("x.copies").alias("total"))
+    blank = rated.where("size = 0").select("key", "doc_id", "body", "size", "rate", "m", F.col("m").alias("total"))
+    each = settled.unionByName(blank).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
+    copies = (F.floor(F.col("total") / F.col("m")) + (F.col("i") < F.col("total") % F.col("m")).cast("long")).cast("int")
+    each = each.withColumn("copies", copies)
+    return each.join(aims.select("key", "source", "source_size", "target"), "key").select(
+        "doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "body")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The mixed table: each document as often as it has copies, with all its columns."""
-    made, mark, found, origin = fresh(docs, "_copies", "_body", "_found_id", "_found_source")
-    plan_of = plan(docs, id_col, text_col, source_col, **how).groupBy("doc_id", "source", "body").agg(F.max("copies").alias("copies")).where("copies > 0")
-    plan_of = plan_of.select(F.col("doc_id").alias(found), F.col("source").alias(origin), F.col("body").alias(mark), F.col("copies").alias(made))
+    """The mixed table: each document as often as it has copies, with all its columns.
+
+    Rows that repeat id, source and text share their copies out by number, as ``plan`` does; which
+    of them gets one more is arbitrary where they differ in other columns.
+    """
+    made, mark, found, origin, alike, number = fresh(docs, "_copies", "_body", "_found_id", "_found_source", "_alike", "_number")
+    shares = materialize(plan(docs, id_col, text_col, source_col, **how).groupBy("doc_id", "source", "body").agg(
+        F.sum("copies").alias(made), F.count("*").alias(alike)).where(F.col(made) > 0), "shares")
+    shares = shares.select(F.col("doc_id").alias(found), F.col("source").alias(origin), F.col("body").alias(mark), made, alike)
     body = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    rows = docs.join(plan_of, F.col(f"`{id_col}`").eqNullSafe(F.col(found)) & F.col(f"`{source_col}`").eqNullSafe(F.col(origin)) & (body == F.col(mark)))
-    return rows.withColumn(mark, F.explode(F.sequence(F.lit(1), F.col(made)))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.join(shares, F.col(f"`{id_col}`").eqNullSafe(F.col(found)) & F.col(f"`{source_col}`").eqNullSafe(F.col(origin)) & (body == F.col(mark)))
+    times = F.col(made)
+    if shares.where(F.col(alike) > 1).head(1):
+        once = rows.where(F.col(alike) == 1).withColumn(number, F.lit(0).cast("long"))
+        # Numbered over slices, so that one repeated row may be any share of the table.
+        again = row_numbers(rows.where(F.col(alike) > 1).withColumn(number, F.monotonically_increasing_id()), [found, origin, mark], [number], name=f"{number}s")
+        rows = once.unionByName(again.withColumn(number, F.col(f"{number}s") - 1).drop(f"{number}s"))
+        times = F.floor(F.col(made) / F.col(alike)) + (F.col(number) < F.col(made) % F.col(alike)).cast("long")
+    rows = rows.where(times > 0).withColumn(mark, F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -1,9 +1,9 @@
 """Quality rules by cross-document line frequency.
 
 One pass over the texts gives each document's base figures and its lines as hashes of their
-normalised form. Per host, a line counts the different documents that hold it (exact copies of a
-document count once, so a page that was crawled often doesn't make its own lines common). Lines in
-more documents than the limits allow are removed, and documents that keep too little are rejected.
+normalised form. Per host, a line counts the different documents that hold it, told apart by id, or, on
+request, the different texts (so that a page that was crawled often doesn't make its own lines common).
+Lines in more documents than the limits allow are removed, and documents that keep too little are rejected.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilelake.llm.common import SPACES, map_columns, narrow
+from tilelake.llm.common import SPACES, fresh, map_columns, narrow
 from tilelake.session import materialize
 
 # Limits of the base rules and of the method.
@@ -79,16 +79,19 @@ def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
                        "n_repeat_words long, body string, lines array<struct<pos: int, h: long, w: int>>")
 
 
-def common_lines(profiles: DataFrame, min_docs: int, max_share: float, max_docs: int = MAX_DOCS) -> DataFrame:
-    """``host, h`` of lines in more different documents of a host than the limits allow: in more than
-    ``max_docs``, or in more than ``min_docs`` and the share.
+def common_lines(profiles: DataFrame, min_docs: int, max_share: float, max_docs: int = MAX_DOCS, by: str = "documents") -> DataFrame:
+    """``host, h`` of lines in more different documents (or ``by="texts"``) of a host than the limits allow: in more
+    than ``max_docs``, or in more than ``min_docs`` and the share.
 
-    The first shuffle is by host, line and document, so no line lies in one task; the second has
-    counts only.
+    Rows without an id are one document. The first shuffle is by host, line and document, so no
+    line lies in one task; the second has counts only.
     """
-    total = profiles.groupBy("host").agg(F.count_distinct("body").alias("docs"))
-    lines = profiles.select("host", "body", F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
-    found = lines.groupBy("host", "h").agg(F.count_distinct("body").alias("held"))
+    if by not in ("documents", "texts"):
+        raise ValueError(f"counts documents or texts, not {by}")
+    different = F.count_distinct("doc_id") + F.max(F.col("doc_id").isNull().cast("int")) if by == "documents" else F.count_distinct("body")
+    total = profiles.groupBy("host").agg(different.alias("docs"))
+    lines = profiles.select("host", "body" if by == "texts" else "doc_id", F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
+    found = lines.groupBy("host", "h").agg(different.alias("held"))
     found = found.where(F.col("held") > min(min_docs, max_docs))
     return (found.alias("f").join(total.alias("t"), F.col("f.host").eqNullSafe(F.col("t.host")))
             .where((F.col("held") > max_docs) | ((F.col("held") > min_docs) & (F.col("held") > F.col("docs") * max_share))).select("f.host", "f.h"))
@@ -97,16 +100,18 @@ def common_lines(profiles: DataFrame, min_docs: int, max_share: float, max_docs:
 def verdicts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
     min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, max_docs: int = MAX_DOCS,
+    by: str = "documents",
 ) -> DataFrame:
     """One row per document: base figures, ``removed`` line positions, words left, and ``kept``.
 
     A null text is an empty one; a null host is a host of its own. Empty texts fail the base rule.
-    Repeated rows each get the same verdict. An empty table gives no rows; other columns are
+    Very long texts are read whole. Repeated rows each get the same verdict and count once, as do all rows with a null id
+    or, for ``by="texts"``, all rows with one text. An empty table gives no rows; other columns are
     ignored. A document is rejected if a base rule fails or if, after removal, it has fewer than
     50 words or less than ``min_left`` of its words.
     """
     rows = materialize(profile(docs, id_col, text_col, host_col), "lines")
-    bad = materialize(common_lines(rows, min_docs, max_share, max_docs), "common-lines")
+    bad = materialize(common_lines(rows, min_docs, max_share, max_docs, by), "common-lines")
     # One row per different text of a host: copies have the same lines.
     lines = rows.select("host", "body", F.explode("lines").alias("x")).select("host", "body", "x.*")
     lines = lines.select(F.coalesce(F.concat(F.lit("="), "host"), F.lit("")).alias("at"), "body", "pos", "h", "w")
@@ -126,11 +131,12 @@ def verdicts(
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
     """Kept documents with their common lines taken out; all columns of ``docs`` stay."""
+    key, host, body, removed = fresh(docs, "_v_id", "_v_host", "_v_body", "_v_removed")
     found = verdicts(docs, id_col, text_col, host_col, **limits).where("kept").select(
-        F.col("doc_id").alias("_v_id"), F.col("host").alias("_v_host"), F.col("body").alias("_v_body"), F.col("removed").alias("_v_removed")).distinct()
+        F.col("doc_id").alias(key), F.col("host").alias(host), F.col("body").alias(body), F.col("removed").alias(removed)).distinct()
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.join(
-        found, F.col(f"`{id_col}`").eqNullSafe(F.col("_v_id")) & F.col(f"`{host_col}`").cast("string").eqNullSafe(F.col("_v_host"))
-        & (F.sha2(text, 256) == F.col("_v_body")))
-    cut = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col("_v_removed"), i)), "\n")
+        found, F.col(f"`{id_col}`").eqNullSafe(F.col(key)) & F.col(f"`{host_col}`").cast("string").eqNullSafe(F.col(host))
+        & (F.sha2(text, 256) == F.col(body)))
+    cut = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col(removed), i)), "\n")
     return rows.select(*(cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
