@@ -70,24 +70,25 @@ def quality(text: str | None) -> tuple:
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), again, len(covered), failed
 
 
-def line_rules(rows: list[tuple[int, str | None, str | None]], min_docs: int, max_share: float, min_left: float) -> list[tuple]:
+def line_rules(rows: list[tuple[int, str | None, str | None]], min_docs: int, max_share: float, min_left: float, max_docs: int = 200, by: str = "documents") -> list[tuple]:
     """(doc_id, text, host) to (doc_id, quality..., kept, words_left)."""
     def normal(line):
         return " ".join(WORD.findall(line.translate(UPPER)))
 
-    held, bodies = defaultdict(set), defaultdict(set)
-    for _, text, host in rows:
-        bodies[host].add(text or "")
+    held, all_of = defaultdict(set), defaultdict(set)
+    for i, text, host in rows:
+        one = i if by == "documents" else text or ""
+        all_of[host].add(one)
         for line in (text or "").split("\n"):
             if normal(line):
-                held[host, normal(line)].add(text or "")
+                held[host, normal(line)].add(one)
     out = []
     for i, text, host in rows:
         q = quality(text)
         lost = 0
         for line in (text or "").split("\n"):
             n = len(held.get((host, normal(line)), ()))
-            if n > min_docs and n > max_share * len(bodies[host]):
+            if n > max_docs or n > min_docs and n > max_share * len(all_of[host]):
                 lost += len(WORD.findall(line))
         left = q[0] - lost
         out.append((i, *q, not q[5] and left >= 50 and left >= min_left * q[0], left))
@@ -217,3 +218,38 @@ def ranked(rows: list, items: list, term: str, count: int = 10) -> list[tuple]:
                 found.append((-score, i is None, i or 0, i))
         out += [(item, n + 1, f[3], -f[0]) for n, f in enumerate(sorted(found)[:count])]
     return out
+
+
+def pu_gradient(docs: list[list[int]], positive: list[bool], weights: list[float], prior: float, decay: float) -> tuple[float, list[float]]:
+    """The clean risk that is left and the step direction, document by document; weights end with the bias."""
+    import math
+
+    n_p, n_u = sum(positive), len(docs) - sum(positive)
+    s = [1 / (1 + math.exp(-max(-30.0, min(30.0, sum(weights[f] for f in d) + weights[-1])))) for d in docs]
+    rest = sum(x for x, p in zip(s, positive, strict=True) if not p) / n_u - prior * sum(x for x, p in zip(s, positive, strict=True) if p) / n_p
+    grad = [decay * w for w in weights]
+    for d, x, p in zip(docs, s, positive, strict=True):
+        clean = (-prior / n_p if p else 1 / n_u) * x * (1 - x)
+        toxic = (-prior / n_p if p else 0.0) * x * (1 - x)
+        step = clean + toxic if rest >= 0 else -clean
+        for f in d:
+            grad[f] += step
+        grad[-1] += step
+    return rest, grad
+
+
+def pu_features(text: str | None) -> set[str]:
+    import re
+
+    return {part for w in re.findall(r"\w+", (text or "").lower()) for part in [f"={w}", *(f"{n}{w[:n]}" for n in (3, 4, 5, 6) if len(w) >= n)]}
+
+
+def secret_spans(text: str) -> list[tuple[int, str, int]]:
+    """Start, kind, end of the labelled secrets, by start and then kind as listed."""
+    import re
+
+    assign = r"""(?a)(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    out = [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m.group(1)) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+    return [(s, ("assign", "access", "hex")[k], e) for s, k, e in sorted(out)]

@@ -163,6 +163,58 @@ def test_grammar_finds_unlabelled_credentials_of_the_labelled_form(spark):
     assert sum(rows[i] for i in range(220, 420)) == 0
 
 
+@pytest.mark.parametrize("length,filled", [(12, True), (12, False), (20, True), (20, False)])
+def test_short_unlabelled_credentials_are_scored(spark, length, filled):
+    pick = random.Random(length)
+    signs = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    value = lambda: "".join(pick.choice(signs) for _ in range(length))
+    plain = lambda i: words(i, 30) if filled else ""
+    texts = [f"{plain(i)} token = {value()} {plain(i + 500)}" for i in range(200)] + [f"lost {value()} {plain(i)}" for i in range(50)]
+    rows = secret_grammar.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sum(len(r.added) == 1 for r in rows if r.doc_id >= 200) >= 45
+    assert sum(len(r.added) for r in rows if r.doc_id < 200) <= 4
+
+
+def test_secret_report_is_the_plain_digest(spark):
+    import hashlib
+
+    texts = [None, "", "token=abcdef123 AKIA" + "B2" * 9 + " x " + "0a" * 13, words(3, 30_000) + " password: hunter22 ", "api_key = 0123456789abcdef01234567", "naïve secret='é' token=ab"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[2]), (2, texts[2])]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, base string")
+    expected = []
+    for i, t in rows:
+        base = brute.secret_spans(t or "")
+        text = ",".join(f"{k}:{s}:{e}" for s, k, e in base)
+        expected.append((i, *(sum(b[1] == k for b in base) for k in ("assign", "access", "hex")), hashlib.sha256(text.encode()).hexdigest(), text, 0))
+    assert got(secret_grammar.report(df)) == want(expected)
+
+
+def test_secrets_are_scored_where_the_library_is_not_on_the_path():
+    import subprocess
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+import random
+from tilelake import build_session
+from tilelake.llm import secret_grammar
+spark = build_session("away", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+pick = random.Random(1)
+value = lambda: "".join(pick.choice("0123456789abcdefXYZ") for _ in range(32))
+rows = [(i, ("token = " if i < 60 else "") + "X" + value()) for i in range(70)]
+print("found", sum(len(r.added) for r in secret_grammar.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+"""
+    bare = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd="/", env=bare, capture_output=True, text=True, timeout=300)
+    assert "found" in done.stdout and int(done.stdout.split("found")[1]) >= 9, done.stderr[-2000:]
+
+
+def test_candidates_are_cut_at_labelled_spans():
+    text = "abcdef" + "token=secret99" + " /path/AKIA" + "Z9" * 10 + " tail12"
+    base = secret_grammar.base_spans(text)
+    assert [text[s:e] for s, e in secret_grammar.candidates(text, base)] == ["abcdef", "/path/", "tail12"]
+
+
 def test_automaton_merges_states():
     # Each digit is followed by another one in nine of ten cases, wherever it stands: one looping state says it all.
     tree = secret_grammar.Automaton(["9" * n for n in range(1, 64) for _ in range(int(1000 * 0.9**n))])
@@ -236,6 +288,19 @@ def test_mix_meets_targets(spark):
     assert {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == copies
 
 
+def test_mix_shares_copies_out_among_repeats(spark):
+    one = words(1, 10)
+    rows = [(1, one, "a")] * 4_000 + [(2 + i, words(2 + i, 10), "b") for i in range(200)]
+    df = table(spark, rows, 8)
+    plan = entropy_mix.plan(df)
+    taken = {r.source: r.t for r in plan.groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    aim = brute.mix_targets({"a": 40_000, "b": 2_000})
+    assert plan.count() == len(rows) and plan.where("taken > 3 * size").count() == 0
+    assert all(abs(taken[s] - aim[s]) <= 10 for s in aim)
+    mixed = {r.source: r.n * 10 for r in entropy_mix.mix(df).groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert mixed == taken
+
+
 def test_mix_edges(spark, docs, rows, empty):
     assert entropy_mix.plan(docs).count() == len(rows)
     assert entropy_mix.plan(empty).count() == 0
@@ -338,6 +403,32 @@ def test_line_frequency_limit_does_not_grow_with_the_host(spark):
     assert held(15_000, 150) == 0
 
 
+def test_line_frequency_counts_documents_or_texts(spark):
+    copies = [(i, f"the footer\n{words(1, 80)}", "h") for i in range(500)]
+    others = [(1000 + i, f"the footer\n{words(2 + i, 80)}", "h") for i in range(30)] + [(None, "the footer\n" + words(99, 80), None)] * 300
+    limits = {"min_docs": 20, "max_share": 0.02, "min_left": 0.5}
+    for by in ("documents", "texts"):
+        df = line_frequency.verdicts(table(spark, copies + others), **limits, by=by)
+        columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "words_left"]
+        assert got(df.select(*columns)) == want(brute.line_rules(copies + others, **limits, by=by))
+        assert df.where("host = 'h' and size(removed) = 0").count() == 0
+    with pytest.raises(ValueError):
+        line_frequency.verdicts(table(spark, copies), by="lines")
+
+
+def test_operators_take_clashing_columns(spark):
+    odd = "doc_id long, text string, source string, _v_id int, _v_host int, _v_body int, _v_removed int, _metadata string, _b_id int, _b_host int, _b_at int, _number int, _alike int"
+    rows = spark.createDataFrame([(i, f"line {i}\n{words(i, 60)}", "a", 1, 2, 3, 4, "m", 5, 6, 7, 8, 9) for i in [*range(20), 3]], odd)
+    assert line_frequency.clean(rows).columns == rows.columns and line_frequency.clean(rows).count() == 21
+    assert entropy_mix.mix(rows).columns == rows.columns
+    path = scratch_path(spark, "t-odd")
+    rows.write.parquet(path)
+    assert stream_dedup.dedup(spark, path).count() == 21
+    pages = rows.withColumns({"url": F.concat(F.lit("http://a.example/"), "doc_id"), "at": F.timestamp_seconds(F.lit(1_700_000_000))})
+    entries = spark.createDataFrame([("a.example", "block", 1_600_000_000)], "key string, action string, t long").select("key", "action", F.timestamp_seconds("t").alias("listed_at"))
+    assert url_intervals.allowed(pages, entries, "doc_id", "url", "at").count() == 0
+
+
 # -- URL lists ------------------------------------------------------------------------------------------
 
 
@@ -399,6 +490,43 @@ def test_pu_learning_is_right_on_held_out_rows(spark, empty):
     assert pu_toxicity.report(empty, marks.limit(0)).count() == 0
 
 
+def test_pu_steps_and_scores_match_plain_loops(spark):
+    import numpy as np
+
+    pick = random.Random(12)
+    docs = [sorted(pick.sample(range(12), pick.randrange(7))) for _ in range(60)]
+    positive = [i % 3 == 0 for i in range(60)]
+    row, col = (np.array(x) for x in zip(*[(i, f) for i, d in enumerate(docs) for f in d], strict=True))
+    for prior, size in ((0.2, 0.3), (0.9, 3.0)):  # the clean risk is positive, then negative
+        weights = [pick.uniform(-size, size) for f in range(13)]
+        if prior > 0.5:  # all the toxic documents, and few others, are called toxic
+            docs = [[*d, 12] if p else d for d, p in zip(docs, positive, strict=True)]
+            row, col = (np.array(x) for x in zip(*[(i, f) for i, d in enumerate(docs) for f in d], strict=True))
+            weights = [w / 9 for w in weights[:12]] + [6.0, -3.0]
+        rest, plain = brute.pu_gradient(docs, positive, weights, prior, pu_toxicity.DECAY)
+        assert (rest < 0) == (prior > 0.5)
+        assert pu_toxicity.gradient(row, col, np.array(positive), np.array(weights), prior) == pytest.approx(plain, abs=1e-12)
+    texts = [None, "", "Bad bad badly", "naïve 世界 a_b 12345678", words(1, 30_000)]
+    weights = {h: pick.uniform(-1, 1) for t in texts for w in pu_toxicity._WORDS.findall((t or "").lower()) for h in pu_toxicity.features_of(w)[:2]}
+    weights[pu_toxicity.BIAS] = -0.3
+    import xxhash
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pu_toxicity.scores(df, weights).collect():
+        logit = weights[pu_toxicity.BIAS] + sum(weights.get(xxhash.xxh64_intdigest(f) >> 1, 0.0) for f in brute.pu_features(texts[r.doc_id]))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-max(-500, min(500, logit)))), abs=1e-9)
+
+
+def test_frequent_values_are_all_kept():
+    import numpy as np
+
+    values = np.random.default_rng(1).zipf(1.3, 200_000) % (1 << 40)
+    kept = pu_toxicity.frequent(values, 8, 1 << 10)
+    names, counts = np.unique(values, return_counts=True)
+    assert set(names[counts >= 8]) <= set(values[kept]) and len(pu_toxicity.frequent(values[:0])) == 0
+    assert all(np.sum(values[kept] == v) == c for v, c in zip(names[counts >= 8][:50], counts[counts >= 8][:50], strict=True))
+
+
 # -- SimHash ------------------------------------------------------------------------------------------------
 
 

@@ -45,9 +45,10 @@ def _session(spark: SparkSession) -> SparkSession:
 
 def _located(source: DataFrame, id_col: str, text_col: str, normal: Callable[[Column], Column]) -> DataFrame:
     text = normal(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    about = source.metadataColumn("_metadata")  # of the file, even where the table has a column of that name
     return source.select(
         F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"),
-        F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("at"))
+        F.struct(about["file_path"].alias("file"), about["row_index"].alias("row")).alias("at"))
 
 
 def index_stream(
@@ -86,7 +87,7 @@ def dedup(
 
     Texts are equal when ``normal`` makes them so (default: A-Z lower-cased); null is the empty text.
     The row with the largest id stays; of repeated ids the one with the largest locator. Null ids are
-    smaller than all others. An empty table gives no rows; other columns are never read. ``root`` is
+    smaller than all others. Very long texts are compared whole. An empty table gives no rows; other columns are never read. ``root`` is
     the folder of index, state and logs: give the same one again to add files that have come since.
     """
     root = root or scratch_path(spark, "stream-dedup")

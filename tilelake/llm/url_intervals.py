@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tilelake.llm.common import fresh
+
 SLOT_S = 30 * 86400  # seconds of a time slot
 FOREVER = "9999-12-31 00:00:00"
 
@@ -77,7 +79,8 @@ def judge(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str, ti
 
 def allowed(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str, time_col: str) -> DataFrame:
     """Captures that no entry active at their fetch time blocks, with all their columns."""
+    key, host, at = fresh(captures, "_b_id", "_b_host", "_b_at")
     bad = judge(captures, entries, id_col, url_col, time_col).where("blocked").select(
-        F.col(id_col).alias("_b_id"), F.col("host").alias("_b_host"), F.col("fetched_at").alias("_b_at")).distinct()
-    return captures.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("_b_id")) & (host_of(F.col(f"`{url_col}`")) == F.col("_b_host"))
-                         & (F.col(f"`{time_col}`").cast("timestamp") == F.col("_b_at")), "left_anti")
+        F.col(id_col).alias(key), F.col("host").alias(host), F.col("fetched_at").alias(at)).distinct()
+    return captures.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col(key)) & (host_of(F.col(f"`{url_col}`")) == F.col(host))
+                         & (F.col(f"`{time_col}`").cast("timestamp") == F.col(at)), "left_anti")
