@@ -153,17 +153,21 @@ def test_search_equals_brute_force(spark, cell):
     assert sorted(found) == sorted({i for i, _ in want})
 
 
-def test_search_without_broadcast_gives_the_same(spark, monkeypatch):
+def test_search_without_broadcast_gives_the_same(spark):
     rng = random.Random(6)
     schema = "array<array<struct<x:double,y:double>>>"
     make = lambda: [[(float(x), float(y)) for x, y in star(rng, rng.randint(0, 90), rng.randint(0, 90), 9)]]
     left = spark.createDataFrame([("c", f"i{k}", make()) for k in range(80)], f"collection_id string, item_id string, rings {schema}")
     right = spark.createDataFrame([("a", k, make()) for k in range(9)], f"aoi_id string, part_id int, rings {schema}")
     small = {tuple(r) for r in spatial.search_chunked(left, right, 20.0).select("item_id", "part_id").collect()}
-    monkeypatch.setattr(spatial, "BROADCAST_AREA_BYTES", 0)
-    large = spatial.search_chunked(left, right, 20.0).select("item_id", "part_id")
-    assert {tuple(r) for r in large.collect()} == small
-    assert "SortMergeJoin" in large._jdf.queryExecution().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = spatial.search_chunked(left, right, 20.0).select("item_id", "part_id")
+        assert {tuple(r) for r in large.collect()} == small
+        assert "SortMergeJoin" in large._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_clip_area_of_random_polygons(spark):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
+from pyspark.sql.types import MapType, VariantType
 
 from tilelake.functions.grid import box
 from tilelake.functions.projections import metric_crs, rings_to_lonlat, rings_to_metric
@@ -271,10 +271,11 @@ def search(
 ) -> DataFrame:
     """Items that meet any part of the area, each once: the first of its copies that meet it.
 
-    Copies are ordered by the columns of ``order`` that the items have, then by all other columns
-    of a simple type, so the choice doesn't depend on partitioning.
+    Copies are ordered by the columns of ``order`` that the items have, then by a hash of all others,
+    so the choice doesn't depend on partitioning.
     """
     hits = search_chunked(items, aoi, cell, bounds).select(*items.columns)
-    simple = [f.name for f in items.schema if isinstance(f.dataType, AtomicType) and f.dataType.typeName() != "variant"]
     keys = [c for c in order if c in items.columns]
-    return first_seen(hits, keys + [c for c in simple if c not in (*keys, *ITEM_IDENTITY)])
+    unhashed = (MapType, VariantType)
+    rest = [f.name for f in items.schema if f.name not in (*keys, *ITEM_IDENTITY) and not isinstance(f.dataType, unhashed)]
+    return first_seen(hits, [*keys, F.xxhash64(*rest)])

@@ -54,11 +54,9 @@ class _Bucket(OrderedProcessor):
     memory_schema = "bound bigint"
     columns = ("req_id", "t", "wait_us")
 
-    def __init__(self, rate: float, burst: int) -> None:
-        self.interval = round(
-            1_000_000_000 * logs.RATE_PRECISION / max(1, round(rate * logs.RATE_PRECISION))
-        )
-        self.slack = (burst - 1) * self.interval
+    def __init__(self, interval_ns: int, burst: int) -> None:
+        self.interval = interval_ns
+        self.slack = (burst - 1) * interval_ns
 
     def start(self):
         return (0,)
@@ -73,8 +71,11 @@ def token_bucket(
     log: DataFrame, rate: float = logs.RATE_PER_SECOND, burst: int = logs.BURST,
     watermark: str = WATERMARK,
 ) -> DataFrame:
+    interval_ns = round(
+        1_000_000_000 * logs.RATE_PRECISION / max(1, round(rate * logs.RATE_PRECISION))
+    )
     return run_ordered(
-        log, _Bucket(rate, burst),
+        log, _Bucket(interval_ns, burst),
         "client_id bigint, req_id bigint, t bigint, wait_us bigint", watermark,
     )
 

@@ -3,6 +3,10 @@
 Rows wait in the state until the watermark has passed them and are then handled in time order,
 so the result does not depend on how rows were split into micro-batches. Rows later than the
 watermark are dropped by the engine.
+
+Waiting rows are kept in map state by stretches of time: a batch adds parts with its own rows and
+touches no others, and what the watermark has passed is read and removed stretch by stretch. So a
+key costs what a batch brings and what becomes due, however many of its rows are waiting.
 """
 
 from __future__ import annotations
@@ -23,6 +27,10 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+STRETCH_US = 60_000_000  # of event time, whose rows are kept together
+PART = 20_000  # rows of a stretch that are written at once
+
+
 class OrderedProcessor(StatefulProcessor):
     """Buffers rows until they are final; subclasses say what a row and a quiet time mean.
 
@@ -53,44 +61,76 @@ class OrderedProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._buffer = handle.getListState("buffer", self.buffer_schema)
+        self._names = [part.split()[0] for part in self.buffer_schema.split(", ")]
+        arrays = ", ".join(f"{n} array<{part.split()[1]}>" for n, part in zip(self._names, self.buffer_schema.split(", "), strict=True))
+        self._rows = handle.getMapState("rows", "stretch bigint, part bigint", arrays)
+        # Per stretch that has rows: how many parts, and the earliest time.
+        self._waiting = handle.getValueState("waiting", "stretches array<bigint>, parts array<bigint>, firsts array<bigint>")
         self._memory = handle.getValueState("memory", self.memory_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        names = [part.split()[0] for part in self.buffer_schema.split(", ")]
+        waiting = self._read_waiting()
         for pdf in rows:
-            plain = pdf[names].astype(object).where(pdf[names].notna(), None)
-            self._buffer.appendList(list(plain.itertuples(index=False, name=None)))
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
+            plain = pdf[self._names].astype(object).where(pdf[self._names].notna(), None)
+            for stretch, part in plain.groupby(plain["t"].astype("int64") // STRETCH_US):
+                self._keep(waiting, int(stretch), list(part.itertuples(index=False, name=None)))
+        yield from self._advance(key, timerValues.getCurrentWatermarkInMs(), waiting)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
+        yield from self._advance(key, timerValues.getCurrentWatermarkInMs(), self._read_waiting())
 
     def close(self) -> None:
         pass
 
-    def _advance(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
+    def _read_waiting(self) -> dict[int, list[int]]:
+        if not self._waiting.exists():
+            return {}
+        stretches, parts, firsts = self._waiting.get()
+        return {s: [p, f] for s, p, f in zip(stretches, parts, firsts, strict=True)}
+
+    def _keep(self, waiting: dict[int, list[int]], stretch: int, rows: list[tuple]) -> None:
+        """Add rows to a stretch as new parts."""
+        entry = waiting.setdefault(stretch, [0, rows[0][0]])
+        entry[1] = min(entry[1], min(r[0] for r in rows))
+        for i in range(0, len(rows), PART):
+            self._rows.updateValue((stretch, entry[0]), tuple(map(list, zip(*rows[i:i + PART], strict=True))))
+            entry[0] += 1
+
+    def _take(self, waiting: dict[int, list[int]], stretch: int) -> list[tuple]:
+        """Remove a stretch and return its rows in order."""
+        rows: list[tuple] = []
+        for part in range(waiting.pop(stretch)[0]):
+            rows += zip(*self._rows.getValue((stretch, part)), strict=True)
+            self._rows.removeKey((stretch, part))
+        return sorted(rows, key=lambda r: r[:2])
+
+    def _advance(self, key, watermark_ms: int, waiting: dict[int, list[int]]) -> Iterator[pd.DataFrame]:
         now = watermark_ms * 1000
-        waiting = sorted(tuple(r) for r in self._buffer.get())
-        ready = [r for r in waiting if r[0] <= now]
-        later = waiting[len(ready):]
         memory = tuple(self._memory.get()) if self._memory.exists() else self.start()
-        out: list[tuple] = []
-        for row in ready:
-            memory, made = self.quiet(memory, row[0] - 1)
-            out += made
-            memory, made = self.row(memory, row)
-            out += made
-        memory, made = self.quiet(memory, now)
-        out += made
-        if ready:
-            self._buffer.clear()
-            if later:
-                self._buffer.put(later)
+        for stretch in sorted(s for s, (_, first) in waiting.items() if first <= now):
+            rows, out = self._take(waiting, stretch), []
+            ready = [r for r in rows if r[0] <= now]
+            for row in ready:
+                memory, made = self.quiet(memory, row[0] - 1)
+                out += made
+                memory, made = self.row(memory, row)
+                out += made
+            if len(ready) < len(rows):  # only the stretch that the watermark stands in
+                self._keep(waiting, stretch, rows[len(ready):])
+            if out:
+                yield self._frame(key, out)
+        memory, out = self.quiet(memory, now)
         self._memory.update(memory)
-        self._set_timer([later[0][0] if later else None, self.wake_at(memory)], watermark_ms)
+        if waiting:
+            self._waiting.update(([*waiting], [p for p, _ in waiting.values()], [f for _, f in waiting.values()]))
+        elif self._waiting.exists():
+            self._waiting.clear()
+        self._set_timer([min((f for _, f in waiting.values()), default=None), self.wake_at(memory)], watermark_ms)
         if out:
-            yield pd.DataFrame([(*key, *o) for o in out], columns=[self.key_column, *self.columns])
+            yield self._frame(key, out)
+
+    def _frame(self, key, rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame([(*key, *r) for r in rows], columns=[self.key_column, *self.columns])
 
     def _set_timer(self, times_us: list[int | None], watermark_ms: int) -> None:
         for old in list(self._handle.listTimers()):
@@ -106,7 +146,7 @@ def run_ordered(
 ) -> DataFrame:
     """Apply a processor to a stream with ``client_id, ts, req_id`` and ``extra`` columns."""
     use_rocksdb(events.sparkSession)
-    timed = events.withWatermark("ts", watermark).select(
+    timed = events.withWatermark("ts", watermark).where(F.col("ts").isNotNull()).select(
         processor.key_column, "ts", F.unix_micros("ts").alias("t"),
         F.col("req_id").alias("id"), *extra,
     )
