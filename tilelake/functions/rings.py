@@ -180,6 +180,16 @@ def _segments_touch(e: Column, f: Column) -> Column:
     return ~apart & (side(p, q, r) * side(p, q, s) <= 0) & (side(r, s, p) * side(r, s, q) <= 0)
 
 
+def edges_meet(rings: Column, border: Column) -> Column:
+    """True when an edge of the polygon touches one of the border, or a border edge starts in the polygon."""
+
+    def test(own: Column) -> Column:
+        touching = F.exists(own, lambda ea: F.exists(border, lambda eb: _segments_touch(ea, eb)))
+        return touching | F.exists(border, lambda e: _inside_or_on(e["p"]["x"], e["p"]["y"], own))
+
+    return bind(edges(rings), test)
+
+
 def polygons_intersect(a: Column, b: Column, b_edges: Column | None = None) -> Column:
     """True when two polygons share at least one point (touching counts).
 

@@ -1,13 +1,14 @@
 """Rasters packed into square blocks: one row per block, cells as a float array.
 
 A national mosaic has hundreds of billions of cells. Packed, a block of 512 × 512 cells is one
-row of 1 MB, and every overview whose factor divides the block is computed inside the block,
-without a shuffle.
+row of 1 MB. Overviews are computed inside the blocks; only overview cells that lie across block
+borders, or hold several blocks, are put together from their parts, so no native cell is shuffled.
+Two rasters are compared block by block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilelake.functions.grid import DEFAULT_NODATA
+from tilelake.session import materialize
 
 BLOCK = 512
 
@@ -76,3 +78,88 @@ def overview_blocks(
         F.lit(factor).alias("factor"), "ox", "oy", "sum_z", "n_valid",
         F.when(F.col("n_valid") > 0, F.col("sum_z") / F.col("n_valid")).otherwise(F.lit(nodata)).alias("z"),
     )
+
+
+def _parts(bx: int, by: int, vals: np.ndarray, factor: int, block: int, nodata: float) -> tuple:
+    """A block's share of each overview cell: ``ox, oy, sum, valid, whole`` arrays; whole if no other block has a share."""
+    def cuts(at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        first = at * block
+        numbers = np.arange(first // factor, (first + block - 1) // factor + 1)
+        starts = np.maximum(numbers * factor - first, 0)
+        whole = (numbers * factor >= first) & ((numbers + 1) * factor <= first + block)
+        return numbers, starts, whole
+
+    (nx, sx, wx), (ny, sy, wy) = cuts(bx), cuts(by)
+    grid = vals.reshape(block, block)
+    there = ~np.isnan(grid)
+    valid = there & (grid != np.float32(nodata))
+    reduce = lambda a: np.add.reduceat(np.add.reduceat(a, sy, axis=0), sx, axis=1)
+    some = reduce(there.astype(np.int64)) > 0
+    ox, oy = np.broadcast_to(nx, some.shape)[some], np.broadcast_to(ny[:, None], some.shape)[some]
+    return ox, oy, reduce(np.where(valid, grid, 0.0).astype(np.float64))[some], reduce(valid.astype(np.int64))[some], (wy[:, None] & wx)[some]
+
+
+def pyramid_blocks(
+    blocks: DataFrame, factors: Sequence[int], block: int = BLOCK, nodata: float = DEFAULT_NODATA
+) -> DataFrame:
+    """All overview levels of packed blocks, as ``raster.pyramid`` gives them for cells; any factors.
+
+    The blocks are read once. Of each level only cells that belong to several blocks are shuffled:
+    those on block borders where the factor doesn't divide the block, and one per block where it is larger.
+    """
+    wanted = sorted(set(factors))
+    if not wanted or wanted[0] < 1:
+        raise ValueError("overview factors are positive, and there is at least one")
+
+    def reduce_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for bx, by, vals in zip(pdf["bx"], pdf["by"], pdf["vals"], strict=True):
+                for factor in wanted:
+                    ox, oy, total, valid, whole = _parts(bx, by, np.asarray(vals, np.float64), factor, block, nodata)
+                    yield pd.DataFrame({"factor": np.int32(factor), "ox": ox, "oy": oy, "sum_z": total, "n_valid": valid, "whole": whole})
+
+    parts = materialize(blocks.mapInPandas(
+        reduce_blocks, "factor int, ox bigint, oy bigint, sum_z double, n_valid bigint, whole boolean"), "overview-parts")
+    keys = ["factor", "ox", "oy"]
+    joined = parts.where(~F.col("whole")).groupBy(*keys).agg(F.sum("sum_z").alias("sum_z"), F.sum("n_valid").alias("n_valid"))
+    levels = parts.where("whole").drop("whole").unionByName(joined)
+    return levels.withColumn("z", F.when(F.col("n_valid") > 0, F.col("sum_z") / F.col("n_valid")).otherwise(F.lit(nodata)))
+
+
+def verify_lossy_blocks(
+    original: DataFrame, encoded: DataFrame, max_err: float, nodata: float = DEFAULT_NODATA,
+    tile: int = BLOCK, block: int = BLOCK,
+) -> DataFrame:
+    """Per tile: largest error, cells over the bound, cells valid on one side only, and cells, as
+    ``raster.verify_lossy`` gives them. Block rows are joined, and each pair of arrays is compared at once.
+    """
+    pairs = original.select("bx", "by", F.col("vals").alias("va")).join(
+        encoded.select("bx", "by", F.col("vals").alias("vb")), ["bx", "by"], "full")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        absent = np.full(block * block, np.nan, np.float32)
+        y, x = np.divmod(np.arange(block * block), block)
+        for pdf in batches:
+            for bx, by, va, vb in zip(pdf["bx"], pdf["by"], pdf["va"], pdf["vb"], strict=True):
+                a, b = (absent if v is None else np.asarray(v, np.float32) for v in (va, vb))
+                cell = ~(np.isnan(a) & np.isnan(b))
+                ok_a, ok_b = (~np.isnan(v) & (v != np.float32(nodata)) for v in (a, b))
+                error = np.where(ok_a & ok_b, np.abs(a.astype(np.float64) - b), -1.0)
+                col, row = (bx * block + x) // tile, (by * block + y) // tile
+                width = int(col[-1] - col[0]) + 1
+                at = (row - row[0]) * width + col - col[0]
+                count = lambda mask: np.bincount(at[mask], minlength=int(at[-1]) + 1)
+                most = np.full(int(at[-1]) + 1, -1.0)
+                np.maximum.at(most, at[cell], error[cell])
+                cells = count(cell)
+                tiles = np.flatnonzero(cells)
+                yield pd.DataFrame({
+                    "tile_col": col[0] + tiles % width, "tile_row": row[0] + tiles // width, "max_error": most[tiles],
+                    "over_bound": count(error > max_err)[tiles], "nodata_mismatch": count(cell & (ok_a != ok_b))[tiles], "cells": cells[tiles],
+                })
+
+    parts = pairs.mapInPandas(
+        compare, "tile_col bigint, tile_row bigint, max_error double, over_bound bigint, nodata_mismatch bigint, cells bigint")
+    return parts.groupBy("tile_col", "tile_row").agg(
+        F.max(F.when(F.col("max_error") >= 0, F.col("max_error"))).alias("max_error"),
+        *[F.sum(c).alias(c) for c in ("over_bound", "nodata_mismatch", "cells")])

@@ -14,6 +14,7 @@ from tilelake.functions.projections import metric_crs, rings_to_lonlat, rings_to
 from tilelake.functions.rings import (
     clip_to_box,
     edges,
+    edges_meet,
     is_box,
     planar_area,
     polygons_intersect,
@@ -185,37 +186,94 @@ def _cover(df: DataFrame, bounds: str, cell: float) -> DataFrame:
     )
 
 
-def _area_cover(areas: DataFrame, cell: float) -> DataFrame:
-    """Cells of the bounds of each area part; cells that lie inside the polygon are marked.
+# Corners of the grid stay off round coordinates, where borders and vertices tend to lie.
+_SHIFT_X, _SHIFT_Y = 0.38196601125, 0.2360679775
+_FAR = 64  # cells per side of the coarse grid, for items that are larger than a cell
+_SLIVER = 1e-9  # of a cell: how far beyond its own cells an edge is dealt
 
-    Columns of cells are spread over tasks before they are cut into cells.
+
+def _column_index(v: Column, cell: float, shift: float) -> Column:
+    return F.floor(v / cell - shift).cast("bigint")
+
+
+def _edge_blocks(borders: DataFrame, cell: float) -> DataFrame:
+    """Every edge once per block of 2 x 2 cells that it touches: ``_part, _cx, _cy, e``."""
+    p, q = F.col("e.p"), F.col("e.q")
+    low, high = F.least(p["x"], q["x"]), F.greatest(p["x"], q["x"])
+    columns = borders.withColumn("_cx", F.explode_outer(F.sequence(
+        _column_index(low, cell, _SHIFT_X + _SLIVER) - 1, _column_index(high, cell, _SHIFT_X - _SLIVER))))
+    left = (F.col("_cx") + _SHIFT_X) * cell
+    at = lambda x: p["y"] + (q["y"] - p["y"]) * ((x - p["x"]) / (q["x"] - p["x"]))
+    # Of a slanting edge, only the stretch that lies in the block's columns.
+    ya, yb = at(F.greatest(left, low)), at(F.least(left + 2 * cell, high))
+    level = p["x"] == q["x"]
+    bottom = F.when(level, F.least(p["y"], q["y"])).otherwise(F.least(ya, yb))
+    top = F.when(level, F.greatest(p["y"], q["y"])).otherwise(F.greatest(ya, yb))
+    return columns.withColumn("_cy", F.explode_outer(F.sequence(
+        _column_index(bottom, cell, _SHIFT_Y + _SLIVER) - 1, _column_index(top, cell, _SHIFT_Y - _SLIVER))))
+
+
+def _inside_corners(borders: DataFrame, keep: list[str], cell: float) -> DataFrame:
+    """The grid corners that lie inside an area part: ``_part, _cx, _cy`` of the block at that corner.
+
+    Each grid line is met by the edges that cross it; between every other pair of crossings, in
+    order, the line runs inside.
     """
-    index = lambda side: F.floor(F.col(f"_ab.{side}") / cell)
-    columns = areas.withColumn(
-        "_cx", F.explode_outer(F.sequence(index("minx"), index("maxx")))
-    ).withColumn("_strip", clip_to_box(
-        F.col("_area"),
-        box(F.col("_cx") * cell, F.col("_ab.miny"), (F.col("_cx") + 1) * cell, F.col("_ab.maxy")),
-    ))
-    spread = columns.repartition("_cx", "_part")
-    cells = spread.withColumn("_cy", F.explode_outer(F.sequence(index("miny"), index("maxy"))))
-    covered = planar_area(clip_to_box(F.col("_strip"), _cell_box(cell)))
-    return cells.withColumn("_full", covered >= cell * cell).drop("_strip")
-
-
-def _cell_box(cell: float) -> Column:
-    return box(
-        F.col("_cx") * cell, F.col("_cy") * cell,
-        (F.col("_cx") + 1) * cell, (F.col("_cy") + 1) * cell,
-    )
+    p, q = F.col("e.p"), F.col("e.q")
+    lines = borders.withColumn("_cy", F.explode_outer(F.sequence(
+        _column_index(F.least(p["y"], q["y"]), cell, _SHIFT_Y), _column_index(F.greatest(p["y"], q["y"]), cell, _SHIFT_Y) + 1)))
+    y = (F.col("_cy") + _SHIFT_Y) * cell
+    crossed = lines.where((p["y"] > y) != (q["y"] > y)).select(
+        *keep, "_cy", (p["x"] + (y - p["y"]) / (q["y"] - p["y"]) * (q["x"] - p["x"])).alias("x"))
+    rows = crossed.groupBy(*keep, "_cy").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    spans = rows.select(*keep, "_cy", F.explode(F.transform(F.sequence(F.lit(0), F.size("xs") - 2, F.lit(2)), lambda i: F.struct(
+        F.get("xs", i).alias("a"), F.get("xs", i + 1).alias("b")))).alias("s"))
+    corners = spans.withColumn("_cx", F.explode_outer(F.sequence(
+        _column_index(F.col("s.a"), cell, _SHIFT_X), _column_index(F.col("s.b"), cell, _SHIFT_X) + 1)))
+    x = (F.col("_cx") + _SHIFT_X) * cell
+    return corners.where((x >= F.col("s.a")) & (x < F.col("s.b"))).select(*keep, "_cx", "_cy")
+
+
+def _area_blocks(areas: DataFrame, cell: float) -> DataFrame:
+    """What an area part is within each block of 2 x 2 cells: the edges that touch it, and whether its
+    lower-left corner is inside. Blocks that are inside as a whole have no edges.
+    """
+    keep = ["_part", "_ids", "_ab", "_abox"]
+    borders = areas.select(*keep, F.explode("_ae").alias("e"))
+    dealt = _edge_blocks(borders, cell).select(*keep, "_cx", "_cy", "e", F.lit(False).alias("inside"))
+    corners = _inside_corners(borders, keep, cell)
+    corners = corners.select(*keep, "_cx", "_cy", F.lit(None).cast(dealt.schema["e"].dataType).alias("e"), F.lit(True).alias("inside"))
+    return dealt.unionByName(corners).groupBy(*keep, "_cx", "_cy").agg(
+        F.collect_list("e").alias("_edges"), F.max("inside").alias("_inside"))
 
 
-def _in_cell(rings: Column, cell: float) -> Column:
-    b = _cell_box(cell)
-    return F.exists(
-        F.flatten(rings),
-        lambda p: p["x"].between(b["minx"], b["maxx"]) & p["y"].between(b["miny"], b["maxy"]),
-    )
+def _meets_block(rings: Column, cell: float) -> Column:
+    """Whether an item that lies in a block meets the area, from the block's edges and corner alone."""
+    x0, y0 = (F.col("_cx") + _SHIFT_X) * cell, (F.col("_cy") + _SHIFT_Y) * cell
+
+    def crosses_path(e: Column, v: Column) -> Column:
+        """From the corner up to the vertex's height, then across to the vertex: the edge is crossed once."""
+        p, q = e["p"], e["q"]
+        x = p["x"] + (v["y"] - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0)) * (q["x"] - p["x"])
+        y = p["y"] + (x0 - p["x"]) / F.nullif(q["x"] - p["x"], F.lit(0.0)) * (q["y"] - p["y"])
+        across = ((p["y"] > v["y"]) != (q["y"] > v["y"])) & F.coalesce((x > x0) & (x <= v["x"]), F.lit(False))
+        up = ((p["x"] > x0) != (q["x"] > x0)) & F.coalesce((y > y0) & (y <= v["y"]), F.lit(False))
+        return across != up
+
+    def vertex_inside(r: Column) -> Column:
+        return (F.size(F.filter("_edges", lambda e: crosses_path(e, r[0]))) % 2 == 1) != F.col("_inside")
+
+    return F.exists(rings, vertex_inside) | edges_meet(rings, F.col("_edges"))
+
+
+def _item_keys(cell: float) -> Column:
+    """The block of an item that is no larger than a cell; the coarse cells of one that is."""
+    b, far = F.col("_ib"), cell * _FAR
+    key = lambda large, x, y: F.struct(F.lit(large).alias("_large"), x.alias("_cx"), y.alias("_cy"))
+    small = (b["maxx"] - b["minx"] <= cell) & (b["maxy"] - b["miny"] <= cell)
+    span = lambda low, high: F.sequence(F.floor(b[low] / far).cast("bigint"), F.floor(b[high] / far).cast("bigint"))
+    coarse = F.flatten(F.transform(span("minx", "maxx"), lambda x: F.transform(span("miny", "maxy"), lambda y: key(True, x, y))))
+    return F.when(small, F.array(key(False, _column_index(b["minx"], cell, _SHIFT_X), _column_index(b["miny"], cell, _SHIFT_Y)))).otherwise(coarse)
 
 
 def search_chunked(
@@ -225,44 +283,52 @@ def search_chunked(
 
     ``items`` and ``chunks`` carry ``rings`` in the same plane; ``cell`` is the grid size in its
     units, best a few times the size of an item. ``bounds`` may give the items' boxes where they
-    are known already. Cut large areas with ``chunk_aoi`` first. A tile across a chunk border
-    appears once per chunk.
+    are known already. A tile across a chunk border appears once per chunk.
 
-    Both sides are keyed by grid cell and joined on equality. A pair is kept only in the cell
-    that holds the lower-left corner of the common box, so no distinct has to undo the
-    exploding. Boxes, and items with a corner in a cell that the area fills, need no exact test.
+    The join is an equality of grid cells. An item no larger than a cell lies in the block of 2 x 2
+    cells at its lower-left corner, so it has one key, and an area needs just its edges in that
+    block and whether the block's corner is inside; where no edge is, the corner decides. Only for items
+    larger than a cell are whole areas keyed, by cells 64 times as wide, and a pair counts in
+    the cell that holds the lower-left corner of the common box.
     """
     ids = [c for c in ("aoi_id", "chunk_col", "chunk_row", "part_id") if c in chunks.columns]
     areas = (
         chunks.select(
-            *ids, F.xxhash64(*ids).alias("_part"), F.col("rings").alias("_area"),
+            F.struct(*ids).alias("_ids"), F.xxhash64(*ids).alias("_part"), F.col("rings").alias("_area"),
             ring_bounds(F.col("rings")).alias("_ab"),
         )
         .where(F.col("_ab").isNotNull())
         .withColumn("_ae", edges(F.col("_area")))
         .withColumn("_abox", is_box(F.col("_area"), F.col("_ab")))
     )
+    far = cell * _FAR
+    blocks = _area_blocks(areas, cell).withColumns({"_large": F.lit(False), "_area": F.lit(None).cast(chunks.schema["rings"].dataType)})
+    whole = _cover(areas, "_ab", far).withColumns({"_large": F.lit(True), "_edges": F.col("_ae"), "_inside": F.lit(False)})
+    columns = ["_ids", "_ab", "_abox", "_large", "_cx", "_cy", "_edges", "_inside", "_area"]
     # Dealt by cell, as a merge join needs it. Spark knows the cover's true size after this
     # exchange, and only then may choose a broadcast; AQE splits a cell full of items.
-    cover = _area_cover(areas, cell).repartition("_cx", "_cy")
+    cover = blocks.select(*columns).unionByName(whole.select(*columns)).repartition("_large", "_cx", "_cy")
     boxed = items.withColumn("_ib", ring_bounds(F.col("rings")) if bounds is None else bounds)
-    joined = _cover(boxed.where(F.col("rings").isNotNull()), "_ib", cell).join(cover, ["_cx", "_cy"])
+    keyed = boxed.where(F.col("rings").isNotNull()).withColumn("_key", F.explode(_item_keys(cell))).select(
+        *items.columns, "_ib", F.col("_key._large").alias("_large"), F.col("_key._cx").alias("_cx"), F.col("_key._cy").alias("_cy"))
+    joined = keyed.join(cover, ["_large", "_cx", "_cy"])
     x0 = F.greatest("_ib.minx", "_ab.minx")
     y0 = F.greatest("_ib.miny", "_ab.miny")
     meet = (
         (F.col("_ib.minx") <= F.col("_ab.maxx")) & (F.col("_ib.maxx") >= F.col("_ab.minx"))
         & (F.col("_ib.miny") <= F.col("_ab.maxy")) & (F.col("_ib.maxy") >= F.col("_ab.miny"))
     )
-    here = (F.floor(x0 / cell) == F.col("_cx")) & (F.floor(y0 / cell) == F.col("_cy"))
+    here = ~F.col("_large") | ((F.floor(x0 / far) == F.col("_cx")) & (F.floor(y0 / far) == F.col("_cy")))
     # One CASE from cheap to dear: Spark evaluates parts shared by the sides of an AND or OR up
     # front for every row, but keeps the branches of a CASE lazy.
     hit = (
         F.when(~(meet & here), F.lit(False))
         .when(F.col("_abox") & is_box(F.col("rings"), F.col("_ib")), F.lit(True))
-        .when(F.col("_full") & _in_cell(F.col("rings"), cell), F.lit(True))
-        .otherwise(polygons_intersect(F.col("rings"), F.col("_area"), F.col("_ae")))
+        .when(F.size("_edges") == 0, F.col("_inside"))
+        .when(F.col("_large"), polygons_intersect(F.col("rings"), F.col("_area"), F.col("_edges")))
+        .otherwise(_meets_block(F.col("rings"), cell))
     )
-    return joined.where(hit).select(*items.columns, *ids)
+    return joined.where(hit).select(*items.columns, *[F.col(f"_ids.{c}").alias(c) for c in ids])
 
 
 def search(

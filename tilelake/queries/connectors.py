@@ -97,12 +97,11 @@ def read_item_pages(spark, sf):
         F.unix_micros("item_ts").alias("item_us"), b["minx"].cast("bigint").alias("minx"), b["maxy"].cast("bigint").alias("maxy"))
 
 
-@query("stac_pages", """
-SELECT collection_id, item_id, size_bytes, count(*) AS copies FROM cat_items_raw WHERE collection_id IN ('LAZ', 'MDT-2m') AND tx % 2 = 1 GROUP BY 1, 2, 3""")
+@query("stac_pages", "SELECT collection_id, item_id, size_bytes, count(*) AS copies FROM cat_items_raw GROUP BY 1, 2, 3")
 def stac_pages(spark, sf):
-    """Recorded searches: two chunks, pages of up to a thousand features linked by name."""
-    rows = view(spark, sf, "cat_items_raw").where(F.col("collection_id").isin("LAZ", "MDT-2m", "MDS-2m")).withColumn(
-        "chunk", F.concat(F.lit("chunk-"), (F.col("tx") % 2).cast("string")))
+    """Recorded searches: two chunks and every collection, pages of up to 500 features linked by name."""
+    rows = view(spark, sf, "cat_items_raw").withColumn("chunk", F.concat(F.lit("chunk-"), (F.col("tx") % 2).cast("string")))
+    collections = sorted(r.collection_id for r in rows.select("collection_id").distinct().collect())  # the catalog's few collections
     search = ["chunk", "collection_id"]
     numbered = row_numbers(rows, search, ["search_page", "item_id", "item_ts", "tx", "ty"], "n").withColumn("page", F.floor((F.col("n") - 1) / 500))
     pages = _features(numbered).groupBy(*search, "page").agg(F.array_join(F.collect_list("feature"), ",").alias("features"))
@@ -113,8 +112,7 @@ def stac_pages(spark, sf):
     text = F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.col("features"), F.lit('], "links": ['), link, F.lit("]}"))
     root = scratch_path(spark, "searches")
     pages.join(last, search).select(*search, name(F.col("page")).alias("name"), text.alias("text")).foreachPartition(_save_pages(root))
-    raw = search_pages.read_search(spark, root, ["LAZ", "MDT-2m", "MDS-2m"]).where(
-        (F.col("chunk_id") == "chunk-1") & F.col("collection").isin("LAZ", "MDT-2m"))
+    raw = search_pages.read_search(spark, root, collections)
     items = search_pages.items_of(raw)
     from tilelake.functions.assets import asset_size
 
@@ -305,11 +303,11 @@ def write_feature_collection(spark, sf):
         F.count_if(~is_feature).cast("int").alias("frame_lines"), F.count_if(is_feature & line.startswith(",")).alias("commas"), F.count_if(is_feature).alias("features"))
 
 
-@query("write_manifest", "SELECT collection_id, item_id, asset_key, dest, status, bytes_transferred::bigint AS bytes_transferred FROM outcomes WHERE run_id = 1")
+@query("write_manifest", "SELECT collection_id, item_id, asset_key, dest, status, bytes_transferred::bigint AS bytes_transferred FROM outcomes")
 def write_manifest(spark, sf):
     from tilelake.schemas import MANIFEST
 
-    outcomes = view(spark, sf, "outcomes").where("run_id = 1").select(
+    outcomes = view(spark, sf, "outcomes").select(
         "*", F.element_at(F.split("dest", "/"), -1).alias("storage_filename"), F.lit(None).cast("string").alias("error"), F.lit("secret").alias("href"))
     path = scratch_path(spark, "manifest")
     sinks.write_manifest(outcomes, path)

@@ -116,6 +116,12 @@ def pyramid(spark, sf):
     return _level_ints(raster.pyramid(cells(spark, sf), [2, 4, 20, 40, 80]))
 
 
+@query("pyramid_blocks", " UNION ALL ".join(_LEVEL_SQL.format(f=f) for f in (2, 5, 20, 48, 80)))
+def pyramid_blocks(spark, sf):
+    packed = blocks.pack_blocks(cells(spark, sf), 32)
+    return _level_ints(blocks.pyramid_blocks(packed, [2, 5, 20, 48, 80], 32))
+
+
 @query("overview_blocks", _LEVEL_SQL.format(f=4))
 def overview_blocks(spark, sf):
     packed = blocks.pack_blocks(cells(spark, sf), 32)
@@ -189,19 +195,35 @@ def clip_pixels(spark, sf):
     return out.select("px", "py", F.floor(F.col("z") * 10 + 0.5).cast("bigint").alias("dz"))
 
 
-@query("verify_lossy", """
+_LOSSY_SQL = """
 SELECT px // 32 AS tile_col, cast(py // 32 AS bigint) AS tile_row, max(CASE WHEN z <> -999.0 AND py % 50 <> 3 THEN (px % 4) * 2 END)::bigint AS max_error_cm,
        count(*) FILTER (WHERE z <> -999.0 AND py % 50 <> 3 AND px % 4 = 3) AS over_bound,
-       count(*) FILTER (WHERE z <> -999.0 AND py % 50 = 3) AS nodata_mismatch, count(*) AS cells FROM pixels GROUP BY 1, 2""")
-def verify_lossy(spark, sf):
-    original = cells(spark, sf)
-    encoded = original.withColumn("z", F.when((F.col("py") % 50 == 3) | (F.col("z") == -999.0), F.lit(-999.0)).otherwise(
+       count(*) FILTER (WHERE z <> -999.0 AND py % 50 = 3) AS nodata_mismatch, count(*) AS cells FROM pixels GROUP BY 1, 2"""
+
+
+def _lossy(original):
+    return original.withColumn("z", F.when((F.col("py") % 50 == 3) | (F.col("z") == -999.0), F.lit(-999.0)).otherwise(
         F.col("z") + (F.col("px") % 4) * 0.02))
-    out = raster.verify_lossy(original, encoded, 0.05, tile=32)
+
+
+def _lossy_ints(out):
     return out.select("tile_col", "tile_row", F.floor(F.col("max_error") * 100 + 0.5).cast("bigint").alias("max_error_cm"),
                       "over_bound", "nodata_mismatch", "cells")
 
 
+@query("verify_lossy", _LOSSY_SQL)
+def verify_lossy(spark, sf):
+    original = cells(spark, sf)
+    return _lossy_ints(raster.verify_lossy(original, _lossy(original), 0.05, tile=32))
+
+
+@query("verify_lossy_blocks", _LOSSY_SQL)
+def verify_lossy_blocks(spark, sf):
+    original = cells(spark, sf)
+    pair = (blocks.pack_blocks(c, 40) for c in (original, _lossy(original)))
+    return _lossy_ints(blocks.verify_lossy_blocks(*pair, 0.05, tile=32, block=40))
+
+
 @query("grid_validate", """
 SELECT path, CASE (tile_row * 4 + tile_col) % 7 WHEN 0 THEN 'missing,crs,nodata,dtype,size' WHEN 1 THEN 'crs' WHEN 2 THEN 'dtype' WHEN 3 THEN 'nodata' ELSE 'size' END AS mismatches
 FROM raster_headers WHERE (tile_row * 4 + tile_col) % 7 IN (0, 1, 2, 3, 4)""")
@@ -245,11 +267,11 @@ def merge_tiles(spark, sf):
         F.count(F.lit(1)).alias("cells"), F.count_if(F.col("z") != -999.0).alias("n_valid"), F.sum(half).alias("sum_half_dz"))
 
 
-@query("merge_tiles_levels", " UNION ALL ".join(_LEVEL_SQL.format(f=f) for f in (4, 20)))
+@query("merge_tiles_levels", " UNION ALL ".join(_LEVEL_SQL.format(f=f) for f in (2, 4, 20)))
 def merge_tiles_levels(spark, sf):
     # 10 m is 20 cells of 0.5 m; of the powers of two, 2 and 4 divide 20.
     merged = lifecycle.merge_tiles(tile_cells(spark, sf), headers(spark, sf), ensure_res=10.0)
-    return _level_ints(merged.levels.where(F.col("factor").isin(4, 20)))
+    return _level_ints(merged.levels)
 
 
 @query("quantize_mosaic", "SELECT px, cast(py AS bigint) AS py, CASE WHEN z = -999.0 THEN -9990 ELSE cast(floor(z / 0.8 + 0.5) * 8 AS bigint) END AS dz FROM pixels")

@@ -36,13 +36,11 @@ def decode_tile_key(spark, sf):
 
 @query("tile_extent", f"""
 SELECT item_id, search_page, (x - 200) * 1000 AS minx, (y - 301) * 1000 AS miny, (x - 199) * 1000 AS maxx, (y - 300) * 1000 AS maxy
-FROM (SELECT item_id, search_page, cast({_part(2)} AS bigint) AS x, cast({_part(3)} AS bigint) AS y
-      FROM cat_items_raw WHERE regexp_matches(item_id, {TILE_ID_SQL})) t""")
+FROM (SELECT item_id, search_page, try_cast({_part(2)} AS bigint) AS x, try_cast({_part(3)} AS bigint) AS y FROM cat_items_raw) t""")
 def tile_extent(spark, sf):
+    """Every item; those whose id isn't a tile key have no extent."""
     items = view(spark, sf, "cat_items_raw").withColumn("k", keys.decode_tile_key(F.col("item_id")))
-    out = items.where(F.col("k").isNotNull()).select(
-        "item_id", "search_page", keys.tile_extent(F.col("k.tile_x"), F.col("k.tile_y")).alias("e")
-    ).select("item_id", "search_page", "e.*")
+    out = items.select("item_id", "search_page", keys.tile_extent(F.col("k.tile_x"), F.col("k.tile_y")).alias("e")).select("item_id", "search_page", "e.*")
     return int_columns(out, "minx", "miny", "maxx", "maxy")
 
 

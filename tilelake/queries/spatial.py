@@ -207,17 +207,33 @@ _MAX_KM2 = 10.0
 _SIDE = 10.0**0.5 * 1000
 
 
+_QUADS_SQL = f"""(SELECT c_custkey, k, CASE WHEN k < 2 THEN e ELSE w END AS lon, CASE WHEN k IN (1, 2) THEN n ELSE s END AS lat
+  FROM {_AOI_SQL}, (VALUES (0), (1), (2), (3)) v(k) WHERE {_MAINLAND_SQL}) corners"""
+
+
+# On the mainland an area is a slanting quadrangle: a cell of its grid counts if it isn't all on the outer side of an edge.
 @query("chunk_aoi", f"""
-SELECT cast(c_custkey AS varchar) AS aoi_id, CASE WHEN NOT ({_MAINLAND_SQL}) AND ww * hh > {_MAX_KM2 * 1e6} THEN cast(ceil(ww / {_SIDE!r}) * ceil(hh / {_SIDE!r}) AS bigint)
-       WHEN NOT ({_MAINLAND_SQL}) THEN 1 END AS chunks, true AS area_kept, true AS all_small
-FROM (SELECT *, {pj._A * pj._K0!r} * radians(e - w) AS ww, {_ea_y('n')} - {_ea_y('s')} AS hh FROM {_AOI_SQL}) t""")
+WITH xy AS (SELECT c_custkey, k, x, y FROM {tm06_sql(_QUADS_SQL)} t),
+edge AS (SELECT p.c_custkey, p.x AS px, p.y AS py, q.x - p.x AS dx, q.y - p.y AS dy, q.x AS qx, q.y AS qy FROM xy p JOIN xy q ON p.c_custkey = q.c_custkey AND q.k = (p.k + 1) % 4),
+area AS (SELECT c_custkey, abs(sum((px - x0) * (qy - y0) - (qx - x0) * (py - y0))) / 2 AS m2 FROM edge JOIN (SELECT c_custkey, min(x) AS x0, min(y) AS y0 FROM xy GROUP BY 1) o USING (c_custkey) GROUP BY 1),
+box AS (SELECT c_custkey, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM xy GROUP BY 1),
+col AS (SELECT *, unnest(range(0, ceil((x1 - x0) / {_SIDE!r})::bigint)) AS i FROM box),
+cell AS (SELECT *, unnest(range(0, ceil((y1 - y0) / {_SIDE!r})::bigint)) AS j FROM col),
+seen AS (SELECT c_custkey, i, j, min(
+    dx * (CASE WHEN dx > 0 THEN least(y0 + (j + 1) * {_SIDE!r}, y1) ELSE y0 + j * {_SIDE!r} END - py)
+    - dy * (CASE WHEN dy > 0 THEN x0 + i * {_SIDE!r} ELSE least(x0 + (i + 1) * {_SIDE!r}, x1) END - px)) AS reach
+  FROM cell JOIN edge USING (c_custkey) GROUP BY 1, 2, 3),
+quads AS (SELECT c_custkey, CASE WHEN any_value(m2) > {_MAX_KM2 * 1e6} THEN count(*) ELSE 1 END AS chunks FROM seen JOIN area USING (c_custkey) WHERE reach > 0 GROUP BY 1)
+SELECT cast(t.c_custkey AS varchar) AS aoi_id, CASE WHEN {_MAINLAND_SQL} THEN chunks
+       WHEN ww * hh > {_MAX_KM2 * 1e6} THEN cast(ceil(ww / {_SIDE!r}) * ceil(hh / {_SIDE!r}) AS bigint) ELSE 1 END AS chunks, true AS area_kept, true AS all_small
+FROM (SELECT *, {pj._A * pj._K0!r} * radians(e - w) AS ww, {_ea_y('n')} - {_ea_y('s')} AS hh FROM {_AOI_SQL}) t LEFT JOIN quads USING (c_custkey)""")
 def chunk_aoi(spark, sf):
     aoi = lonlat_aoi(spark, sf)
     pieces = spatial.chunk_aoi(aoi, _MAX_KM2).groupBy("aoi_id").agg(
-        F.count_distinct("chunk_col", "chunk_row").alias("n"), F.sum("area_km2").alias("total"), F.max("area_km2").alias("largest"))
-    whole = spatial.with_metric(aoi).select("aoi_id", "crs", (rg.planar_area(F.col("metric_rings")) / 1e6).alias("area"))
+        F.count_distinct("chunk_col", "chunk_row").alias("chunks"), F.sum("area_km2").alias("total"), F.max("area_km2").alias("largest"))
+    whole = spatial.with_metric(aoi).select("aoi_id", (rg.planar_area(F.col("metric_rings")) / 1e6).alias("area"))
     return whole.join(pieces, "aoi_id").select(
-        "aoi_id", F.when(F.col("crs") == "EPSG:6933", F.col("n")).alias("chunks"),
+        "aoi_id", "chunks",
         (F.abs(F.col("total") - F.col("area")) <= F.col("area") * 1e-9).alias("area_kept"),
         (F.col("largest") <= _MAX_KM2 * (1 + 1e-9)).alias("all_small"))
 
