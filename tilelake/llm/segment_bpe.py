@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from tilelake.llm.common import map_columns, narrow
 
-REMEMBERED = 400_000  # pieces, and words, a worker remembers before it starts afresh; results don't depend on it
+REMEMBERED = 96 << 20  # bytes of words, and again of pieces, that a worker remembers with their ids
+ENTRY = 200  # ... which one takes besides its letters and ids
 
 # The characters that the normaliser's \s stands for.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -99,6 +100,12 @@ def merge(symbols: list[int], ranks: dict[int, int], made_by: list[int]) -> list
     return [s for s in symbols if s >= 0]
 
 
+def names_of(data: dict) -> np.ndarray:
+    """A tokenizer file's tokens by id."""
+    by_id = {i: t for t, i in data["model"]["vocab"].items()} | {t["id"]: t["content"] for t in data["added_tokens"]}
+    return np.array([by_id.get(i, "") for i in range(max(by_id) + 1)], dtype=object)
+
+
 class Encoder:
     """Ids of a text under a tokenizer file of the word-end BPE kind."""
 
@@ -118,8 +125,21 @@ class Encoder:
         self.cut = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self.words = regex.compile(data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.white = re.compile(f"[{WHITE}]+")
+        self.names = names_of(data)
         self.pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.room = {id(self.pieces): REMEMBERED, id(self.known): REMEMBERED}
+
+    def remember(self, held: dict[str, bytes], key: str, ids: bytes) -> bytes:
+        """Keep the ids, if need be in place of all that was kept before."""
+        size = ENTRY + len(key) + len(ids)
+        if self.room[id(held)] < size:
+            held.clear()
+            self.room[id(held)] = REMEMBERED
+        if size <= self.room[id(held)]:
+            self.room[id(held)] -= size
+            held[key] = ids
+        return ids
 
     def piece(self, piece: str) -> bytes:
         """Ids, as 32-bit integers, of a piece without white space: composed, lower-cased letter by letter, cut, merged."""
@@ -134,9 +154,7 @@ class Encoder:
             symbols[-1] = self.last[raw[-1]]
             if -1 in symbols:
                 symbols = [s for s in symbols if s >= 0]
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            ids = self.known[word] = array("i", merge(symbols, self.ranks, self.made_by)).tobytes()
+            ids = self.remember(self.known, word, array("i", merge(symbols, self.ranks, self.made_by)).tobytes())
         return ids
 
     def plain(self, text: str) -> bytes:
@@ -151,10 +169,7 @@ class Encoder:
         return b"".join(ids)
 
     def learn(self, piece: str) -> bytes:
-        if len(self.pieces) >= REMEMBERED:
-            self.pieces.clear()
-        ids = self.pieces[piece] = self.piece(piece)
-        return ids
+        return self.remember(self.pieces, piece, self.piece(piece))
 
     def encode(self, text: str) -> np.ndarray:
         parts, at = [], 0
@@ -179,13 +194,7 @@ def read_spec(path: str) -> str:
         return f.read()
 
 
-def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, ids array<int>`` (and the columns of ``keep``), one row per row of ``docs``.
-
-    ``tokenizer`` is a file the driver can read; its text (a vocabulary, so of bounded size) is
-    broadcast. A null text gives no ids, as an empty one. Repeated rows stay repeated; other
-    columns are ignored, an empty table gives none. Special tokens found in a text become their id.
-    """
+def _encoded(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, keep: tuple[str, ...], decoded: bool) -> DataFrame:
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer))
     rows = narrow(docs, doc_id=id_col, text=text_col, **{c: c for c in keep})
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
@@ -194,16 +203,33 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         encoder = encoder_of(spec.value)
 
         def step(batch):
-            rows, offsets = [], [0]
+            rows, offsets, texts = [], [0], []
             for text in batch["text"]:
                 rows.append(encoder.encode(text.as_py() or ""))
                 offsets.append(offsets[-1] + len(rows[-1]))
+                if decoded:
+                    texts.append(" ".join(encoder.names[rows[-1]]))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(rows) if rows else np.array([], np.int32)))
-            return {n: c for n, c in batch.items() if n != "text"} | {"ids": ids}
+            return {n: c for n, c in batch.items() if n != "text"} | {"ids": ids, "decoded": texts}
 
         return step
 
-    return map_columns(rows, work, f"{kinds}, ids array<int>")
+    return map_columns(rows, work, f"{kinds}, ids array<int>" + ", decoded string" * decoded)
+
+
+def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, ids array<int>`` (and the columns of ``keep``), one row per row of ``docs``.
+
+    ``tokenizer`` is a file the driver can read; its text (a vocabulary, so of bounded size) is
+    broadcast. A null text gives no ids, as an empty one. Repeated rows stay repeated; other
+    columns are ignored, an empty table gives none. Special tokens found in a text become their id.
+    """
+    return _encoded(docs, tokenizer, id_col, text_col, keep, False)
+
+
+def tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """What ``encode`` gives, with ``decoded`` as ``decode`` gives it, in one pass."""
+    return _encoded(docs, tokenizer, id_col, text_col, keep, True)
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
@@ -216,9 +242,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFram
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*(F.col(f"`{c}`") for c in kept)).schema)
 
     def work():
-        data = json.loads(spec.value)
-        by_id = {i: t for t, i in data["model"]["vocab"].items()} | {t["id"]: t["content"] for t in data["added_tokens"]}
-        names = np.array([by_id.get(i, "") for i in range(max(by_id) + 1)], dtype=object)
+        names = names_of(json.loads(spec.value))
 
         def step(batch):
             texts = []
@@ -234,7 +258,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFram
 
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """The query's columns: counts and digests of the ids and of the decoded text."""
-    return decode(encode(docs, tokenizer), tokenizer).select(
+    return tokens(docs, tokenizer).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
