@@ -165,7 +165,7 @@ def point_in_polygon(x: Column, y: Column, rings: Column) -> Column:
     return bind(edges(rings), lambda border: _inside_or_on(x, y, border))
 
 
-def _segments_touch(e: Column, f: Column) -> Column:
+def segments_touch(e: Column, f: Column) -> Column:
     p, q, r, s = e["p"], e["q"], f["p"], f["q"]
     apart = (
         (F.greatest(p["x"], q["x"]) < F.least(r["x"], s["x"]))
@@ -184,7 +184,7 @@ def edges_meet(rings: Column, border: Column) -> Column:
     """True when an edge of the polygon touches one of the border, or a border edge starts in the polygon."""
 
     def test(own: Column) -> Column:
-        touching = F.exists(own, lambda ea: F.exists(border, lambda eb: _segments_touch(ea, eb)))
+        touching = F.exists(own, lambda ea: F.exists(border, lambda eb: segments_touch(ea, eb)))
         return touching | F.exists(border, lambda e: _inside_or_on(e["p"]["x"], e["p"]["y"], own))
 
     return bind(edges(rings), test)
@@ -204,7 +204,7 @@ def polygons_intersect(a: Column, b: Column, b_edges: Column | None = None) -> C
 
     def test(e: Column) -> Column:
         crossing = F.exists(
-            e["a"], lambda ea: F.exists(e["b"], lambda eb: _segments_touch(ea, eb))
+            e["a"], lambda ea: F.exists(e["b"], lambda eb: segments_touch(ea, eb))
         )
         return starts_in(a, e["b"]) | starts_in(b, e["a"]) | crossing
 
@@ -254,8 +254,17 @@ def polygons_overlap(a: Column, b: Column) -> Column:
     return any_inside(a, b) | any_inside(b, a) | crossing
 
 
-def geometry_audit(rings: Column) -> Column:
-    """Names of the defects that a repair library would have to mend."""
+def adjacent(i: Column, j: Column, count: Column) -> Column:
+    """Whether edge ``j``, after ``i``, follows it in a closed ring of ``count`` edges."""
+    return (j <= i + 1) | ((i == 0) & (j == count - 1))
+
+
+def geometry_audit(rings: Column, crossing: Column | None = None) -> Column:
+    """Names of the defects that a repair library would have to mend.
+
+    ``crossing`` says whether a ring crosses itself, where that is known; else all pairs of a ring's
+    edges are looked at, which suits rings of some dozens (``spatial.audit`` takes any).
+    """
     unclosed = F.exists(
         rings, lambda r: (r[0]["x"] != r[F.size(r) - 1]["x"]) | (r[0]["y"] != r[F.size(r) - 1]["y"])
     )
@@ -272,9 +281,7 @@ def geometry_audit(rings: Column) -> Column:
                 es,
                 lambda e: F.exists(
                     es,
-                    lambda f: (f["i"] > e["i"] + 1)
-                    & ~((e["i"] == 0) & (f["i"] == F.size(es) - 1))
-                    & _segments_touch(e, f),
+                    lambda f: (f["i"] > e["i"]) & ~adjacent(e["i"], f["i"], F.size(es)) & segments_touch(e, f),
                 ),
             ),
         )
@@ -283,7 +290,7 @@ def geometry_audit(rings: Column) -> Column:
         (F.size(rings) == 0, "empty"),
         (unclosed, "unclosed"),
         (short, "too_few_points"),
-        (F.exists(rings, crosses_itself), "self_crossing"),
+        (F.exists(rings, crosses_itself) if crossing is None else crossing, "self_crossing"),
         (planar_area(rings) == 0, "zero_area"),
     )
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for test, name in checks]))

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilelake.functions.grid import DEFAULT_NODATA
@@ -163,3 +163,75 @@ def verify_lossy_blocks(
     return parts.groupBy("tile_col", "tile_row").agg(
         F.max(F.when(F.col("max_error") >= 0, F.col("max_error"))).alias("max_error"),
         *[F.sum(c).alias(c) for c in ("over_bound", "nodata_mismatch", "cells")])
+
+
+# -- stored blocks and windows of them ----------------------------------------------------------
+
+ORIGIN = 1 << 20  # added to block numbers, which may be negative, before their bits are interleaved
+_LEVELS = 21
+RANGES = 64  # key ranges that a window is turned into at most
+
+
+def _spread(v: Column) -> Column:
+    """The bits of a number below 2^21, each followed by a zero."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+    return v
+
+
+def block_key(bx: Column, by: Column) -> Column:
+    """A block's place on the Z curve: blocks near each other have keys near each other."""
+    at = lambda c: (c + ORIGIN).cast("bigint")
+    return F.shiftleft(_spread(at(by)), 1).bitwiseOR(_spread(at(bx)))
+
+
+def write_blocks(blocks: DataFrame, path: str, files: int | None = None) -> None:
+    """Packed blocks as Parquet in order of their key, which each file's statistics bound."""
+    keyed = blocks.withColumn("key", block_key(F.col("bx"), F.col("by")))
+    spread = keyed.repartitionByRange(files, "key") if files else keyed.repartitionByRange("key")
+    spread.sortWithinPartitions("key").write.parquet(path)
+
+
+def key_ranges(left: int, top: int, right: int, bottom: int, most: int = RANGES) -> list[tuple[int, int]]:
+    """Ranges of keys, in order, that hold all blocks with ``left <= bx <= right`` and ``top <= by <= bottom``.
+
+    Squares of the quadtree that lie inside are taken whole; the largest that only touch are split
+    while there is room for more ranges.
+    """
+    left, top, right, bottom = (v + ORIGIN for v in (left, top, right, bottom))
+    open_, done = [(_LEVELS, 0, 0)], []
+    while open_:
+        level, x, y = open_.pop(0)
+        size = 1 << level
+        if x > right or y > bottom or x + size <= left or y + size <= top:
+            continue
+        inside = left <= x and x + size - 1 <= right and top <= y and y + size - 1 <= bottom
+        if inside or level == 0 or len(open_) + len(done) + 4 > most:
+            key = sum(((x >> b & 1) | (y >> b & 1) << 1) << 2 * b for b in range(_LEVELS + 1))
+            done.append((key, key + (1 << 2 * level) - 1))
+        else:
+            half = size // 2
+            open_ += [(level - 1, x, y), (level - 1, x + half, y), (level - 1, x, y + half), (level - 1, x + half, y + half)]
+    merged: list[tuple[int, int]] = []
+    for low, high in sorted(done):
+        if merged and low <= merged[-1][1] + 1:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def read_window(spark: SparkSession, path: str, left: int, top: int, right: int, bottom: int, block: int = BLOCK) -> DataFrame:
+    """Long-form cells with ``left <= px < right`` and ``top <= py < bottom`` of written blocks.
+
+    The window becomes ranges of the stored key, so files and row groups outside it aren't read.
+    """
+    stored = spark.read.parquet(path)
+    if right <= left or bottom <= top:
+        return unpack_blocks(stored.limit(0), block)
+    box = [left // block, top // block, (right - 1) // block, (bottom - 1) // block]
+    wanted = F.lit(False)
+    for low, high in key_ranges(*box):
+        wanted = wanted | F.col("key").between(low, high)
+    cells = unpack_blocks(stored.where(wanted), block)
+    return cells.where((F.col("px") >= left) & (F.col("px") < right) & (F.col("py") >= top) & (F.col("py") < bottom))

@@ -240,25 +240,28 @@ def stalls(
 def progress_windows(
     progress: DataFrame, length: str = "1 minute", slide: str | None = None
 ) -> DataFrame:
-    """Bytes, events and rate per tumbling or sliding window, on batch and streams alike."""
+    """Bytes, events and rate per tumbling or sliding window, on batch and streams alike; with a column
+    ``done``, true for a file's last event, also the files that were finished."""
     span = F.window("ts", length, slide) if slide else F.window("ts", length)
+    files = [F.count_if(F.col("done")).alias("files")] if "done" in progress.columns else []
     totals = progress.groupBy(span.alias("w")).agg(
-        F.sum("nbytes").alias("nbytes"), F.count(F.lit(1)).alias("events")
+        F.sum("nbytes").alias("nbytes"), F.count(F.lit(1)).alias("events"), *files
     )
     seconds = (F.unix_micros("w.end") - F.unix_micros("w.start")) / F.lit(float(_US))
     return totals.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "nbytes", "events", (F.col("nbytes") / seconds).alias("bytes_per_s"),
+        "nbytes", "events", (F.col("nbytes") / seconds).alias("bytes_per_s"), *(["files"] if files else []),
     )
 
 
 def running_total(windows: DataFrame) -> DataFrame:
-    """Bytes so far at the end of every window."""
+    """Bytes, and files if the windows count them, so far at the end of every window."""
     order = ["window_start"]
     sliced = slice_rows(windows, [], order)
-    return running(sliced, [], order, inclusive={"total_bytes": ("sum", F.col("nbytes"))}).drop(
-        SLICE, ROW
-    )
+    sums = {"total_bytes": ("sum", F.col("nbytes"))}
+    if "files" in windows.columns:
+        sums["total_files"] = ("sum", F.col("files"))
+    return running(sliced, [], order, inclusive=sums).drop(SLICE, ROW)
 
 
 def fixed_ttl_sessions(

@@ -25,10 +25,18 @@ def stream_metrics(df: DataFrame, stage: str, **extra: Column) -> DataFrame:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the observed metrics of each micro-batch, by stage."""
+    """Keeps the observed metrics of each micro-batch, by stage, and the rows that came too late.
+
+    ``late`` holds ``(batch, operator, rows)`` for each stateful operator that dropped rows because the
+    watermark had passed them; a stream has one entry per operator and batch at most.
+    """
 
     def __init__(self) -> None:
         self.events: list[tuple[str, int, dict]] = []
+        self.late: list[tuple[int, str, int]] = []
+
+    def late_rows(self) -> int:
+        return sum(rows for _, _, rows in self.late)
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -36,6 +44,9 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         for stage, row in event.progress.observedMetrics.items():
             self.events.append((stage, event.progress.batchId, row.asDict()))
+        for operator in event.progress.stateOperators:
+            if operator.numRowsDroppedByWatermark:
+                self.late.append((event.progress.batchId, operator.operatorName, operator.numRowsDroppedByWatermark))
 
     def onQueryIdle(self, event) -> None:
         pass

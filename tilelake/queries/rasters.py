@@ -9,6 +9,7 @@ from tilelake.operators import blocks, raster
 from tilelake.plans import lifecycle
 from tilelake.plans.fixtures import table, view
 from tilelake.queries.registry import query
+from tilelake.session import scratch_path
 
 
 def headers(spark, sf):
@@ -195,6 +196,18 @@ def clip_pixels(spark, sf):
     return out.select("px", "py", F.floor(F.col("z") * 10 + 0.5).cast("bigint").alias("dz"))
 
 
+@query("clip_blocks", """
+SELECT px - 25 AS px, cast(py - 20 AS bigint) AS py, cast(floor(z * 10 + 0.5) AS bigint) AS dz FROM pixels WHERE px >= 25 AND px < 105 AND py >= 20""")
+def clip_blocks(spark, sf):
+    """The window of clip_pixels, from blocks that were written by their key."""
+    path = scratch_path(spark, "blocks")
+    blocks.write_blocks(blocks.pack_blocks(cells(spark, sf), 16), path)
+    w = raster.clip_window(headers(spark, sf), (13.3, -1e9, 50.9, -12.4), 2.5).first()
+    col, row = int(w.col_off), int(w.row_off)
+    out = blocks.read_window(spark, path, col, row, col + int(w.width), row + int(w.height), 16)
+    return out.select((F.col("px") - col).alias("px"), (F.col("py") - row).alias("py"), F.floor(F.col("z") * 10 + 0.5).cast("bigint").alias("dz"))
+
+
 _LOSSY_SQL = """
 SELECT px // 32 AS tile_col, cast(py // 32 AS bigint) AS tile_row, max(CASE WHEN z <> -999.0 AND py % 50 <> 3 THEN (px % 4) * 2 END)::bigint AS max_error_cm,
        count(*) FILTER (WHERE z <> -999.0 AND py % 50 <> 3 AND px % 4 = 3) AS over_bound,

@@ -166,6 +166,18 @@ def geometry_audit(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", F.array_join(rg.geometry_audit(rings), ",").alias("defects"))
 
 
+# Rings of 40 to 1,200 vertices on a wave; in every third one, two vertices have changed places.
+@query("geometry_audit_long", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'self_crossing' ELSE '' END AS defects FROM supplier")
+def geometry_audit_long(spark, sf):
+    k = F.col("s_suppkey")
+    n = (k % 30 + 1) * 40
+    wave = F.transform(F.sequence(F.lit(0), n), lambda i: rg.point(i * 3 + k, F.lit(2.0) * (i % 5)))
+    mixed = F.transform(wave, lambda p, i: F.when((k % 3 == 0) & i.isin(20, 21), F.get(wave, F.lit(41) - i)).otherwise(p))
+    back = F.array(rg.point(n * 3 + k, F.lit(-50.0)), rg.point(k, F.lit(-50.0)), mixed[0])
+    rings = table(spark, sf, "supplier").select("s_suppkey", F.array(F.concat(mixed, back)).alias("rings"))
+    return spatial.audit(rings, "s_suppkey").select("s_suppkey", F.array_join("defects", ",").alias("defects"))
+
+
 @query("to_geojson", f"""
 SELECT s_suppkey, '{{"type":"Polygon","coordinates":[[' || string_agg('[' || px || '.0,' || py || '.0]', ',' ORDER BY i) || ']]}}' AS geometry
 FROM (SELECT s_suppkey, i, x + a * CASE WHEN i IN (1, 2) THEN 2 WHEN i IN (3, 4) THEN 1 ELSE 0 END AS px,

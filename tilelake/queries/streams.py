@@ -71,6 +71,15 @@ def stream_progress(spark, sf):
     return out.select(F.unix_micros("window_start").alias("start_us"), "nbytes", "events")
 
 
+@query("stream_totals", """
+SELECT start_us, nbytes, events, files, sum(nbytes) OVER (ORDER BY start_us)::bigint AS total_bytes, sum(files) OVER (ORDER BY start_us)::bigint AS total_files FROM (
+  SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, sum(nbytes)::bigint AS nbytes, count(*) AS events, count(*) FILTER (WHERE req_id % 4 = 0) AS files FROM progress GROUP BY 1) w""")
+def stream_totals(spark, sf):
+    log = log_stream(spark, sf).where("status = 200").withColumn("done", F.col("req_id") % 4 == 0)
+    out = flows.run_to_table(log, lambda s: flows.stream_totals(s, "1 hour"))
+    return out.select(F.unix_micros("window_start").alias("start_us"), "nbytes", "events", "files", "total_bytes", "total_files")
+
+
 @query("stream_silence", """
 SELECT client_id, min(t) AS start_us, max(t) + 21600000000 AS silent_us, count(*) AS events, sum(nbytes)::bigint AS nbytes FROM (
   SELECT *, sum(opens) OVER (PARTITION BY client_id ORDER BY t, req_id) AS run FROM (
@@ -94,6 +103,13 @@ def stream_dedup(spark, sf):
     return out.select("collection_id", "item_id", "size_bytes")
 
 
+@query("stream_dedup_bounded", "SELECT DISTINCT collection_id, item_id, size_bytes FROM cat_items_raw")
+def stream_dedup_bounded(spark, sf):
+    """Copies of an item carry its time, so any watermark finds them all."""
+    out = flows.run_to_table(_item_stream(spark, sf), lambda s: flows.stream_dedup(s, "1 day"))
+    return out.select("collection_id", "item_id", "size_bytes")
+
+
 @query("outcome_upsert", """
 SELECT collection_id, item_id, run_id, status FROM (SELECT *, row_number() OVER (
   PARTITION BY collection_id, item_id, asset_key ORDER BY finished_at DESC, run_id DESC) AS rn FROM outcomes) t WHERE rn = 1""")

@@ -1,18 +1,19 @@
-"""Streams that need no custom state: dedup, windows, silence windows and outcome upserts."""
+"""Streams that need little or no custom state: dedup, windows and their totals, silence windows, outcome upserts."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tilelake.operators.catalog import ITEM_IDENTITY
 from tilelake.operators.logs import progress_windows
 from tilelake.operators.plan import latest_outcome
 from tilelake.session import scratch_path
-from tilelake.streaming.ordered import WATERMARK
+from tilelake.streaming.ordered import WATERMARK, use_rocksdb
 
 
 def stream_dedup(items: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -35,6 +36,40 @@ def stream_progress(
     return progress_windows(progress.withWatermark("ts", watermark), length, slide)
 
 
+class _Running(StatefulProcessor):
+    """Adds windows up in time order. Windows arrive once each, when the watermark has passed them, so no later
+    batch holds an earlier one; the state is two numbers."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._totals = handle.getValueState("totals", "nbytes bigint, files bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        windows = pd.concat(list(rows)).sort_values("window_start")
+        nbytes, files = self._totals.get() if self._totals.exists() else (0, 0)
+        windows["total_bytes"] = windows["nbytes"].fillna(0).cumsum().astype("int64") + nbytes
+        windows["total_files"] = windows["files"].cumsum().astype("int64") + files
+        self._totals.update((int(windows["total_bytes"].iloc[-1]), int(windows["total_files"].iloc[-1])))
+        yield windows[["window_start", "window_end", "nbytes", "events", "files", "total_bytes", "total_files"]]
+
+    def close(self) -> None:
+        pass
+
+
+def stream_totals(progress: DataFrame, length: str = "1 minute", watermark: str = WATERMARK) -> DataFrame:
+    """Each window's bytes, events and files, with the totals up to it, as ``logs.running_total`` gives them.
+
+    ``progress`` has ``ts, nbytes`` and ``done``. Two stateful operators in one stream: the windows are
+    aggregated in parallel, and only their rows, one each, meet in the running total.
+    """
+    use_rocksdb(progress.sparkSession)
+    windows = stream_progress(progress, length, watermark=watermark)
+    return windows.withColumn("all", F.lit(0)).groupBy("all").transformWithStateInPandas(
+        statefulProcessor=_Running(),
+        outputStructType="window_start timestamp, window_end timestamp, nbytes bigint, events bigint, files bigint, total_bytes bigint, total_files bigint",
+        outputMode="Append", timeMode="None",
+    )
+
+
 def silence_windows(
     progress: DataFrame, seconds: int = 30, watermark: str | None = WATERMARK
 ) -> DataFrame:
