@@ -205,3 +205,59 @@ def test_wkt_with_many_vertices(spark):
     text = f"POLYGON (({', '.join([*ring, ring[0]])}))"
     df = spark.createDataFrame([(text,), (text.replace("))", ", 1 1))"),), (text[:-1],), ("POLYGON ((0 0, 1 0, 1 1, 0 0)), ((0 0, 1 0, 1 1, 0 0))",)], "t string")
     assert [p and (len(p), len(p[0][0])) for (p,) in df.select(wkt_polygons(F.col("t"))).collect()] == [(1, 20_001), None, None, None]
+
+
+def crosses_itself(points):
+    """All pairs of edges that aren't neighbours, by orientation."""
+    edges = list(zip(points, points[1:]))
+    side = lambda a, b, c: (v := (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])) and (1 if v > 0 else -1)
+    for i, (p, q) in enumerate(edges):
+        for j in range(i + 2, len(edges)):
+            if i == 0 and j == len(edges) - 1:
+                continue
+            r, s = edges[j]
+            apart = any(max(a[k], b[k]) < min(c[k], d[k]) for k in (0, 1) for a, b, c, d in ((p, q, r, s), (r, s, p, q)))
+            if not apart and side(p, q, r) * side(p, q, s) <= 0 and side(r, s, p) * side(r, s, q) <= 0:
+                return True
+    return False
+
+
+def test_audit_finds_rings_that_cross_or_touch_themselves(spark):
+    rng = random.Random(11)
+    rings = [[(float(rng.randrange(12)), float(rng.randrange(12))) for _ in range(rng.randrange(3, 9))] for _ in range(150)]
+    rings += [[(float(x), float(y)) for x, y in star(rng, 50, 50, 30)] for _ in range(50)]
+    rings = [r if r[0] == r[-1] else [*r, r[0]] for r in rings]
+    df = spark.createDataFrame([(i, [r]) for i, r in enumerate(rings)], "k int, rings array<array<struct<x:double,y:double>>>")
+    got = {r.k: r.defects for r in spatial.audit(df, "k").collect()}
+    inline = {r.k: r.d for r in df.select("k", rg.geometry_audit(F.col("rings")).alias("d")).collect()}
+    assert len(got) == len(rings) and got == inline
+    for i, r in enumerate(rings):
+        assert ("self_crossing" in got[i]) == crosses_itself(r), r
+
+
+def test_audit_of_a_ring_with_very_many_vertices(spark):
+    n = 100_000
+    at = lambda i: F.struct((F.cos(i * (6.283185307179586 / n)) * (1000 + i % 7)).alias("x"), (F.sin(i * (6.283185307179586 / n)) * (1000 + i % 7)).alias("y"))
+    ring = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), at)
+    mixed = F.transform(ring, lambda p, i: F.when(i == 500, F.get(ring, F.lit(507))).when(i == 507, F.get(ring, F.lit(500))).otherwise(p))
+    df = spark.range(2).select(F.col("id").alias("k"), F.when(F.col("id") == 0, ring).otherwise(mixed).alias("r"))
+    df = df.select("k", F.array(F.concat("r", F.slice("r", 1, 1))).alias("rings"))
+    assert {r.k for r in spatial.self_crossing(df, "k").collect()} == {1}
+
+
+def test_search_with_items_of_all_sizes_over_shapes_with_holes(spark):
+    """Items smaller and larger than a cell, areas with holes and round coordinates, against the plain test of every pair."""
+    rng = random.Random(12)
+    schema = "array<array<struct<x:double,y:double>>>"
+    boxed = lambda x, y, w, h: [(x + w, y), (x + w, y + h), (x, y + h), (x, y), (x + w, y)]
+    areas = [("a", k, [boxed(10.0 * k, 5.0, 30.0, 30.0), boxed(10.0 * k + 10, 15.0, 10.0, 10.0)]) for k in range(4)]
+    areas += [("b", k, [[(float(x), float(y)) for x, y in star(rng, 40, 40, 35)]]) for k in range(4)]
+    items = [("c", f"i{n}", [boxed(float(rng.randrange(-10, 90)), float(rng.randrange(-10, 90)), float(s), float(rng.choice([s, 1])))])
+             for n, s in enumerate([1, 2, 3, 5, 8, 20, 60] * 20)]
+    left = spark.createDataFrame(items, f"collection_id string, item_id string, rings {schema}")
+    right = spark.createDataFrame(areas, f"aoi_id string, part_id int, rings {schema}")
+    pairs = left.crossJoin(right.withColumnRenamed("rings", "area")).where(rg.polygons_intersect(F.col("rings"), F.col("area")))
+    want = sorted(tuple(r) for r in pairs.select("item_id", "aoi_id", "part_id").collect())
+    for cell in (2.0, 5.0, 16.0):
+        got = spatial.search_chunked(left, right, cell).select("item_id", "aoi_id", "part_id").collect()
+        assert sorted(map(tuple, got)) == want

@@ -119,3 +119,52 @@ def test_outcomes_repeat_and_compact(spark):
     make(20, 3, "skipped").write.mode("append").parquet(source)
     run()
     assert state_of(version) == {"skipped": 20} == state_of(flows.compact_outcomes(spark, target, 2, version))
+
+
+def test_totals_over_several_batches(events):
+    log, stream = events
+    done = lambda df: df.withColumn("done", F.col("req_id") % 3 == 0)
+    got = flows.run_to_table(stream(), lambda s: flows.stream_totals(done(s), "10 minutes", "5 minutes"))
+    want = logs.running_total(logs.progress_windows(done(log), "10 minutes"))
+    columns = ["window_start", "nbytes", "events", "files", "total_bytes", "total_files"]
+    assert as_set(got, *columns) == as_set(want, *columns)
+
+
+def test_late_rows_are_counted(spark):
+    path = scratch_path(spark, "late")
+    t = 1_700_000_000_000_000
+    for part in ([(1, t, 0, 200, 5)], [(2, t + 10**10, 0, 200, 5)], [(6, t + 10**10, 0, 200, 5)], [(3, t, 0, 200, 5), (4, t + 1, 1, 200, 5), (5, t + 2 * 10**10, 0, 200, 5)]):
+        rows_of(spark, part).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    seen = ProgressLog()
+    spark.streams.addListener(seen)
+    try:
+        flows.run_to_table(read_request_log(spark, path, stream=True, files_per_trigger=1), lambda s: flows.stream_progress(s, "1 minute", watermark="1 minute"))
+        for _ in range(50):
+            if seen.late_rows():
+                break
+            time.sleep(0.1)
+        assert seen.late_rows() == 1  # the two late rows fall in one window: they reach the state as one partial sum
+        assert {name for _, name, _ in seen.late} == {"stateStoreSave"}
+    finally:
+        spark.streams.removeListener(seen)
+
+
+def test_a_hot_key_is_buffered_in_stretches(spark):
+    """Many rows of one key and time, in several batches: each once, in order, whatever the batches."""
+    path, t = scratch_path(spark, "hot"), 1_700_000_000_000_000
+    rng = random.Random(9)
+    rows = [(i, t + rng.randrange(200) * 1_000_000, 1, 200, 1) for i in range(6_000)]
+    for part in (rows[:2000], rows[2000:4000], rows[4000:], [(-1, t + 10**11, -1, 200, 0)]):
+        rows_of(spark, part).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    got = done(flows.run_to_table(read_request_log(spark, path, stream=True, files_per_trigger=1), lambda s: machines.token_bucket(s, 1000.0, 2, "5 minutes")))
+    assert as_set(got, "req_id", "wait_us") == as_set(logs.token_bucket(rows_of(spark, rows), 1000.0, 2), "req_id", "wait_us")
+
+
+@pytest.mark.parametrize("made", [
+    lambda: machines._Breaker(3, 60, 90), lambda: machines._Bucket(1000, 4), lambda: machines._Session(60, 0), lambda: machines._Stall(30), lambda: flows._Running()])
+def test_processors_go_with_the_task(made):
+    from pyspark import cloudpickle
+
+    assert len(cloudpickle.dumps(made())) < 200_000
