@@ -19,8 +19,10 @@ TILES = {
     "MDS-2m-162467-07-2025": (-38000, 167000), "MDS-2m-162463-07-2025": (-38000, 163000),
     "MDS-50cm-162467-07-2025": (-38000, 167000),
 }
-FOREIGN = ["", "foo", "a-b-c", "ORTOS-2021-cog-25cm-122-4", "MDT-2m-11319-07-2024", "MDT-2m-113194-7-2024",
-           "MDT-2m-113194-07-24", "MDT-2m-abcdef-07-2024", "113194-07-2024", "-113194-07-2024", "MDT-113194-07-2024\n"]
+# A sound id, broken in one place each: nothing, year, tile, lot, prefix, line end.
+SOUND = "ALT-5m-250310-11-2019"
+FOREIGN = ["", SOUND[:-1], SOUND + "0", SOUND.replace("250310", "25031"), SOUND.replace("250310", "2503101"), SOUND.replace("250", "2x0"),
+           SOUND.replace("-11-", "-1-"), SOUND.replace("-11-", "-011-"), SOUND[7:], SOUND[6:], SOUND + "\n"]
 
 
 def test_tile_ids_and_corners(spark):
@@ -64,14 +66,14 @@ def test_extra_extension(spark):
     assert values(spark, [("application/x-none",)], "m string", naming.asset_extension(F.col("m"), extra)) == [(".none",)]
 
 
-@pytest.mark.parametrize("hostile", ["../../etc/passwd", "..", ".", "a/b", "a\\b", "", "   ", "....", "\x00x", " .a "])
+@pytest.mark.parametrize("hostile", ["../up/../down", "..", "./.", "one/two", "one\\two", "", "\t \n", ".....z", "y\x00", "  .hidden\t"])
 def test_safe_component(spark, hostile):
     safe = values(spark, [(hostile,)], "s string", naming.safe_component(F.col("s")))[0][0]
     assert safe and not safe.startswith(".") and not set(safe) & set("/\\\x00")
 
 
 def test_hostile_collection_stays_one_folder(spark):
-    rows = [("../../../etc", "x", "image/tiff")]
+    rows = [("../up/../down", "x", "image/tiff")]
     path = values(spark, rows, "collection_id string, item_id string, media_type string", naming.layout_path())[0][0]
     assert path.count("/") == 1 and path.split("/")[0] not in ("", ".", "..")
 

@@ -13,7 +13,7 @@ from tilelake.operators.slices import row_numbers
 from tilelake.plans.fixtures import table, view
 from tilelake.queries.catalogs import _RECONCILE_SQL
 from tilelake.queries.logs import request_log as log_rows
-from tilelake.queries.rasters import cells, headers
+from tilelake.queries.rasters import _LEVEL_SQL, _level_ints, cells, headers
 from tilelake.queries.registry import query
 from tilelake.queries.scalars import raw_boxes, tile_rings, with_assets
 from tilelake.queries.spatial import _AOI_SQL, _l_shape, lonlat_aoi
@@ -111,7 +111,7 @@ def stac_pages(spark, sf):
         F.lit('{"rel": "self", "href": "x"}, {"rel": "next", "href": "'), name(F.col("page") + 1), F.lit('"}'))).otherwise("")
     text = F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.col("features"), F.lit('], "links": ['), link, F.lit("]}"))
     root = scratch_path(spark, "searches")
-    pages.join(last, search).select(*search, name(F.col("page")).alias("name"), text.alias("text")).foreachPartition(_save_pages(root))
+    pages.join(last, search).select(*search, name(F.col("page")).alias("name"), text.alias("text")).foreachPartition(_save_pages(search_pages.qualified(spark, root)))
     raw = search_pages.read_search(spark, root, collections)
     items = search_pages.items_of(raw)
     from tilelake.functions.assets import asset_size
@@ -326,19 +326,20 @@ def write_failures(spark, sf):
     return spark.read.schema(FAILURES).option("header", "true").option("escape", "\\").csv(failed).select("source_path", "error")
 
 
-@query("write_pyramid", "SELECT f::int AS factor, count(*) AS cells FROM (SELECT DISTINCT f, px // f, py // f FROM pixels, (VALUES (2), (4), (8)) v(f)) t GROUP BY 1")
+@query("write_pyramid", " UNION ALL ".join(_LEVEL_SQL.format(f=f) for f in (2, 4, 8)))
 def write_pyramid(spark, sf):
     path = scratch_path(spark, "pyramid")
     sinks.write_pyramid(raster.pyramid(cells(spark, sf), [2, 4, 8]), path)
-    return spark.read.parquet(path).groupBy("factor").agg(F.count(F.lit(1)).alias("cells"))
+    return _level_ints(spark.read.parquet(path))
 
 
-@query("write_regions", "SELECT (px // 40)::int AS region_col, (py // 25)::int AS region_row, count(*) AS cells FROM pixels GROUP BY 1, 2")
+@query("write_regions", """
+SELECT (px // 40)::int AS region_col, (py // 25)::int AS region_row, px, cast(py AS bigint) AS py, cast(floor(z * 10 + 0.5) AS bigint) AS dz FROM pixels""")
 def write_regions(spark, sf):
     path = scratch_path(spark, "regions")
     keyed = cells(spark, sf).withColumn("region_col", F.floor(F.col("px") / 40).cast("int")).withColumn("region_row", F.floor(F.col("py") / 25).cast("int"))
     sinks.write_regions(keyed, path)
-    return spark.read.parquet(path).groupBy("region_col", "region_row").agg(F.count(F.lit(1)).alias("cells"))
+    return spark.read.parquet(path).select("region_col", "region_row", "px", "py", F.floor(F.col("z") * 10 + 0.5).cast("bigint").alias("dz"))
 
 
 @query("plan_download", f"""

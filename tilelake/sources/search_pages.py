@@ -38,6 +38,12 @@ def filesystem(path: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.LocalFileSystem(), path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark would read it by, so that tasks look in the same place."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 class SearchPartition(InputPartition):
     def __init__(self, chunk: str, collection: str) -> None:
         self.chunk, self.collection = chunk, collection
@@ -102,6 +108,8 @@ class SearchReader(DataSourceReader):
             links = [link for link in body.get("links") or [] if link.get("rel") == "next"]
             current = posixpath.join(folder, links[0]["href"]) if links else None
             page += 1
+        if lost := set(names) - seen:
+            raise ValueError(f"{folder}: no link leads to {sorted(map(posixpath.basename, lost))[:5]}")
 
 
 class SearchPages(DataSource):
@@ -139,6 +147,7 @@ def read_search(
     """Raw search rows; turn them into items with ``items_of``. ``chunk_table`` (Parquet with
     ``chunk_id``) limits the chunks that are searched."""
     register_source(spark)
+    path, chunk_table = qualified(spark, path), chunk_table and qualified(spark, chunk_table)
     options = {"path": path, "collections": ",".join(collections), "page_size": str(page_size)}
     if chunk_table:
         options["chunk_table"] = chunk_table
