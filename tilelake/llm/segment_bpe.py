@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tilelake.llm.common import map_columns, narrow
 
-REMEMBERED = 96 << 20  # bytes of words, and again of pieces, that a worker remembers with their ids
+REMEMBERED = 64 << 20  # bytes of words, and again of pieces, that a worker remembers with their ids
 ENTRY = 200  # ... which one takes besides its letters and ids
 
 # The characters that the normaliser's \s stands for.
