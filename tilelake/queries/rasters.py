@@ -203,8 +203,8 @@ def clip_blocks(spark, sf):
     path = scratch_path(spark, "blocks")
     blocks.write_blocks(blocks.pack_blocks(cells(spark, sf), 16), path)
     w = raster.clip_window(headers(spark, sf), (13.3, -1e9, 50.9, -12.4), 2.5).first()
-    col, row = int(w.col_off), int(w.row_off)
-    out = blocks.read_window(spark, path, col, row, col + int(w.width), row + int(w.height), 16)
+    col, row, width, height = (int(w[c]) for c in ("col_off", "row_off", "width", "height")) if w else (0, 0, 0, 0)
+    out = blocks.read_window(spark, path, col, row, col + width, row + height, 16)
     return out.select((F.col("px") - col).alias("px"), (F.col("py") - row).alias("py"), F.floor(F.col("z") * 10 + 0.5).cast("bigint").alias("dz"))
 
 
