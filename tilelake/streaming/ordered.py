@@ -4,9 +4,10 @@ Rows wait in the state until the watermark has passed them and are then handled
 so the result does not depend on how rows were split into micro-batches. Rows later than the
 watermark are dropped by the engine.
 
-Waiting rows are kept in map state by stretches of time: a batch adds parts with its own rows and
-touches no others, and what the watermark has passed is read and removed stretch by stretch. So a
-key costs what a batch brings and what becomes due, however many of its rows are waiting.
+Waiting rows are kept in map state, in parts that hold a stretch of time each: a batch adds a few
+parts with its own rows and touches no others, and only parts that the watermark has reached are
+read and removed. So a key costs what a batch brings and what becomes due, however many of its
+rows are waiting.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-STRETCH_US = 60_000_000  # of event time, whose rows are kept together
-PART = 20_000  # rows of a stretch that are written at once
+STRETCH_US = 60_000_000  # of event time, whose rows a batch keeps together
+STRETCHES = 16  # ... or so many longer ones, where its rows span more
+PART = 20_000  # rows that are written at once
 
 
 class OrderedProcessor(StatefulProcessor):
@@ -63,17 +65,16 @@ class OrderedProcessor(StatefulProcessor):
         self._handle = handle
         self._names = [part.split()[0] for part in self.buffer_schema.split(", ")]
         arrays = ", ".join(f"{n} array<{part.split()[1]}>" for n, part in zip(self._names, self.buffer_schema.split(", "), strict=True))
-        self._rows = handle.getMapState("rows", "stretch bigint, part bigint", arrays)
-        # Per stretch that has rows: how many parts, and the earliest time.
-        self._waiting = handle.getValueState("waiting", "stretches array<bigint>, parts array<bigint>, firsts array<bigint>")
+        self._rows = handle.getMapState("rows", "part bigint", arrays)
+        # The parts there are, with their earliest times.
+        self._waiting = handle.getValueState("waiting", "parts array<bigint>, firsts array<bigint>")
         self._memory = handle.getValueState("memory", self.memory_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         waiting = self._read_waiting()
         for pdf in rows:
             plain = pdf[self._names].astype(object).where(pdf[self._names].notna(), None)
-            for stretch, part in plain.groupby(plain["t"].astype("int64") // STRETCH_US):
-                self._keep(waiting, int(stretch), list(part.itertuples(index=False, name=None)))
+            self._keep(waiting, sorted(plain.itertuples(index=False, name=None), key=lambda r: r[:2]))
         yield from self._advance(key, timerValues.getCurrentWatermarkInMs(), waiting)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -82,50 +83,53 @@ class OrderedProcessor(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _read_waiting(self) -> dict[int, list[int]]:
-        if not self._waiting.exists():
-            return {}
-        stretches, parts, firsts = self._waiting.get()
-        return {s: [p, f] for s, p, f in zip(stretches, parts, firsts, strict=True)}
-
-    def _keep(self, waiting: dict[int, list[int]], stretch: int, rows: list[tuple]) -> None:
-        """Add rows to a stretch as new parts."""
-        entry = waiting.setdefault(stretch, [0, rows[0][0]])
-        entry[1] = min(entry[1], min(r[0] for r in rows))
-        for i in range(0, len(rows), PART):
-            self._rows.updateValue((stretch, entry[0]), tuple(map(list, zip(*rows[i:i + PART], strict=True))))
-            entry[0] += 1
-
-    def _take(self, waiting: dict[int, list[int]], stretch: int) -> list[tuple]:
-        """Remove a stretch and return its rows in order."""
-        rows: list[tuple] = []
-        for part in range(waiting.pop(stretch)[0]):
-            rows += zip(*self._rows.getValue((stretch, part)), strict=True)
-            self._rows.removeKey((stretch, part))
-        return sorted(rows, key=lambda r: r[:2])
-
-    def _advance(self, key, watermark_ms: int, waiting: dict[int, list[int]]) -> Iterator[pd.DataFrame]:
+    def _read_waiting(self) -> dict[int, int]:
+        return dict(zip(*self._waiting.get(), strict=True)) if self._waiting.exists() else {}
+
+    def _keep(self, waiting: dict[int, int], rows: list[tuple], together: bool = False) -> None:
+        """Add rows, in order, as new parts."""
+        if not rows:
+            return
+        width = max(STRETCH_US, (rows[-1][0] - rows[0][0]) // STRETCHES + 1)
+        start = 0
+        for i in range(1, len(rows) + 1):
+            if i == len(rows) or i - start == PART or not together and (rows[i][0] - rows[0][0]) // width != (rows[i - 1][0] - rows[0][0]) // width:
+                part = max(waiting, default=-1) + 1
+                self._rows.updateValue((part,), tuple(map(list, zip(*rows[start:i], strict=True))))
+                waiting[part], start = rows[start][0], i
+
+    def _take(self, waiting: dict[int, int], now: int) -> list[tuple]:
+        """Remove the rows up to ``now`` and return them in order. A part that holds later rows too is cut there."""
+        due: list[tuple] = []
+        for part in [p for p, first in waiting.items() if first <= now]:
+            rows = list(zip(*self._rows.getValue((part,)), strict=True))
+            del waiting[part]
+            self._rows.removeKey((part,))
+            ready = [r for r in rows if r[0] <= now]
+            due += ready
+            self._keep(waiting, rows[len(ready):], together=True)
+        return sorted(due, key=lambda r: r[:2])
+
+    def _advance(self, key, watermark_ms: int, waiting: dict[int, int]) -> Iterator[pd.DataFrame]:
         now = watermark_ms * 1000
         memory = tuple(self._memory.get()) if self._memory.exists() else self.start()
-        for stretch in sorted(s for s, (_, first) in waiting.items() if first <= now):
-            rows, out = self._take(waiting, stretch), []
-            ready = [r for r in rows if r[0] <= now]
-            for row in ready:
-                memory, made = self.quiet(memory, row[0] - 1)
-                out += made
-                memory, made = self.row(memory, row)
-                out += made
-            if len(ready) < len(rows):  # only the stretch that the watermark stands in
-                self._keep(waiting, stretch, rows[len(ready):])
-            if out:
+        out: list[tuple] = []
+        for row in self._take(waiting, now):
+            memory, made = self.quiet(memory, row[0] - 1)
+            out += made
+            memory, made = self.row(memory, row)
+            out += made
+            if len(out) >= PART:
                 yield self._frame(key, out)
-        memory, out = self.quiet(memory, now)
+                out = []
+        memory, made = self.quiet(memory, now)
+        out += made
         self._memory.update(memory)
         if waiting:
-            self._waiting.update(([*waiting], [p for p, _ in waiting.values()], [f for _, f in waiting.values()]))
+            self._waiting.update(([*waiting], [*waiting.values()]))
         elif self._waiting.exists():
             self._waiting.clear()
-        self._set_timer([min((f for _, f in waiting.values()), default=None), self.wake_at(memory)], watermark_ms)
+        self._set_timer([min(waiting.values(), default=None), self.wake_at(memory)], watermark_ms)
         if out:
             yield self._frame(key, out)
 
