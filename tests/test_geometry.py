@@ -241,6 +241,34 @@ def test_audit_finds_rings_that_cross_or_touch_themselves(spark):
         assert ("self_crossing" in got[i]) == crosses_itself(r), r
 
 
+def test_crossings_of_crowded_thin_and_long_edged_rings():
+    """Shapes that one grid parts badly: nearly all vertices in a corner, long waves, combs of long teeth."""
+    import pyarrow as pa
+
+    from tilelake.functions.crossings import crossed
+
+    rng = random.Random(13)
+    rings = [[(1e5 + math.cos(i / n * 6.28) * (1 + 0.3 * (i % 5)) * (1e-3 if i < 0.8 * n else 1e3), math.sin(i / n * 6.28) * (1 + 0.3 * (i % 5)) * (1e-3 if i < 0.8 * n else 1e3))
+              for i in range(n)] for n in range(50, 250, 10)]
+    rings += [[(float(x), y) for i in range(n) for x, y in ((i, 0.0), (i, 100.0 if i % 2 else 1.0), (i + 0.5, 100.0 if i % 2 else 1.0), (i + 0.5, 0.0))] + [(n, -5.0), (0.0, -5.0)]
+              for n in range(20, 80, 3)]
+    rings += [[(3.0 * i, 2.0 * (i % 5)) for i in range(n)] + [(3.0 * n, -50.0), (0.0, -50.0)] for n in range(40, 400, 20)]
+    for r in rings[::2]:
+        k = rng.randrange(len(r) - 4)
+        r[k], r[k + 2] = r[k + 2], r[k]
+    rings = [[*r, r[0]] for r in rings]
+    rows = [[[{"x": x, "y": y} for x, y in r]] for r in rings] + [None, [], [[]]]
+    got = crossed(pa.array(rows, pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))))
+    assert got.tolist() == [*map(crosses_itself, rings), False, False, False]
+
+
+def test_audit_shuffles_no_edges(spark):
+    """One pass over the polygons: dealing every edge to a shuffle is what made long rings slow."""
+    ring = F.array(*[rg.point(F.lit(float(x)), F.lit(float(y))) for x, y in ((0, 0), (2, 0), (2, 2), (0, 0))])
+    plan = spatial.audit(spark.range(3).select(F.col("id").alias("k"), F.array(ring).alias("rings")), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_audit_of_a_ring_with_very_many_vertices(spark):
     n = 100_000
     at = lambda i: F.struct((F.cos(i * (6.283185307179586 / n)) * (1000 + i % 7)).alias("x"), (F.sin(i * (6.283185307179586 / n)) * (1000 + i % 7)).alias("y"))

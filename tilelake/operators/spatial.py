@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import BooleanType, MapType, StructField, StructType, VariantType
 
+from tilelake.functions.crossings import crossed
 from tilelake.functions.grid import box
 from tilelake.functions.projections import metric_crs, rings_to_lonlat, rings_to_metric
 from tilelake.functions.rings import (
-    adjacent,
     clip_to_box,
     edges,
     edges_meet,
@@ -22,7 +23,6 @@ from tilelake.functions.rings import (
     polygons_intersect,
     polygons_overlap,
     ring_bounds,
-    segments_touch,
 )
 from tilelake.operators.catalog import ITEM_IDENTITY, first_seen
 from tilelake.session import materialize
@@ -82,43 +82,31 @@ def overlapping_parts(aoi: DataFrame, cell_m: float = 10_000.0) -> DataFrame:
     return keyed.join(other, hit, "left_semi").select("aoi_id").distinct()
 
 
+def _crossings(polygons: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns, with ``_crossed``: whether one of ``rings`` crosses or touches itself."""
+    rows = polygons.select("rings", *columns)
+    kept = rows.columns[1:]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(crossed(batch.column(0)))], names=[*kept, "_crossed"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields[1:], StructField("_crossed", BooleanType())]))
+
+
 def self_crossing(polygons: DataFrame, key: str) -> DataFrame:
     """``key`` of the polygons of which a ring crosses or touches itself; any number of vertices.
 
-    The edges of a ring are dealt to the cells of a grid of its own, about as many as it has edges, and
-    meet only those of the same cell. A polygon comes once, however often it crosses itself.
+    The edges of a ring meet only those in the same cell of a grid of its own (``functions.crossings``). A
+    polygon comes once, however often it crosses itself.
     """
-    rings = polygons.select(key, F.posexplode("rings").alias("ring", "points")).where(F.size("points") > 2)
-    rings = rings.withColumns({"n": F.size("points") - 1, "b": ring_bounds(F.array("points"))})
-    extent = F.greatest(F.col("b.maxx") - F.col("b.minx"), F.col("b.maxy") - F.col("b.miny"))
-    rings = rings.where(extent > 0).withColumn("side", extent / F.ceil(F.sqrt("n")))
-    own = rings.select(key, "ring", "n", "side", F.col("b.minx").alias("x0"), F.col("b.miny").alias("y0"), F.posexplode(
-        edges(F.array("points"))).alias("i", "e"))
-    p, q = F.col("e.p"), F.col("e.q")
-    index = lambda v, low, by: F.floor((v - F.col(low)) / F.col("side") + by).cast("int")
-    low, high = F.least(p["x"], q["x"]), F.greatest(p["x"], q["x"])
-    own = own.withColumn("cx", F.explode_outer(F.sequence(index(low, "x0", -_SLIVER), index(high, "x0", _SLIVER))))
-    left = F.col("x0") + F.col("cx") * F.col("side")
-    at = lambda x: p["y"] + (q["y"] - p["y"]) * ((x - p["x"]) / F.nullif(q["x"] - p["x"], F.lit(0.0)))
-    ya, yb = at(F.least(F.greatest(left, low), high)), at(F.greatest(F.least(left + F.col("side"), high), low))
-    bottom = F.coalesce(F.least(ya, yb), F.least(p["y"], q["y"]))
-    top = F.coalesce(F.greatest(ya, yb), F.greatest(p["y"], q["y"]))
-    bottom, top = (F.when(p["x"] == q["x"], f(p["y"], q["y"])).otherwise(v) for f, v in ((F.least, bottom), (F.greatest, top)))
-    own = own.withColumn("cy", F.explode_outer(F.sequence(index(bottom, "y0", -_SLIVER), index(top, "y0", _SLIVER))))
-    own = own.select(key, "ring", "cx", "cy", "n", "i", "e")
-    other = own.select(*[F.col(c).alias(f"o_{c}") for c in own.columns])
-    same = [F.col(c) == F.col(f"o_{c}") for c in (key, "ring", "cx", "cy")]
-    hit = (F.col("o_i") > F.col("i")) & ~adjacent(F.col("i"), F.col("o_i"), F.col("n")) & segments_touch(F.col("e"), F.col("o_e"))
-    for condition in same:
-        hit = condition & hit
-    return own.join(other, hit, "left_semi").select(key).distinct()
+    return _crossings(polygons, [key]).where("_crossed").select(key).distinct()
 
 
 def audit(polygons: DataFrame, key: str) -> DataFrame:
     """``key, defects`` of every polygon, as ``geometry_audit`` names them, for rings of any size. ``key`` is unique."""
-    crossed = self_crossing(polygons, key).withColumn("_crossed", F.lit(True))
-    return polygons.join(crossed, key, "left").select(
-        key, geometry_audit(F.col("rings"), F.coalesce("_crossed", F.lit(False))).alias("defects"))
+    same = polygons.select(key, F.col("rings").alias("_rings"), "rings")
+    return _crossings(same, [key, "_rings"]).select(key, geometry_audit(F.col("_rings"), F.col("_crossed")).alias("defects"))
 
 
 def aoi_area_km2(aoi: DataFrame) -> DataFrame:

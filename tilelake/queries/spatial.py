@@ -171,10 +171,12 @@ def geometry_audit(spark, sf):
 def geometry_audit_long(spark, sf):
     k = F.col("s_suppkey")
     n = (k % 30 + 1) * 40
+    # A few bytes become a ring of up to 1,200 vertices, so rows are spread before.
+    rows = table(spark, sf, "supplier").select("s_suppkey").repartition(4 * spark.sparkContext.defaultParallelism)
     wave = F.transform(F.sequence(F.lit(0), n), lambda i: rg.point(i * 3 + k, F.lit(2.0) * (i % 5)))
     mixed = F.transform(wave, lambda p, i: F.when((k % 3 == 0) & i.isin(20, 21), F.get(wave, F.lit(41) - i)).otherwise(p))
     back = F.array(rg.point(n * 3 + k, F.lit(-50.0)), rg.point(k, F.lit(-50.0)), mixed[0])
-    rings = table(spark, sf, "supplier").select("s_suppkey", F.array(F.concat(mixed, back)).alias("rings"))
+    rings = rows.select("s_suppkey", F.array(F.concat(mixed, back)).alias("rings"))
     return spatial.audit(rings, "s_suppkey").select("s_suppkey", F.array_join("defects", ",").alias("defects"))
 
 
