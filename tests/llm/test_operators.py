@@ -175,6 +175,18 @@ def test_short_unlabelled_credentials_are_scored(spark, length, filled):
     assert sum(len(r.added) for r in rows if r.doc_id < 200) <= 4
 
 
+def test_every_letter_of_a_long_string_is_scored(spark):
+    """Strings of 240 to 250 signs that begin alike: those that go on as the labelled ones do are found, the others aren't."""
+    pick = random.Random(5)
+    code = lambda n: "".join(pick.choice("0123456789GHJKLMNPQRSTVWXYZ") for _ in range(n))
+    length = lambda: pick.randrange(240, 250)
+    texts = [f"token = {code(length())} {words(i, 10)}" for i in range(200)] + [f"lost {code(length())}" for _ in range(20)]
+    texts += [f"seen {code(80)}" + "".join(pick.choice("ghjkmnpqrstvwxyz") for _ in range(length() - 80)) for _ in range(20)]
+    rows = {r.doc_id: len(r.added) for r in secret_grammar.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert sum(rows[i] == 1 for i in range(200, 220)) >= 18
+    assert sum(rows[i] for i in range(220, 240)) == 0
+
+
 def test_secret_report_is_the_plain_digest(spark):
     import hashlib
 
