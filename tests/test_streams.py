@@ -150,6 +150,38 @@ def test_late_rows_are_counted(spark):
         spark.streams.removeListener(seen)
 
 
+class _State:
+    """A map state that counts its calls."""
+
+    def __init__(self):
+        self.parts, self.calls = {}, 0
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.parts[key] = value
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.parts[key]
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.parts[key]
+
+
+def test_a_key_with_few_rows_costs_few_calls():
+    """Rows of a month are one part, whatever remains of several parts is one again, and all come out in order."""
+    p, waiting, day = machines._Bucket(1000, 4), {}, 86_400_000_000
+    p._rows = _State()
+    rows = [(i * day // 3, i) for i in range(90)]
+    p._keep(waiting, rows[::2])
+    p._keep(waiting, rows[1::2])
+    assert p._rows.calls == 2
+    got = p._take(waiting, 10 * day)
+    assert len(waiting) == 1 and p._rows.calls <= 7 and got == [r for r in rows if r[0] <= 10 * day]
+    assert got + p._take(waiting, 40 * day) == rows and not waiting and not p._rows.parts
+
+
 def test_a_hot_key_is_buffered_in_stretches(spark):
     """Many rows of one key and time, in several batches: each once, in order, whatever the batches."""
     path, t = scratch_path(spark, "hot"), 1_700_000_000_000_000

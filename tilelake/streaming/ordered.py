@@ -4,10 +4,11 @@ Rows wait in the state until the watermark has passed them and are then handled
 so the result does not depend on how rows were split into micro-batches. Rows later than the
 watermark are dropped by the engine.
 
-Waiting rows are kept in map state, in parts that hold a stretch of time each: a batch adds a few
-parts with its own rows and touches no others, and only parts that the watermark has reached are
-read and removed. So a key costs what a batch brings and what becomes due, however many of its
-rows are waiting.
+Waiting rows are kept in map state, in parts that hold a stretch of time each, or some hundreds of
+rows where a stretch has fewer: a batch adds parts with its own rows and touches no others, and only
+parts that the watermark has reached are read and removed; what is left of small ones is put
+together. So a key costs what a batch brings and what becomes due, however many of its rows are
+waiting, and one with few rows costs a single part, since each call to the state takes longer than many rows.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 STRETCH_US = 60_000_000  # of event time, whose rows a batch keeps together
 STRETCHES = 16  # ... or so many longer ones, where its rows span more
+LEAST = 500  # rows before a new stretch begins a new part
 PART = 20_000  # rows that are written at once
 
 
@@ -84,7 +86,8 @@ class OrderedProcessor(StatefulProcessor):
         pass
 
     def _read_waiting(self) -> dict[int, int]:
-        return dict(zip(*self._waiting.get(), strict=True)) if self._waiting.exists() else {}
+        held = self._waiting.get()
+        return dict(zip(*held, strict=True)) if held else {}
 
     def _keep(self, waiting: dict[int, int], rows: list[tuple], together: bool = False) -> None:
         """Add rows, in order, as new parts."""
@@ -93,7 +96,7 @@ class OrderedProcessor(StatefulProcessor):
         width = max(STRETCH_US, (rows[-1][0] - rows[0][0]) // STRETCHES + 1)
         start = 0
         for i in range(1, len(rows) + 1):
-            if i == len(rows) or i - start == PART or not together and (rows[i][0] - rows[0][0]) // width != (rows[i - 1][0] - rows[0][0]) // width:
+            if i == len(rows) or i - start == PART or not together and i - start >= LEAST and (rows[i][0] - rows[0][0]) // width != (rows[i - 1][0] - rows[0][0]) // width:
                 part = max(waiting, default=-1) + 1
                 self._rows.updateValue((part,), tuple(map(list, zip(*rows[start:i], strict=True))))
                 waiting[part], start = rows[start][0], i
@@ -101,18 +104,23 @@ class OrderedProcessor(StatefulProcessor):
     def _take(self, waiting: dict[int, int], now: int) -> list[tuple]:
         """Remove the rows up to ``now`` and return them in order. A part that holds later rows too is cut there."""
         due: list[tuple] = []
+        left: list[tuple] = []
         for part in [p for p, first in waiting.items() if first <= now]:
             rows = list(zip(*self._rows.getValue((part,)), strict=True))
             del waiting[part]
             self._rows.removeKey((part,))
             ready = [r for r in rows if r[0] <= now]
             due += ready
-            self._keep(waiting, rows[len(ready):], together=True)
+            if len(rows) - len(ready) < LEAST:
+                left += rows[len(ready):]
+            else:
+                self._keep(waiting, rows[len(ready):], together=True)
+        self._keep(waiting, sorted(left, key=lambda r: r[:2]), together=True)
         return sorted(due, key=lambda r: r[:2])
 
     def _advance(self, key, watermark_ms: int, waiting: dict[int, int]) -> Iterator[pd.DataFrame]:
         now = watermark_ms * 1000
-        memory = tuple(self._memory.get()) if self._memory.exists() else self.start()
+        memory = tuple(self._memory.get() or self.start())
         out: list[tuple] = []
         for row in self._take(waiting, now):
             memory, made = self.quiet(memory, row[0] - 1)
@@ -127,7 +135,7 @@ class OrderedProcessor(StatefulProcessor):
         self._memory.update(memory)
         if waiting:
             self._waiting.update(([*waiting], [*waiting.values()]))
-        elif self._waiting.exists():
+        else:
             self._waiting.clear()
         self._set_timer([min(waiting.values(), default=None), self.wake_at(memory)], watermark_ms)
         if out:
