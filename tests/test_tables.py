@@ -221,6 +221,16 @@ def test_item_pages(spark):
     assert {r.source for r in bad.collect()} == {"p2", "p3"}
 
 
+def test_item_pages_are_parsed_once(spark, tmp_path):
+    pages = [{"features": [feature("a"), feature("b")]}, {"features": []}, {"features": None}, {"type": "x"}]
+    (tmp_path / "pages.txt").write_text("\n".join([*map(json.dumps, pages), "nope"]))
+    items, bad = envelopes.read_item_pages(spark, str(tmp_path), lines=True)
+    plan = items.select("pos", "item_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(StructField(type") == 1
+    assert sorted((r.pos, r.item_id) for r in items.select("pos", "item_id").collect()) == [(0, "a"), (1, "b")]
+    assert bad.count() == 3  # without features, or not JSON; an empty page is a page
+
+
 def test_search_connector_follows_links_and_prunes(spark, tmp_path):
     for chunk in ("c1", "c2"):
         for coll in ("LAZ", "MDT"):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilelake.functions.let import bind
 from tilelake.schemas import ASSET_ENTRY
 
 _EXTENT = (
@@ -130,11 +131,14 @@ def parse_features(features: DataFrame, column: str = "feature") -> DataFrame:
 
 
 def parse_item_pages(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(items, violations)`` from search pages: one row per feature with its position."""
-    opened = documents.select("source", "value", F.from_json("value", _PAGE, _LENIENT).alias("p"))
-    bad = F.col("p").isNull() | F.col("p._corrupt").isNotNull() | F.col("p.features").isNull()
-    features = opened.where(~bad).select("source", F.posexplode("p.features").alias("pos", "_f"))
-    violations = opened.where(bad).select("source", F.lit("not a page").alias("problem"), "value")
+    """``(items, violations)`` from search pages: one row per feature with its position.
+
+    A page is parsed once: conditions on the parsed page would each become a filter that parses it
+    again, and so would an inner explode, for which Spark infers filters on what it explodes.
+    """
+    good = bind(F.from_json("value", _PAGE, _LENIENT), lambda p: F.when(p["_corrupt"].isNull(), p["features"]))
+    features = documents.select("source", F.posexplode_outer(good).alias("pos", "_f")).where("pos IS NOT NULL")
+    violations = documents.where(good.isNull()).select("source", F.lit("not a page").alias("problem"), "value")
     return features.select("source", "pos", *_item_columns("_f")), violations
 
 
