@@ -392,6 +392,22 @@ def test_fuzzy_lines_recall_of_pairs_near_the_threshold(spark):
     assert 0.99 * len(rows) / 2 <= found <= len(rows) / 2
 
 
+def test_fuzzy_lines_pairs_a_part_of_the_bands_at_a_time(spark, monkeypatch):
+    written, write = [], fuzzy_lines.materialize
+
+    def counted(df, label, keep=False):
+        out = write(df, label, keep)
+        if label in ("members", "placed"):
+            written.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(fuzzy_lines, "materialize", counted)
+    assert fuzzy_lines.report(table(spark, edited(1))).count() == 60
+    members, placed = (sum(n for x, n in written if x == label) for label in ("members", "placed"))
+    assert members == placed > 0
+    assert max(n for x, n in written if x == "placed") < 0.6 * members
+
+
 def test_line_frequency(spark, docs, rows, empty):
     common = [(200 + i, f"shared footer of the host\n{words(300 + i, 80)}", "h") for i in range(40)]
     spam = [(300 + i, f"{words(77, 70)}\n{words(400 + i, 20)}", "h") for i in range(40)]
