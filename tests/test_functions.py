@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tilelake.functions import grid, http, keys, naming, text
 from tilelake.functions.sql import register
+from tilelake.queries import QUERIES, load
 
 
 def values(spark, rows, schema, *columns):
@@ -94,6 +95,15 @@ def test_human_size_rounds_like_printf(spark):
     assert [s for _, s in got] == SIZE_TEXTS
 
 
+def test_human_size_query_takes_keys_whose_square_is_no_long(spark, tmp_path):
+    load()
+    keys_ = [1, 5, 55, 604, 27_335_045, 216_000_005, 3_000_000_005, 40_000_000_004]
+    spark.createDataFrame([(k,) for k in keys_], "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r.o_orderkey: r.size for r in QUERIES["human_size"](spark, str(tmp_path)).collect()}
+    assert got == {1: "1 B", 5: "308.6 KB", 55: "37.3 MB", 604: "151.0 GB", 27_335_045: "9224.2 PB", 216_000_005: "575968.3 PB",
+                   3_000_000_005: "111105000.4 PB", 40_000_000_004: "10000.0 PB"}
+
+
 def test_human_duration(spark):
     rows = [(v,) for v in (-3.0, 0.4, 0.5, 1.5, 59.4, 59.5, 60.0, 125.0, 3600.0)]
     got = [v[0] for v in values(spark, rows, "s double", text.human_duration(F.col("s")))]

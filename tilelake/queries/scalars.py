@@ -184,8 +184,9 @@ FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_orderkey
              WHEN o_orderkey % 5 = 4 THEN o_orderkey * 250000000 ELSE o_orderkey * o_orderkey * 12345 END AS n FROM orders) t""")
 def human_size(spark, sf):
     k = F.col("o_orderkey")
+    wide = k.cast("decimal(20,0)")  # from a key of 27 million on the square's multiple is no long any more
     n = (F.when(k % 50 == 0, None).when(k % 5 == 1, k).when(k % 5 == 2, k * 50).when(k % 5 == 3, k * 50 * 1000)
-         .when(k % 5 == 4, k * 250000000).otherwise(k * k * 12345))
+         .when(k % 5 == 4, wide * 250000000).otherwise(wide * wide * 12345))
     return table(spark, sf, "orders").select("o_orderkey", text.human_size(n).alias("size"))
 
 
