@@ -373,6 +373,39 @@ def test_fuzzy_lines_of_a_phrase_repeated_more_or_less_often(spark):
     assert found == {i: [0] if i % 2 else [] for i in range(n)}
 
 
+def test_fuzzy_lines_compares_few_pairs_of_a_large_group(spark, monkeypatch):
+    pick, base, near = random.Random(5), words(77, 40).split(), []
+    for i in range(400):
+        w = list(base)
+        for _ in range(3):
+            w[pick.randrange(40)] = words(2000 + 7 * i + pick.randrange(7), 1)
+        near.append((i, " ".join(w), "a"))
+    compared, verify = [], fuzzy_lines._verified
+    monkeypatch.setattr(fuzzy_lines, "_verified", lambda pairs, *more: compared.append(pairs.count()) or verify(pairs, *more))
+    found = fuzzy_lines.report(table(spark, near)).where("n_removed = 1").count()
+    expected = sum(map(len, brute.fuzzy_lines([r[:2] for r in near]).values()))
+    assert 0.97 * expected <= found <= expected
+    assert 0 < sum(compared) <= 4 * len(near), compared
+
+
+def test_fuzzy_lines_sketches_rule_out_no_similar_pair(spark):
+    pick, pairs = random.Random(3), []
+    for i in range(400):
+        line = words(8000 + i, pick.choice([3, 20, 45, 60, 200, 330, 700]))
+        other = list(line)
+        for _ in range(pick.randrange(1, max(2, len(line) // 20))):
+            other[pick.randrange(len(line))] = pick.choice("ijklmnop")
+        pairs.append((line, "".join(other) + pick.choice(["", " " + words(9000 + i, 3)])))
+    rows = spark.createDataFrame(pairs, "x string, y string")
+    for c in "xy":
+        rows = rows.withColumn(f"s{c}", fuzzy_lines._sketched(fuzzy_lines._shingles(F.col(c))))
+    kept = {(r.x, r.y) for r in rows.where(fuzzy_lines._alike(F.col("sx.n"), F.col("sx.odd"), F.col("sy.n"), F.col("sy.odd"), 0.8)).collect()}
+    likeness = {p: len(a & b) / len(a | b) for p in pairs for a, b in [tuple(map(brute.shingles, p))]}
+    assert all(p in kept for p, j in likeness.items() if j >= 0.8) and sum(j >= 0.8 for j in likeness.values()) > 50
+    low = [p for p, j in likeness.items() if j < 0.65]
+    assert len(low) > 50 and sum(p in kept for p in low) <= 0.1 * len(low)
+
+
 def test_fuzzy_lines_recall_of_pairs_near_the_threshold(spark):
     pick = random.Random(12)
     rows = []
