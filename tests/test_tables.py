@@ -1,9 +1,11 @@
 """Catalog, planning and raster operators on small inputs, sources and sinks."""
 
+import gzip
 import json
 
 import pytest
 from pyspark.sql import functions as F
+from support import DATA
 
 from tilelake.operators import blocks, catalog, plan, raster
 from tilelake.plans.lifecycle import merge_tiles
@@ -252,6 +254,28 @@ def test_search_connector_follows_links_and_prunes(spark, tmp_path):
             search_pages.read_search(spark, str(tmp_path), **bad).count()
 
 
+def test_search_connector_reads_compressed_pages(spark, tmp_path):
+    folder = tmp_path / "c1" / "LAZ"
+    folder.mkdir(parents=True)
+    links = [{"rel": "next", "href": "b.json.gz"}]
+    (folder / "a.json").write_text(json.dumps({"features": [feature("one")], "links": links}))
+    (folder / "b.json.gz").write_bytes(gzip.compress(json.dumps({"features": [feature("two")], "links": []}).encode()))
+    rows = search_pages.items_of(search_pages.read_search(spark, str(tmp_path), ["LAZ"])).select("item_id", "page").collect()
+    assert sorted(map(tuple, rows)) == [("one", 0), ("two", 1)]
+
+
+@pytest.mark.parametrize("name", ["stac_pages", "read_item_pages"])
+def test_recorded_pages_are_small_on_disk(spark, tmp_path, monkeypatch, name):
+    from tilelake.queries import QUERIES, connectors, load
+
+    load()
+    monkeypatch.setattr(connectors, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    QUERIES[name](spark, f"{DATA}/sf0.01").count()
+    written = sum(f.stat().st_size for f in tmp_path.rglob("*") if f.is_file() and not f.name.endswith(".crc"))
+    rows = spark.read.parquet(f"{DATA}/sf0.01/lineitem.parquet").count()
+    assert 0 < written < 150 * rows, written / rows  # as plain text some 650 bytes a row
+
+
 def test_search_connector_fails_on_a_missing_search(spark, tmp_path):
     folder = tmp_path / "c1" / "LAZ"
     folder.mkdir(parents=True)

@@ -1,6 +1,6 @@
 """``spark.read.format("stac_pages")``: recorded searches, one task per chunk and collection.
 
-Layout: ``<path>/<chunk>/<collection>/<page>.json``. The first page by name starts a search;
+Layout: ``<path>/<chunk>/<collection>/<page>.json``, or ``.json.gz`` where pages are compressed. The first page by name starts a search;
 each page may link to the next (``rel: next``, ``href`` relative to the folder). Links are
 followed inside one task, since a page is only known from the one before it.
 """
@@ -90,7 +90,7 @@ class SearchReader(DataSourceReader):
         files, root = filesystem(self.path)
         folder = posixpath.join(root, partition.chunk, partition.collection)
         listed = files.get_file_info(arrow_fs.FileSelector(folder))
-        names = sorted(i.path for i in listed if i.path.endswith(".json"))
+        names = sorted(i.path for i in listed if i.path.endswith((".json", ".json.gz")))
         if not names:
             raise FileNotFoundError(f"{folder}: no page of this search")
         current, page, seen = names[0], 0, set()
